@@ -1,0 +1,94 @@
+"""Product ids for events, and picking one of them by key."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from shoplake.functions.values import prefixed
+from shoplake.schemas import DUMMY_PRODUCT_PREFIX, DUMMY_PRODUCTS
+
+BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+ROW_OVERHEAD_BYTES = 40
+BUCKET_DIGITS = 3
+
+
+def product_ids(products: DataFrame | None, spark: SparkSession, column: str = "product_id") -> DataFrame:
+    """Product ids as text; the dummy ids where ``products`` is missing or has no rows."""
+    dummies = spark.range(1, DUMMY_PRODUCTS + 1).select(
+        prefixed(DUMMY_PRODUCT_PREFIX, "id").alias("product_id")
+    )
+    if products is None:
+        return dummies
+    ids = products.select(F.col(column).cast("string").alias("product_id"))
+    return ids.unionByName(dummies.where(~ids.limit(1).exists()))
+
+
+def number_ids(ids: DataFrame) -> DataFrame:
+    """Distinct ids numbered 0, 1, 2, ... in order of (start of their MD5, id).
+
+    A window over all ids would sort them in one task. The first hex digits of the MD5 split
+    the ids evenly into 4,096 buckets that are numbered apart; the 4,096 bucket sizes
+    give where each bucket's numbers start.
+    """
+    bucketed = (
+        ids.where(F.col("product_id").isNotNull())
+        .distinct()
+        .withColumn("bucket", F.substring(F.md5("product_id"), 1, BUCKET_DIGITS))
+    )
+    in_bucket = Window.partitionBy("bucket").orderBy("product_id")
+    earlier_buckets = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        bucketed.groupBy("bucket")
+        .agg(F.count(F.lit(1)).alias("size"))
+        .select("bucket", F.coalesce(F.sum("size").over(earlier_buckets), F.lit(0)).alias("start"))
+    )
+    return (
+        bucketed.withColumn("position", F.row_number().over(in_bucket) - 1)
+        .join(F.broadcast(starts), "bucket")
+        .select("product_id", (F.col("start") + F.col("position")).alias("pick"))
+    )
+
+
+@dataclass(frozen=True)
+class ProductPool:
+    """Numbered ids in a stored table, with their measured size."""
+
+    numbered: DataFrame
+    size: int
+    n_bytes: int
+
+    @property
+    def fits_broadcast(self) -> bool:
+        return self.n_bytes <= BROADCAST_LIMIT_BYTES
+
+    def pick_for(self, rows: DataFrame, key: Column) -> DataFrame:
+        """``rows`` with the ``product_id`` that ``key`` fixes; a NULL key picks NULL.
+
+        A pool measured small is broadcast. A bigger one is joined by shuffle, where
+        adaptive execution splits keys that hold many rows.
+        """
+        pool = self.numbered.select("pick", F.col("product_id").alias("picked"))
+        if self.fits_broadcast:
+            pool = F.broadcast(pool)
+        keyed = rows.withColumn("pick", F.pmod(key.cast("bigint"), F.lit(self.size)))
+        return (
+            keyed.join(pool, "pick", "left")
+            .withColumn("product_id", F.col("picked"))
+            .drop("pick", "picked")
+        )
+
+
+def store_pool(ids: DataFrame, path: str, fmt: str = "parquet") -> ProductPool:
+    """Number ``ids`` once into ``path``, so that no micro-batch does it again."""
+    spark = ids.sparkSession
+    number_ids(ids).write.format(fmt).mode("overwrite").save(path)
+    stored = spark.read.format(fmt).load(path)
+    measured = stored.agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("product_id")).alias("n_bytes")
+    ).first()
+    size = measured["n"]
+    return ProductPool(stored, size, (measured["n_bytes"] or 0) + size * ROW_OVERHEAD_BYTES)
