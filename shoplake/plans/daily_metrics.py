@@ -19,6 +19,7 @@ from shoplake.operators.daily import (
 from shoplake.schemas import METRICS_SCHEMA
 from shoplake.session import shuffles_sized_for
 from shoplake.sinks.catalog import create_database, register_external
+from shoplake.sinks.files import append, replace_partitions
 
 REPLACE_DATE = "replace_date"
 APPEND = "append"
@@ -44,9 +45,10 @@ def publish_daily_metrics(
     if write_mode not in (REPLACE_DATE, APPEND):
         raise ValueError(f"unknown write mode {write_mode!r}")
     facts = spark.table(cfg.table(FACT_TABLE))
-    target = metrics_table(spark, cfg)
+    metrics_table(spark, cfg)
     with shuffles_sized_for(spark, cfg.processed(FACT_TABLE)):
         _write(spark, daily_metrics(facts, day), cfg, day, write_mode)
+    target = metrics_table(spark, cfg)
     written = latest_order_date(facts).scalar() if day is None else F.lit(as_date(day))
     return target.where(F.col(ORDER_DATE) == written).select(METRICS_SCHEMA.names)
 
@@ -71,17 +73,15 @@ def _write(
     day: dt.date | str | None,
     write_mode: str,
 ) -> None:
-    table = cfg.table(METRICS_TABLE)
-    in_table_order = metrics.select(spark.table(table).columns)
+    path = cfg.presentation(METRICS_TABLE)
     if write_mode == APPEND:
-        in_table_order.write.insertInto(table)
+        append(metrics, path, cfg.fmt, (ORDER_DATE,))
     elif day is None:
-        in_table_order.write.option("partitionOverwriteMode", "dynamic").insertInto(
-            table, overwrite=True
-        )
+        replace_partitions(metrics, path, cfg.fmt, (ORDER_DATE,))
     else:
+        # Names the partition, so that it is emptied where there are no metrics to write.
         spark.sql(
-            f"INSERT OVERWRITE TABLE {table} PARTITION ({ORDER_DATE} = DATE'{as_date(day)}') "
-            "SELECT * FROM {metrics}",
-            metrics=in_table_order.drop(ORDER_DATE),
+            f"INSERT OVERWRITE TABLE {cfg.table(METRICS_TABLE)} "
+            f"PARTITION ({ORDER_DATE} = DATE'{as_date(day)}') SELECT * FROM {{metrics}}",
+            metrics=metrics.drop(ORDER_DATE),
         )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from shoplake.config import LakeConfig
@@ -11,9 +13,13 @@ from shoplake.sources.tables import scan_table_or_none
 
 
 def product_pool(spark: SparkSession, cfg: LakeConfig) -> ProductPool:
-    """Numbered ids of the product table, or the dummy ids where it is missing or empty."""
+    """Numbered ids of the product table, or the dummy ids where it is missing or empty.
+
+    Each call stores its own pool: a stream may still be reading an earlier one.
+    """
     products = scan_table_or_none(spark, cfg.table(cfg.products_table))
-    return store_pool(product_ids(products, spark), cfg.temp("product_pool"), cfg.fmt)
+    path = cfg.temp("product_pool", uuid.uuid4().hex)
+    return store_pool(product_ids(products, spark), path, cfg.fmt)
 
 
 def shaped_events(spark: SparkSession, cfg: LakeConfig, activity: DataFrame) -> DataFrame:

@@ -47,7 +47,7 @@ def shuffles_sized_for(spark: SparkSession, *paths: str) -> Iterator[int]:
     """
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
-    wanted = math.ceil(sum(total_bytes(spark, path) for path in paths) / SHUFFLE_BYTES_PER_TASK)
+    wanted = math.ceil(total_bytes(spark, *paths) / SHUFFLE_BYTES_PER_TASK)
     chosen = max(int(before), min(wanted, MAX_SHUFFLE_PARTITIONS))
     spark.conf.set(key, str(chosen))
     try:

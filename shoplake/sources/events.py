@@ -19,12 +19,12 @@ def read_event_files(
     folder: str,
     schema: T.StructType = EVENT_SCHEMA,
     files_per_batch: int | None = FILES_PER_BATCH,
-    bytes_per_batch: str | None = None,
+    bytes_per_batch: int | None = None,
     glob: str = LANDED_FILES,
 ) -> DataFrame:
     """Stream of landed events with a fixed schema, and the text of lines that do not parse.
 
-    A batch is limited by ``bytes_per_batch`` (say "200g") where given, else by number of files.
+    A batch is limited by ``bytes_per_batch`` where given, else by number of files.
     """
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT_RECORD, T.StringType())])
     reader = (

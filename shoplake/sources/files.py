@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def list_files(spark: SparkSession, folder: str, glob: str | None = None) -> DataFrame:
-    """One row per file below ``folder``: path, name, size in bytes."""
+def list_files(spark: SparkSession, *folders: str, glob: str | None = None) -> DataFrame:
+    """One row per file below the folders: path, name, size in bytes."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(folder).select(
+    return reader.load(list(folders)).select(
         "path",
         F.element_at(F.split("path", "/"), -1).alias("name"),
         F.col("length").alias("size"),
@@ -20,15 +20,15 @@ def list_files(spark: SparkSession, folder: str, glob: str | None = None) -> Dat
 
 def landing_summary(spark: SparkSession, folder: str, glob: str | None = None) -> DataFrame:
     """One row: how many files, how many bytes."""
-    return list_files(spark, folder, glob).agg(
+    return list_files(spark, folder, glob=glob).agg(
         F.count(F.lit(1)).alias("n_files"), F.sum("size").alias("n_bytes")
     )
 
 
 def landing_head(spark: SparkSession, folder: str, n: int = 5, glob: str | None = None) -> DataFrame:
     """Name and size of ``n`` of the files."""
-    return list_files(spark, folder, glob).select("name", "size").limit(n)
+    return list_files(spark, folder, glob=glob).select("name", "size").limit(n)
 
 
-def total_bytes(spark: SparkSession, folder: str) -> int:
-    return landing_summary(spark, folder).first()["n_bytes"] or 0
+def total_bytes(spark: SparkSession, *folders: str) -> int:
+    return list_files(spark, *folders).agg(F.sum("size").alias("n")).first()["n"] or 0

@@ -14,7 +14,7 @@ from shoplake.functions.payload import is_reject
 from shoplake.schemas import CORRUPT_RECORD, EVENT_SCHEMA, raw_events_schema
 from shoplake.sinks.catalog import create_database, register_external
 from shoplake.sources.events import read_event_files
-from shoplake.streaming.runs import keep_progress, outcome, run_bounded, run_report, triggered
+from shoplake.streaming.runs import QUALITY, keep_progress, outcome, run_bounded, run_report, triggered
 
 REJECTS = "rejected_events"
 
@@ -31,15 +31,24 @@ def start_raw_events(
     spark: SparkSession,
     cfg: LakeConfig,
     schema: T.StructType = EVENT_SCHEMA,
-    bytes_per_batch: str | None = None,
+    bytes_per_batch: int | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Append landed events, with the time of processing, to the raw events files."""
+    """Append landed events, with the time of processing, to the raw events files.
+
+    Rows with an unreadable field are kept, without that field, and counted in the progress.
+    """
     landed = read_event_files(
         spark, cfg.temp(EVENT_LANDING), schema, cfg.files_per_batch, bytes_per_batch
     )
+    unclean, rejected = F.col(CORRUPT_RECORD).isNotNull(), is_reject(schema)
     stamped = (
-        landed.where(~is_reject(schema))
+        landed.observe(
+            QUALITY,
+            F.count_if(unclean & ~rejected).alias("partial_rows"),
+            F.count_if(rejected).alias("rejected_rows"),
+        )
+        .where(~rejected)
         .drop(CORRUPT_RECORD)
         .withColumn("processing_time", F.current_timestamp())
     )
@@ -58,7 +67,7 @@ def start_rejects(
     spark: SparkSession,
     cfg: LakeConfig,
     schema: T.StructType = EVENT_SCHEMA,
-    bytes_per_batch: str | None = None,
+    bytes_per_batch: int | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
     """Append lines of which nothing could be read, whole, to the rejects files."""
@@ -101,7 +110,7 @@ def ingest_event_stream(
     budget_seconds: float = INGEST_BUDGET_SECONDS,
     available_now: bool = True,
     keep_rejects: bool = True,
-    bytes_per_batch: str | None = None,
+    bytes_per_batch: int | None = None,
 ) -> IngestRun:
     """Ingest landed events until none are left or the budget is spent, then report."""
     keep_progress(spark)

@@ -11,7 +11,12 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 SUCCESS = "SUCCESS"
 WARNING = "WARNING"
-REPORT_SCHEMA = "query string, batch_id bigint, num_input_rows bigint"
+REPORT_SCHEMA = (
+    "query string, batch_id bigint, num_input_rows bigint, "
+    "partial_rows bigint, rejected_rows bigint"
+)
+# Name of the row counts a query may keep beside its input rows.
+QUALITY = "quality"
 KEPT_PROGRESS = "spark.sql.streaming.numRecentProgressUpdates"
 MIN_KEPT_PROGRESS = 10_000
 
@@ -43,13 +48,14 @@ def run_bounded(queries: list[StreamingQuery], budget_seconds: float) -> bool:
 
 
 def run_report(spark: SparkSession, queries: list[StreamingQuery]) -> DataFrame:
-    """Input rows of each batch of each query."""
-    rows = [
-        (query.name, progress["batchId"], progress["numInputRows"])
-        for query in queries
-        for progress in query.recentProgress
-        if progress["numInputRows"] > 0
-    ]
+    """Input rows of each batch of each query, and how many of them were not clean."""
+    rows = []
+    for query in queries:
+        for progress in query.recentProgress:
+            if progress.numInputRows > 0:
+                quality = progress.observedMetrics.get(QUALITY)
+                counts = tuple(quality) if quality else (None, None)
+                rows.append((query.name, progress.batchId, progress.numInputRows, *counts))
     return spark.createDataFrame(rows, REPORT_SCHEMA)
 
 

@@ -1,0 +1,170 @@
+"""CSV scan, ingest, catalog and profile."""
+
+from __future__ import annotations
+
+import dataclasses
+from pathlib import Path
+
+import pytest
+from conftest import rows
+from fixtures import ITEMS, ORDERS, write_raw
+
+from shoplake.config import scratch_dir
+from shoplake.plans.event_feed import product_pool
+from shoplake.plans.ingest import ingest_all, ingest_csv
+from shoplake.plans.profile import profile_database
+from shoplake.session import shuffles_sized_for
+from shoplake.sinks.catalog import create_database, list_tables, register_external
+from shoplake.sinks.files import append, land_csv, overwrite
+from shoplake.sources.csv_files import discover_csv, scan_csv
+from shoplake.sources.files import landing_head, landing_summary
+
+INFERENCE = (
+    "id,zip,ts,price,d,note\n"
+    'abc,01037,2017-10-02 10:56:33,29.99,2017-10-02,"line1\nline2"\n'
+    "x2,13023,,8.1,,\n"
+)
+
+
+@pytest.fixture
+def inference_csv(tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text(INFERENCE)
+    return str(path)
+
+
+def test_inferred_types(spark, inference_csv):
+    df = scan_csv(spark, inference_csv, multi_line=True)
+    assert [kind for _, kind in df.dtypes] == [
+        "string", "int", "timestamp", "double", "date", "string",
+    ]
+    assert df.count() == 2
+    assert df.first().note == "line1\nline2"
+    assert scan_csv(spark, inference_csv).count() == 3
+
+
+def test_known_types_win_by_name(spark, inference_csv):
+    df = scan_csv(
+        spark, inference_csv, {"zip": "string", "price": "decimal(18,2)"}, multi_line=True
+    )
+    assert dict(df.dtypes)["zip"] == "string"
+    assert dict(df.dtypes)["d"] == "date"
+    assert df.first().zip == "01037"
+
+
+def test_changed_column_order_keeps_names(spark, tmp_path):
+    types = {"a": "int", "b": "string"}
+    for name, text in (("x", "a,b\n1,one\n"), ("y", "b,a\none,1\n")):
+        (tmp_path / name).write_text(text)
+        assert scan_csv(spark, str(tmp_path / name), types).select("a", "b").first() == (1, "one")
+
+
+def test_discovery_takes_csv_names_only(spark, cfg):
+    write_raw(cfg, orders=ORDERS)
+    for other in ("notes.txt", "UPPER.CSV", "a.csv.csv"):
+        Path(cfg.raw(other)).write_text("x\n1\n")
+    land_csv(spark.range(3), cfg.raw("ids.csv"))
+    assert rows(discover_csv(spark, cfg.raw())) == [
+        ("a.csv.csv", "a"),
+        ("ids.csv", "ids"),
+        ("orders.csv", "orders"),
+    ]
+
+
+def test_ingest_all(spark, cfg):
+    write_raw(cfg, orders=ORDERS, order_items=ITEMS)
+    loaded = ingest_all(spark, cfg)
+    assert {name: df.count() for name, df in loaded.items()} == {"orders": 5, "order_items": 6}
+    assert dict(loaded["order_items"].dtypes)["price"] == "decimal(18,2)"
+    assert rows(list_tables(spark, cfg.database)) == [("order_items",), ("orders",)]
+
+
+def test_unknown_columns_are_inferred(spark, cfg):
+    write_raw(cfg, products="product_id,weight\n1,2.5\n2,3.5\n")
+    table = ingest_csv(spark, "products.csv", cfg)
+    assert table.dtypes == [("product_id", "string"), ("weight", "double")]
+
+
+def test_ingest_again_with_new_columns(spark, cfg):
+    write_raw(cfg, t="a\n1\n")
+    assert ingest_csv(spark, "t.csv", cfg).columns == ["a"]
+    write_raw(cfg, t="a,b\n1,2\n3,4\n")
+    assert rows(ingest_csv(spark, "t.csv", cfg)) == [(1, 2), (3, 4)]
+    assert rows(spark.table(cfg.table("t"))) == [(1, 2), (3, 4)]
+
+
+def test_multi_line_table(spark, cfg):
+    cfg = dataclasses.replace(cfg, multi_line_tables=frozenset({"notes"}))
+    write_raw(cfg, notes=INFERENCE)
+    assert ingest_csv(spark, "notes.csv", cfg, show=True).count() == 2
+
+
+def test_registered_table_sees_appended_files(spark, cfg):
+    path = cfg.processed("ids")
+    create_database(spark, cfg.database)
+    overwrite(spark.range(3), path)
+    assert register_external(spark, cfg.table("ids"), path).count() == 3
+    append(spark.range(2), path)
+    assert register_external(spark, cfg.table("ids"), path).count() == 5
+
+
+def test_moved_table(spark, cfg):
+    create_database(spark, cfg.database)
+    for place, n in (("a", 1), ("b", 2)):
+        overwrite(spark.range(n), cfg.processed(place))
+        assert register_external(spark, cfg.table("t"), cfg.processed(place)).count() == n
+
+
+def test_partitioned_table_before_and_after_data(spark, cfg):
+    create_database(spark, cfg.database)
+    path, schema = cfg.processed("p"), spark.range(1).selectExpr("id", "id AS part").schema
+    table = register_external(spark, cfg.table("p"), path, schema=schema, partition_by=("part",))
+    assert table.count() == 0
+    overwrite(spark.range(4).selectExpr("id", "id % 2 AS part"), path, partition_by=("part",))
+    table = register_external(spark, cfg.table("p"), path, schema=schema, partition_by=("part",))
+    assert rows(table.select("id", "part")) == [(0, 0), (1, 1), (2, 0), (3, 1)]
+
+
+def test_temporary_views_are_not_tables(spark, cfg):
+    create_database(spark, cfg.database)
+    spark.range(1).createOrReplaceTempView("only_here")
+    assert rows(list_tables(spark, cfg.database)) == []
+
+
+def test_profile(spark, cfg):
+    write_raw(cfg, orders=ORDERS, order_items=ITEMS)
+    ingest_all(spark, cfg)
+    profile = profile_database(spark, cfg.database, sample=3)
+    assert rows(profile.counts) == [("order_items", 6), ("orders", 5)]
+    assert profile.samples["orders"].count() == 3
+    assert ("order_items", 5, "price", "decimal(18,2)") in rows(profile.columns)
+
+
+def test_landing_inspection(spark, cfg):
+    write_raw(cfg, a="x\n1\n", b="x\n1\n2\n")
+    assert rows(landing_summary(spark, cfg.raw())) == [(2, 10)]
+    assert rows(landing_head(spark, cfg.raw(), 5)) == [("a.csv", 4), ("b.csv", 6)]
+
+
+def test_shuffle_sizing(spark, cfg, monkeypatch):
+    write_raw(cfg, a="x\n" + "1\n" * 499)
+    monkeypatch.setattr("shoplake.session.SHUFFLE_BYTES_PER_TASK", 10)
+    with shuffles_sized_for(spark, cfg.raw()) as chosen:
+        assert chosen == 100
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "100"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+
+
+def test_scratch_is_shared(spark):
+    assert scratch_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_pool_without_a_product_table(spark, cfg):
+    create_database(spark, cfg.database)
+    assert product_pool(spark, cfg).size == 100
+
+
+def test_zone_names(cfg):
+    assert cfg.temp("a", "b") == f"{cfg.root}/temp/a/b"
+    with pytest.raises(ValueError):
+        cfg.zone("bronze")

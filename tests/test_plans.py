@@ -1,0 +1,139 @@
+"""Shapes of the plans: pruning, pushdown, skew and what never leaves the JVM."""
+
+from __future__ import annotations
+
+import pytest
+from conftest import executed_plan, rows
+from fixtures import build_shop
+from pyspark.sql import functions as F
+
+from shoplake.functions.payload import parse_payload, to_payload
+from shoplake.operators.daily import facts_on_date, facts_on_latest_date, metrics_per_day
+from shoplake.operators.facts import join_order_items
+from workload import batch
+from workload.tables import shop_items, shop_orders
+
+DATA = "/root/testdata/sf0.001"
+
+
+@pytest.fixture
+def conf(spark):
+    """Set session settings for one test."""
+    before = {}
+
+    def setter(key, value):
+        before.setdefault(key, spark.conf.get(key))
+        spark.conf.set(key, value)
+
+    yield setter
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_day_reaches_the_scan(spark, cfg):
+    facts = build_shop(spark, cfg)
+    shown = plan(facts_on_date(facts, "2018-01-02").select("price"))
+    assert "GreaterThanOrEqual(order_purchase_timestamp,2018-01-02T00:0" in shown
+    assert "ReadSchema: struct<order_purchase_timestamp:timestamp_ntz,price:decimal(18,2)>" in shown
+
+
+def test_latest_day_reaches_the_scan(spark, cfg):
+    facts = build_shop(spark, cfg)
+    assert "GreaterThanOrEqual(order_purchase_timestamp,ScalarSubquery" in plan(
+        facts_on_latest_date(facts).select("price")
+    )
+
+
+def test_months_are_pruned(spark):
+    cfg = batch.stored_facts(spark, DATA, fact_by_month=True)
+    facts = batch.fact_table(spark, cfg)
+    on_date = plan(facts_on_date(facts, "1996-03-13"))
+    assert "(order_month" in on_date.split("PartitionFilters:")[1].split("PushedFilters")[0]
+    latest = plan(facts_on_latest_date(facts))
+    assert "Subquery" in latest.split("PartitionFilters:")[1].split("PushedFilters")[0]
+
+
+def test_metrics_copy_no_rows(spark, cfg):
+    shown = executed_plan(metrics_per_day(build_shop(spark, cfg)))
+    assert "Expand" not in shown
+    assert "Join" not in shown
+
+
+@pytest.mark.parametrize("name", ["shape_events", "events_to_json", "daily_order_metrics_latest",
+                                  "fact_orders", "json_parse", "utf8_roundtrip"])
+def test_nothing_runs_in_python_or_crosses(spark, name):
+    shown = executed_plan(batch.BATCH_QUERIES[name](spark, DATA))
+    for bad in ("Python", "CartesianProduct", "NestedLoop"):
+        assert bad not in shown
+
+
+def test_big_join_shuffles_each_side_once(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    shown = plan(join_order_items(shop_orders(spark, DATA), shop_items(spark, DATA)))
+    assert "SortMergeJoin" in shown
+    assert shown.count("Exchange hashpartitioning(order_id") == 2
+
+
+def skewed_items(spark, n=60_000):
+    """A third of all items belong to one order and are copies of one another."""
+    key = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 5000 + 1)
+    return spark.range(0, n, 1, 12).select(
+        key.cast("string").alias("order_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot"))
+        .otherwise(F.col("id").cast("string"))
+        .alias("product_id"),
+        F.lit("s").alias("seller_id"),
+        F.lit(1).cast("decimal(18,2)").alias("price"),
+        F.lit(1).cast("decimal(18,2)").alias("freight_value"),
+        F.lit(None).cast("timestamp_ntz").alias("shipping_limit_date"),
+    )
+
+
+def all_orders(spark):
+    some = F.lit(None).cast("timestamp_ntz")
+    return spark.range(0, 5001).select(
+        F.col("id").cast("string").alias("order_id"),
+        (F.col("id") % 100).cast("string").alias("customer_id"),
+        F.lit("x").alias("order_status"),
+        F.lit("2020-02-02 02:02:02").cast("timestamp_ntz").alias("order_purchase_timestamp"),
+        some.alias("order_approved_at"),
+        some.alias("order_delivered_carrier_date"),
+        some.alias("order_delivered_customer_date"),
+        some.alias("order_estimated_delivery_date"),
+    )
+
+
+def test_hot_order_is_split(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "20k")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.2")
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20k")
+    items = skewed_items(spark).withColumn("product_id", F.sha2(F.uuid(), 256))
+    facts = join_order_items(all_orders(spark), items)
+    assert "SortMergeJoin(skew=true)" in executed_plan(facts)
+    assert facts.count() == 60_000
+
+
+def test_hot_day_and_hot_order_give_whole_metrics(spark):
+    facts = join_order_items(all_orders(spark), skewed_items(spark))
+    (got,) = rows(metrics_per_day(facts))
+    assert got[1:] == (5001, 100, 60_000.0, 1.0, 60_000.0, 40_001)
+
+
+def test_hot_pairs_shrink_before_the_shuffle(spark):
+    """Each of 12 tasks sends one row for the hot order's 20,000, and one per other order."""
+    measured = metrics_per_day(join_order_items(all_orders(spark), skewed_items(spark)))
+    measured.collect()
+    shown = measured._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    assert "rowCount=40012" in shown.replace(",", "") or "rowCount=4.00E+4" in shown
+
+
+def test_payload_stays_in_the_jvm(spark):
+    events = spark.read.parquet(f"{DATA}/events.parquet")
+    assert "Python" not in plan(parse_payload(to_payload(events)))

@@ -198,6 +198,10 @@ ORACLE = {
     "stream_rejects": """SELECT 'kept' AS kind, COUNT(*) AS n FROM events
        WHERE event_type <> 'error'
        UNION ALL SELECT 'rejected' AS kind, COUNT(*) AS n FROM events WHERE event_type = 'error'
-       UNION ALL SELECT 'bad_field' AS kind, COUNT(*) AS n FROM events
+       UNION ALL SELECT 'no_quantity' AS kind, COUNT(*) AS n FROM events
+       WHERE event_type = 'click'
+       UNION ALL SELECT 'reported_rejected' AS kind, COUNT(*) AS n FROM events
+       WHERE event_type = 'error'
+       UNION ALL SELECT 'reported_partial' AS kind, COUNT(*) AS n FROM events
        WHERE event_type = 'click'""",
 }

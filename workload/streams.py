@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -112,17 +112,19 @@ def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     typed = F.regexp_replace(body, '"quantity":"1"', '"quantity":1')
     sent = F.when(F.col("event_type") == "error", F.concat(F.lit("cut off: "), typed)).otherwise(typed)
     bridged(spark, cfg, events.select(sent.alias("value")))
-    raw = ingested(spark, cfg).table
+    run = ingested(spark, cfg)
     rejected = spark.read.parquet(cfg.processed(REJECTS))
 
-    def counted(kind: str, rows: DataFrame) -> DataFrame:
-        return rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(kind).alias("kind"), "n")
+    def counted(kind: str, n: Column, rows: DataFrame) -> DataFrame:
+        return rows.agg(n.alias("n")).select(F.lit(kind).alias("kind"), "n")
 
-    bad_field = raw.where(F.col("event_id").isNotNull() & F.col("quantity").isNull())
+    no_quantity = F.count_if(F.col("quantity").isNull())
     return (
-        counted("kept", raw)
-        .unionByName(counted("rejected", rejected))
-        .unionByName(counted("bad_field", bad_field))
+        counted("kept", F.count(F.lit(1)), run.table)
+        .unionByName(counted("rejected", F.count("line"), rejected))
+        .unionByName(counted("no_quantity", no_quantity, run.table))
+        .unionByName(counted("reported_rejected", F.sum("rejected_rows"), run.report))
+        .unionByName(counted("reported_partial", F.sum("partial_rows"), run.report))
     )
 
 
