@@ -50,6 +50,6 @@ def build_fact_orders(
         overwrite(laid_out, path, cfg.fmt, partitions)
     create_database(spark, cfg.database)
     return register_external(
-        spark, cfg.table(FACT_TABLE), path, cfg.fmt, partition_by=partitions
+        spark, cfg.table(FACT_TABLE), path, cfg.fmt, laid_out.schema, partitions
     )
 

@@ -58,7 +58,7 @@ def test_months_are_pruned(spark):
 
 
 def test_metrics_copy_no_rows(spark, cfg):
-    shown = executed_plan(metrics_per_day(build_shop(spark, cfg)))
+    shown = executed_plan(metrics_per_day(build_shop(spark, cfg), one_pass=False))
     assert "Expand" not in shown
     assert "Join" not in shown
 
@@ -118,15 +118,17 @@ def test_hot_order_is_split(spark, conf):
     assert facts.count() == 60_000
 
 
-def test_hot_day_and_hot_order_give_whole_metrics(spark):
+@pytest.mark.parametrize("one_pass", [True, False])
+def test_hot_day_and_hot_order_give_whole_metrics(spark, one_pass):
     facts = join_order_items(all_orders(spark), skewed_items(spark))
-    (got,) = rows(metrics_per_day(facts))
+    (got,) = rows(metrics_per_day(facts, one_pass))
     assert got[1:] == (5001, 100, 60_000.0, 1.0, 60_000.0, 40_001)
 
 
 def test_hot_pairs_shrink_before_the_shuffle(spark):
     """Each of 12 tasks sends one row for the hot order's 20,000, and one per other order."""
-    measured = metrics_per_day(join_order_items(all_orders(spark), skewed_items(spark)))
+    facts = join_order_items(all_orders(spark), skewed_items(spark))
+    measured = metrics_per_day(facts, one_pass=False)
     measured.collect()
     shown = measured._jdf.queryExecution().explainString(
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")

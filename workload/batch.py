@@ -262,7 +262,8 @@ def daily_order_metrics_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_order_metrics_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return daily.metrics_per_day(fact_table(spark, stored_facts(spark, sf_dir)))
+    facts = fact_table(spark, stored_facts(spark, sf_dir))
+    return daily.metrics_per_day(facts, one_pass=False)
 
 
 def daily_order_metrics_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
