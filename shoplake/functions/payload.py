@@ -15,6 +15,11 @@ def to_payload(events: DataFrame, pretty: bool = False) -> DataFrame:
     return events.select(F.to_json(F.struct(*events.columns), options).alias("value"))
 
 
+def peek(events: DataFrame, n: int = 3) -> DataFrame:
+    """Any ``n`` events as indented JSON."""
+    return to_payload(events.limit(n), pretty=True)
+
+
 def parse_payload(
     payloads: DataFrame, schema: T.StructType = EVENT_SCHEMA, column: str = "value"
 ) -> DataFrame:

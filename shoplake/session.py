@@ -42,15 +42,25 @@ def local_session(cores: int | str = "*", app: str = "shoplake", **conf: str) ->
 def shuffles_sized_for(spark: SparkSession, *paths: str) -> Iterator[int]:
     """Raise the number of shuffle partitions to fit the bytes under ``paths``.
 
-    Adaptive execution merges partitions that come out small and splits skewed ones, but
-    it starts from this number: 200 partitions of a 100 TB shuffle are 500 GB each.
+    Adaptive execution, on meanwhile, merges partitions that come out small and splits
+    skewed ones, but it starts from this number: 200 partitions of a 100 TB shuffle are
+    500 GB each.
     """
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
     wanted = math.ceil(total_bytes(spark, *paths) / SHUFFLE_BYTES_PER_TASK)
-    chosen = max(int(before), min(wanted, MAX_SHUFFLE_PARTITIONS))
-    spark.conf.set(key, str(chosen))
+    chosen = max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), min(wanted, MAX_SHUFFLE_PARTITIONS)
+    )
+    settings = {
+        "spark.sql.shuffle.partitions": str(chosen),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
     try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
         yield chosen
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)

@@ -21,6 +21,7 @@ def spark(tmp_path_factory):
             "spark.checkpoint.dir": str(folder),
             "spark.sql.warehouse.dir": str(folder / "warehouse"),
             "spark.driver.memory": "4g",
+            "spark.sql.shuffle.partitions": "4",
         },
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -10,7 +10,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from shoplake import schemas as S
-from shoplake.functions.payload import is_reject, parse_payload, to_payload
+from shoplake.functions.payload import is_reject, parse_payload, peek, to_payload
 from shoplake.operators import product_pool as pools
 from shoplake.operators.events import shape_events
 from shoplake.operators.product_pool import number_ids, product_ids, store_pool
@@ -72,6 +72,7 @@ def test_payload_round_trip(activity, pool):
     assert rows(back) == rows(events)
     pretty = to_payload(events, pretty=True)
     assert "\n" in pretty.first().value
+    assert peek(events).count() == 3
     assert rows(parse_payload(pretty).drop(S.CORRUPT_RECORD)) == rows(events)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shoplake.functions.payload import parse_payload, to_payload
 from shoplake.operators.daily import facts_on_date, facts_on_latest_date, metrics_per_day
 from shoplake.operators.facts import join_order_items
+from shoplake.plans.fact_orders import build_fact_orders
 from workload import batch
 from workload.tables import shop_items, shop_orders
 
@@ -118,6 +119,14 @@ def test_hot_order_is_split(spark, conf):
     assert facts.count() == 60_000
 
 
+def test_hot_month_is_split_over_files(spark, conf, cfg):
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100k")
+    items = skewed_items(spark)
+    facts = build_fact_orders(spark, cfg, all_orders(spark), items, (DATA,))
+    assert len(facts.inputFiles()) > 3
+    assert facts.count() == 60_000
+
+
 @pytest.mark.parametrize("one_pass", [True, False])
 def test_hot_day_and_hot_order_give_whole_metrics(spark, one_pass):
     facts = join_order_items(all_orders(spark), skewed_items(spark))

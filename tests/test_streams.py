@@ -42,7 +42,7 @@ def landed(cfg):
         cfg,
         events_bad__json=event(23, quantity="notint"),
         events_pretty__json='{\n"event_id": "24",\n"quantity": 1\n}',
-        bridge_complete_1__txt="Bridge completed successfully",
+        bridge_complete_1__txt="done",
     )
     return cfg
 
@@ -166,7 +166,7 @@ def test_one_event_per_file(spark, cfg):
 
 def test_bus_source_needs_its_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
-        read_bus(spark, subscribe="user-activities")
+        read_bus(spark, subscribe="clicks")
 
 
 def test_bus_source_reads_bodies(spark, cfg):
