@@ -71,6 +71,7 @@ METRICS_FIELDS = [
 ]
 
 CORRUPT_RECORD = "_corrupt_record"
+PROCESSING_TIME = "processing_time"
 
 # Types of the CSV columns the queries use. Times are zone-free and money is exact, so
 # results depend neither on the session time zone nor on the order of summation.
@@ -109,4 +110,4 @@ METRICS_SCHEMA = struct_of(METRICS_FIELDS)
 
 
 def raw_events_schema(event_schema: T.StructType = EVENT_SCHEMA) -> T.StructType:
-    return T.StructType([*event_schema.fields, T.StructField("processing_time", T.TimestampType())])
+    return T.StructType([*event_schema.fields, T.StructField(PROCESSING_TIME, T.TimestampType())])

@@ -11,7 +11,12 @@ from pyspark.sql import SparkSession
 from shoplake.sources.files import total_bytes
 
 SHUFFLE_BYTES_PER_TASK = 128 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 100_000
+SCAN_BYTES_PER_TASK = 256 * 1024 * 1024
+
+# A shuffle has (scan tasks x shuffle partitions) blocks. Beyond these numbers bigger tasks, which
+# can spill, cost less than ever smaller blocks: 100 TB is 100,000 tasks of 1 GB.
+MAX_SCAN_TASKS = 100_000
+MAX_SHUFFLE_PARTITIONS = 20_000
 
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -20,7 +25,7 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHUFFLE_BYTES_PER_TASK),
-    "spark.sql.files.maxPartitionBytes": str(2 * SHUFFLE_BYTES_PER_TASK),
+    "spark.sql.files.maxPartitionBytes": str(SCAN_BYTES_PER_TASK),
     "spark.sql.streaming.numRecentProgressUpdates": "10000",
 }
 
@@ -40,13 +45,14 @@ def local_session(cores: int | str = "*", app: str = "shoplake", **conf: str) ->
 
 @contextmanager
 def shuffles_sized_for(spark: SparkSession, *paths: str) -> Iterator[int]:
-    """Raise the number of shuffle partitions to fit the bytes under ``paths``.
+    """Raise the number of shuffle partitions, and the size of scan tasks, to fit ``paths``.
 
     Adaptive execution, on meanwhile, merges partitions that come out small and splits
     skewed ones, but it starts from this number: 200 partitions of a 100 TB shuffle are
     500 GB each.
     """
-    wanted = math.ceil(total_bytes(spark, *paths) / SHUFFLE_BYTES_PER_TASK)
+    n_bytes = total_bytes(spark, *paths)
+    wanted = math.ceil(n_bytes / SHUFFLE_BYTES_PER_TASK)
     chosen = max(
         int(spark.conf.get("spark.sql.shuffle.partitions")), min(wanted, MAX_SHUFFLE_PARTITIONS)
     )
@@ -56,6 +62,8 @@ def shuffles_sized_for(spark: SparkSession, *paths: str) -> Iterator[int]:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     }
+    if n_bytes > MAX_SCAN_TASKS * SCAN_BYTES_PER_TASK:
+        settings["spark.sql.files.maxPartitionBytes"] = str(math.ceil(n_bytes / MAX_SCAN_TASKS))
     before = {key: spark.conf.get(key) for key in settings}
     try:
         for key, value in settings.items():

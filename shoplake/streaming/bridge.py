@@ -26,11 +26,11 @@ def start_bridge(
     object stores: ask for it only where a consumer needs it.
     """
     lines = bodies.where(F.col("value").isNotNull()).select(
-        F.regexp_replace(F.col("value").cast("string"), r"\s*[\r\n]+\s*", " ").alias("value")
+        F.translate(F.col("value").cast("string"), "\r\n", "  ").alias("value")
     )
     writer = (
         lines.writeStream.format("text")
-        .queryName(BRIDGE)
+        .queryName(f"{cfg.database}.{BRIDGE}")
         .outputMode("append")
         .option("checkpointLocation", cfg.checkpoint(BRIDGE))
         .option("path", cfg.temp(EVENT_LANDING))

@@ -11,7 +11,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from shoplake.config import EVENT_LANDING, INGEST_BUDGET_SECONDS, RAW_EVENTS_TABLE, LakeConfig
 from shoplake.functions.payload import is_reject
-from shoplake.schemas import CORRUPT_RECORD, EVENT_SCHEMA, raw_events_schema
+from shoplake.schemas import CORRUPT_RECORD, EVENT_SCHEMA, PROCESSING_TIME, raw_events_schema
 from shoplake.sinks.catalog import create_database, register_external
 from shoplake.sources.events import read_event_files
 from shoplake.streaming.runs import QUALITY, keep_progress, outcome, run_bounded, run_report, triggered
@@ -50,11 +50,11 @@ def start_raw_events(
         )
         .where(~rejected)
         .drop(CORRUPT_RECORD)
-        .withColumn("processing_time", F.current_timestamp())
+        .withColumn(PROCESSING_TIME, F.current_timestamp())
     )
     writer = (
         stamped.writeStream.format(cfg.fmt)
-        .queryName(RAW_EVENTS_TABLE)
+        .queryName(f"{cfg.database}.{RAW_EVENTS_TABLE}")
         .outputMode("append")
         .option("checkpointLocation", cfg.checkpoint(RAW_EVENTS_TABLE))
         .option("mergeSchema", "true")
@@ -76,11 +76,11 @@ def start_rejects(
     )
     rejects = landed.where(is_reject(schema)).select(
         F.col(CORRUPT_RECORD).alias("line"),
-        F.current_timestamp().alias("processing_time"),
+        F.current_timestamp().alias(PROCESSING_TIME),
     )
     writer = (
         rejects.writeStream.format(cfg.fmt)
-        .queryName(REJECTS)
+        .queryName(f"{cfg.database}.{REJECTS}")
         .outputMode("append")
         .option("checkpointLocation", cfg.checkpoint(REJECTS))
         .option("path", cfg.processed(REJECTS))
@@ -91,11 +91,18 @@ def start_rejects(
 def register_raw_events(
     spark: SparkSession, cfg: LakeConfig, schema: T.StructType = EVENT_SCHEMA
 ) -> DataFrame:
-    """The raw events table; it may be registered before the first batch has landed."""
+    """The raw events table; it may be registered before the first batch has landed.
+
+    Columns that an earlier run's schema had and ``schema`` has not stay in the table.
+    """
     create_database(spark, cfg.database)
+    name = cfg.table(RAW_EVENTS_TABLE)
+    known = {*schema.names, PROCESSING_TIME}
+    earlier = spark.table(name).schema if spark.catalog.tableExists(name) else T.StructType()
+    schema = T.StructType([*schema, *[field for field in earlier if field.name not in known]])
     return register_external(
         spark,
-        cfg.table(RAW_EVENTS_TABLE),
+        name,
         cfg.processed(RAW_EVENTS_TABLE),
         cfg.fmt,
         schema=raw_events_schema(schema),

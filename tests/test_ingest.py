@@ -152,10 +152,33 @@ def test_shuffle_sizing(spark, cfg, monkeypatch):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     with shuffles_sized_for(spark, cfg.raw()) as chosen:
         assert chosen == 100
+        assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
         assert spark.conf.get("spark.sql.shuffle.partitions") == "100"
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
 
 
+def test_huge_inputs_get_bigger_tasks(spark, monkeypatch):
+    monkeypatch.setattr("shoplake.session.total_bytes", lambda *_: 100 * 10**12)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    with shuffles_sized_for(spark, "anywhere") as chosen:
+        assert chosen == 20_000
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(10**9)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+
+
+def test_scratch_without_a_shared_folder(spark):
+    shared, master = spark.conf.get("spark.checkpoint.dir"), spark.conf.get("spark.master")
+
+    class Session:
+        def __init__(self, **conf):
+            self.conf = conf
+
+    assert scratch_dir(Session(**{"spark.checkpoint.dir": shared}), "x").startswith(shared)
+    assert Path(scratch_dir(Session(**{"spark.master": master}), "x")).is_dir()
+    with pytest.raises(RuntimeError):
+        scratch_dir(Session(**{"spark.master": "yarn"}), "x")
+
+
 def test_scratch_is_shared(spark):
     assert scratch_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 

@@ -125,6 +125,19 @@ def test_day_that_lost_its_orders_loses_its_row(spark, cfg):
     assert [r.order_date for r in metrics_table(spark, cfg).collect()] == [dt.date(2018, 1, 2)]
 
 
+def test_days_do_not_depend_on_the_time_zone(spark, cfg):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Pacific/Auckland")
+        build_shop(spark, cfg)
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        facts = spark.table(cfg.table("fact_orders"))
+        assert rows(daily_metrics(facts)) == [JAN_2]
+        assert rows(publish_daily_metrics(spark, cfg, "2018-01-01")) == [JAN_1]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_rebuilt_facts_are_seen(spark, cfg):
     build_shop(spark, cfg)
     more = ITEMS + "o4,p4,s1,2018-01-04 00:00:00,3.00,0.50\n"

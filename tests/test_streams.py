@@ -108,6 +108,9 @@ def test_schema_grows_between_runs(spark, cfg):
     land(cfg, b__json='{"event_id":"2","quantity":6}')
     run = ingest_event_stream(spark, cfg, longer, keep_rejects=False)
     assert rows(run.table.select("event_id", "quantity")) == [("1", None), ("2", 6)]
+    land(cfg, c__json='{"event_id":"3","quantity":7}')
+    run = ingest_event_stream(spark, cfg, short, keep_rejects=False)
+    assert rows(run.table.select("event_id", "quantity")) == [("1", None), ("2", 6), ("3", None)]
 
 
 def test_time_boxed_run_goes_on_later(spark, cfg):
