@@ -17,13 +17,15 @@ BUCKET_DIGITS = 3
 
 
 def product_ids(products: DataFrame | None, spark: SparkSession, column: str = "product_id") -> DataFrame:
-    """Product ids as text; the dummy ids where ``products`` is missing or has no rows."""
+    """Product ids as text; the dummy ids where ``products`` is missing or has no ids."""
     dummies = spark.range(1, DUMMY_PRODUCTS + 1).select(
         prefixed(DUMMY_PRODUCT_PREFIX, "id").alias("product_id")
     )
     if products is None:
         return dummies
-    ids = products.select(F.col(column).cast("string").alias("product_id"))
+    ids = products.select(F.col(column).cast("string").alias("product_id")).where(
+        F.col("product_id").isNotNull()
+    )
     return ids.unionByName(dummies.where(~ids.limit(1).exists()))
 
 
@@ -34,10 +36,8 @@ def number_ids(ids: DataFrame) -> DataFrame:
     the ids evenly into 4,096 buckets that are numbered apart; the 4,096 bucket sizes
     give where each bucket's numbers start.
     """
-    bucketed = (
-        ids.where(F.col("product_id").isNotNull())
-        .distinct()
-        .withColumn("bucket", F.substring(F.md5("product_id"), 1, BUCKET_DIGITS))
+    bucketed = ids.distinct().withColumn(
+        "bucket", F.substring(F.md5("product_id"), 1, BUCKET_DIGITS)
     )
     in_bucket = Window.partitionBy("bucket").orderBy("product_id")
     earlier_buckets = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -36,6 +36,7 @@ def local_session(cores: int | str = "*", app: str = "shoplake", **conf: str) ->
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
     )
     for key, value in {**SESSION_CONF, **conf}.items():

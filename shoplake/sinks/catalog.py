@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import urlparse
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,7 +46,7 @@ def register_external(
         + f"{partitions} LOCATION {_text(path)}"
     )
     if partition_by and fmt in FILE_FORMATS and _folder_exists(spark, path):
-        spark.sql(f"MSCK REPAIR TABLE {table}")
+        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
     spark.catalog.refreshTable(table)
     return spark.table(table)
 
@@ -90,13 +92,17 @@ def _fits(spark: SparkSession, table: str, wanted: T.StructType, path: str) -> b
         row["col_name"]: row["data_type"]
         for row in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
     }
-    same_place = detail.get("Location", "").removeprefix("file:").rstrip("/") == path.removeprefix(
-        "file:"
-    ).rstrip("/")
-    return same_place and sorted(here.dtypes) == sorted(
+    return _same_place(detail.get("Location", ""), path) and sorted(here.dtypes) == sorted(
         (f.name, f.dataType.simpleString()) for f in wanted
     )
 
 
+def _same_place(one: str, other: str) -> bool:
+    """The same folder, where one of the two may leave out the file system."""
+    a, b = urlparse(one), urlparse(other)
+    same_host = a.netloc == b.netloc or not (a.netloc and b.netloc)
+    return same_host and a.path.rstrip("/") == b.path.rstrip("/")
+
+
 def _text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"

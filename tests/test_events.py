@@ -92,14 +92,16 @@ def brute_force_numbers(ids):
 
 def test_numbering_against_brute_force(spark):
     ids = [f"prod-{n % 900}-é" for n in range(1000)] + ["hot"] * 500
-    got = number_ids(spark.createDataFrame([(i,) for i in ids] + [(None,)], "product_id string"))
+    table = spark.createDataFrame([(i,) for i in ids] + [(None,)], "product_id string")
+    got = number_ids(product_ids(table, spark))
     assert rows(got.select("product_id", "pick")) == brute_force_numbers(ids)
 
 
 def test_dummy_ids_for_empty_or_missing_products(spark):
     dummies = [f"DUMMY_PROD_{i}" for i in range(1, 101)]
     empty = spark.createDataFrame([], "product_id string")
-    for products in (None, empty):
+    no_ids = spark.createDataFrame([(None,)], "product_id string")
+    for products in (None, empty, no_ids):
         assert sorted(r[0] for r in product_ids(products, spark).collect()) == sorted(dummies)
     one = spark.createDataFrame([("p",)], "product_id string")
     assert rows(product_ids(one, spark)) == [("p",)]

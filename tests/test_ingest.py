@@ -115,6 +115,15 @@ def test_moved_table(spark, cfg):
         assert register_external(spark, cfg.table("t"), cfg.processed(place)).count() == n
 
 
+def test_same_place():
+    from shoplake.sinks.catalog import _same_place
+
+    assert _same_place("file:/a/b/", "/a/b")
+    assert _same_place("hdfs://n/a", "/a")
+    assert not _same_place("s3a://x/a", "s3a://y/a")
+    assert not _same_place("/a", "/b")
+
+
 def test_partitioned_table_before_and_after_data(spark, cfg):
     create_database(spark, cfg.database)
     path, schema = cfg.processed("p"), spark.range(1).selectExpr("id", "id AS part").schema

@@ -146,6 +146,17 @@ def test_rebuilt_facts_are_seen(spark, cfg):
     assert rows(latest_order_date(facts)) == [(dt.date(2018, 1, 3),)]
 
 
+def test_month_that_lost_its_orders(spark, cfg):
+    cfg = dataclasses.replace(cfg, fact_by_month=True)
+    later = ORDERS + "o6,c1,created,2018-02-01 00:00:00,,,,\n"
+    facts = build_shop(spark, cfg, later, ITEMS + "o6,p1,s1,,1.00,1.00\n")
+    assert rows(latest_order_date(facts)) == [(dt.date(2018, 2, 1),)]
+    build_shop(spark, cfg)
+    assert rows(publish_daily_metrics(spark, cfg)) == [JAN_2]
+    months = spark.sql(f"SHOW PARTITIONS {cfg.table('fact_orders')}")
+    assert "order_month=2018-02-01" not in {r[0] for r in months.collect()}
+
+
 def test_bad_arguments(spark, cfg):
     facts = build_shop(spark, cfg)
     with pytest.raises(ValueError):
