@@ -61,6 +61,10 @@ class LakeConfig:
     def temp(self, *parts: str) -> str:
         return self.zone("temp", *parts)
 
+    def database_folder(self) -> str:
+        """Where tables go that are saved into the database without a path."""
+        return f"{self.root.rstrip('/')}/{self.database}.db"
+
     def checkpoint(self, name: str) -> str:
         return self.temp("checkpoints", name)
 

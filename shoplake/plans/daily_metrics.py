@@ -54,7 +54,7 @@ def publish_daily_metrics(
 
 def metrics_table(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
     """The metrics table, created where it does not exist yet."""
-    create_database(spark, cfg.database)
+    create_database(spark, cfg.database, cfg.database_folder())
     return register_external(
         spark,
         cfg.table(METRICS_TABLE),

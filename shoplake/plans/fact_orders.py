@@ -48,7 +48,7 @@ def build_fact_orders(
         partitions = ()
     with shuffles_sized_for(spark, *input_paths):
         overwrite(laid_out, path, cfg.fmt, partitions)
-    create_database(spark, cfg.database)
+    create_database(spark, cfg.database, cfg.database_folder())
     return register_external(
         spark, cfg.table(FACT_TABLE), path, cfg.fmt, laid_out.schema, partitions
     )

@@ -26,7 +26,7 @@ def ingest_csv(
         spark, cfg.raw(file_name), cfg.column_types, multi_line=table in cfg.multi_line_tables
     )
     overwrite(scanned, path, cfg.fmt)
-    create_database(spark, cfg.database)
+    create_database(spark, cfg.database, cfg.database_folder())
     loaded = register_external(spark, cfg.table(table), path, cfg.fmt)
     log.info("loaded %s into %s", file_name, cfg.table(table))
     if show:
@@ -38,7 +38,7 @@ def ingest_csv(
 def ingest_all(spark: SparkSession, cfg: LakeConfig, at_once: int = 4) -> dict[str, DataFrame]:
     """Load every CSV entry of the raw zone, ``at_once`` Spark jobs side by side."""
     names = sorted(row.file_name for row in discover_csv(spark, cfg.raw()).collect())
-    create_database(spark, cfg.database)
+    create_database(spark, cfg.database, cfg.database_folder())
     with ThreadPoolExecutor(max_workers=at_once) as jobs:
         loaded = jobs.map(lambda name: ingest_csv(spark, name, cfg), names)
         return {name.replace(CSV_SUFFIX, ""): table for name, table in zip(names, loaded)}

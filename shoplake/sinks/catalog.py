@@ -16,8 +16,9 @@ from shoplake.sources.files import list_files
 FILE_FORMATS = ("parquet", "orc")
 
 
-def create_database(spark: SparkSession, database: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)}")
+def create_database(spark: SparkSession, database: str, location: str | None = None) -> None:
+    at = f" LOCATION {_text(location)}" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)}{at}")
 
 
 def register_external(

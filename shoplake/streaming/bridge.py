@@ -20,10 +20,10 @@ def start_bridge(
 ) -> StreamingQuery:
     """Land message bodies (text in ``value``) unchanged, one JSON object per line.
 
-    Line breaks in JSON can only stand between tokens, so a body over several lines
-    becomes one line of the same meaning. The checkpoint and the sink's commit log
-    land each message once, also over restarts; a landing folder takes one bridge. One file per event is slow on
-    object stores: ask for it only where a consumer needs it.
+    Line breaks in JSON can only stand between tokens, so a body over several lines becomes
+    one line of the same meaning. The checkpoint and the sink's commit log land each message
+    once, also over restarts; a landing folder takes one bridge. One file per event is slow
+    on object stores: ask for it only where a consumer needs it.
     """
     lines = bodies.where(F.col("value").isNotNull()).select(
         F.translate(F.col("value").cast("string"), "\r\n", "  ").alias("value")

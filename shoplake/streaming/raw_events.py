@@ -95,7 +95,7 @@ def register_raw_events(
 
     Columns that an earlier run's schema had and ``schema`` has not stay in the table.
     """
-    create_database(spark, cfg.database)
+    create_database(spark, cfg.database, cfg.database_folder())
     name = cfg.table(RAW_EVENTS_TABLE)
     known = {*schema.names, PROCESSING_TIME}
     earlier = spark.table(name).schema if spark.catalog.tableExists(name) else T.StructType()

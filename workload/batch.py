@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -142,7 +140,7 @@ def sink_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registered(spark: SparkSession, sf_dir: str, label: str, names: list[str]) -> LakeConfig:
     """A database whose tables lie over the given files."""
     cfg = fresh_config(spark, label)
-    create_database(spark, cfg.database)
+    create_database(spark, cfg.database, cfg.database_folder())
     for name in names:
         register_external(spark, cfg.table(name), given_path(sf_dir, name))
     return cfg
