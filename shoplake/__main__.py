@@ -15,13 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
-from shoplake.config import (
-    BRIDGE_BUDGET_SECONDS,
-    DATABASE,
-    FILES_PER_BATCH,
-    INGEST_BUDGET_SECONDS,
-    LakeConfig,
-)
+from shoplake.config import DATABASE, FILES_PER_BATCH, LakeConfig
 from shoplake.plans.daily_metrics import APPEND, REPLACE_DATE, publish_daily_metrics
 from shoplake.plans.fact_orders import build_fact_orders
 from shoplake.plans.ingest import ingest_all
@@ -29,7 +23,7 @@ from shoplake.plans.profile import profile_database
 from shoplake.sources.events import read_bus
 from shoplake.streaming.bridge import start_bridge
 from shoplake.streaming.raw_events import ingest_event_stream
-from shoplake.streaming.runs import keep_progress, outcome, run_bounded, run_report
+from shoplake.streaming.runs import RunLog, outcome, run_bounded
 
 
 def ingest(spark: SparkSession, cfg: LakeConfig, args: argparse.Namespace) -> None:
@@ -39,8 +33,8 @@ def ingest(spark: SparkSession, cfg: LakeConfig, args: argparse.Namespace) -> No
 
 def profile(spark: SparkSession, cfg: LakeConfig, args: argparse.Namespace) -> None:
     found = profile_database(spark, cfg.database)
-    found.columns.show(1000, truncate=False)
-    found.counts.show(1000, truncate=False)
+    found.columns.show(found.columns.count(), truncate=False)
+    found.counts.show(found.counts.count(), truncate=False)
     for name, sample in found.samples.items():
         print(name)
         sample.show()
@@ -55,24 +49,29 @@ def metrics(spark: SparkSession, cfg: LakeConfig, args: argparse.Namespace) -> N
 
 
 def bridge(spark: SparkSession, cfg: LakeConfig, args: argparse.Namespace) -> None:
-    keep_progress(spark)
     options = dict(pair.split("=", 1) for pair in args.option)
     bodies = read_bus(spark, args.source, **options)
     query = start_bridge(bodies, cfg, available_now=not args.keep_running)
-    run_bounded([query], args.seconds or BRIDGE_BUDGET_SECONDS)
-    print(outcome(run_report(spark, [query])))
+    log = RunLog()
+    ended = run_bounded([query], args.seconds, log)
+    report = log.report(spark)
+    report.show(report.count())
+    print(outcome(report, ended or args.keep_running))
 
 
 def events(spark: SparkSession, cfg: LakeConfig, args: argparse.Namespace) -> None:
     run = ingest_event_stream(
         spark,
         cfg,
-        budget_seconds=args.seconds or INGEST_BUDGET_SECONDS,
+        budget_seconds=args.seconds,
         available_now=not args.keep_running,
         bytes_per_batch=args.bytes_per_batch,
     )
-    run.report.show(1000)
-    print(run.outcome)
+    run.report.show(run.report.count())
+    skipped = run.skipped.count()
+    if skipped:
+        print(f"{skipped} files that are no event files were not read")
+    print(outcome(run.report, run.ended or args.keep_running))
 
 
 COMMANDS = {
@@ -101,7 +100,7 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--write-mode", default=REPLACE_DATE, choices=[REPLACE_DATE, APPEND])
     parser.add_argument("--source", default="kafka", help="format of the message source")
     parser.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
-    parser.add_argument("--seconds", type=float, help="budget of a streaming run")
+    parser.add_argument("--seconds", type=float, help="stop a streaming run after this time; by default it ends when all is read")
     parser.add_argument("--keep-running", action="store_true", help="run on until the budget ends")
     parser.add_argument("--files-per-batch", type=int, default=FILES_PER_BATCH)
     parser.add_argument("--bytes-per-batch", type=int)

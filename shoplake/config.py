@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 from dataclasses import dataclass, field
@@ -17,10 +20,11 @@ FACT_TABLE = "fact_orders"
 METRICS_TABLE = "daily_order_metrics"
 RAW_EVENTS_TABLE = "raw_events"
 EVENT_LANDING = "event-stream-input"
+# The bridge lands in a folder of its own: its commit log says which of the files there count,
+# and must not hide what other producers put beside it.
+BRIDGED = "bridged"
 
-# Operating limits of the streaming jobs.
-INGEST_BUDGET_SECONDS = 180
-BRIDGE_BUDGET_SECONDS = 100
+# Fixed value: operating limit of the streaming jobs.
 FILES_PER_BATCH = 10
 
 
@@ -79,13 +83,14 @@ def quoted(identifier: str) -> str:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder that every executor can see.
 
-    It lies under ``spark.checkpoint.dir``. A machine-local folder is used only where that
-    setting is missing and the session itself runs on one machine.
+    It lies under ``spark.checkpoint.dir``. A session on one machine that lacks this setting gets
+    one folder, which is removed when Python ends; on a cluster the setting is required.
     """
-    leaf = f"shoplake-{label}-{uuid.uuid4().hex}"
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/{leaf}"
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix=leaf)
+    if not shared:
+        if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        shared = tempfile.mkdtemp(prefix="shoplake-")
+        atexit.register(shutil.rmtree, shared, ignore_errors=True)
+        spark.conf.set("spark.checkpoint.dir", shared)
+    return f"{shared.rstrip('/')}/shoplake-{label}-{uuid.uuid4().hex}"

@@ -1,4 +1,4 @@
-"""Ids, money and keyed choices."""
+"""Ids, money and text."""
 
 from __future__ import annotations
 
@@ -12,20 +12,13 @@ def prefixed(prefix: str, number: Column | str) -> Column:
 
 
 def cents(amount: Column | str) -> Column:
-    """Amount in whole cents, through an exact decimal."""
-    return (_col(amount).cast("decimal(18,2)") * 100).cast("int")
+    """Amount in whole cents, through an exact decimal; NULL where that has no room."""
+    return (_col(amount).try_cast("decimal(18,2)") * 100).try_cast("int")
 
 
-def within(key: Column | str, bounds: tuple[int, int]) -> Column:
-    """A number that ``key`` fixes, from ``bounds`` = (smallest, how many)."""
-    smallest, how_many = bounds
-    return (F.lit(smallest) + F.pmod(_col(key), F.lit(how_many))).cast("int")
-
-
-def one_of(key: Column | str, choices: list[str]) -> Column:
-    """The choice that ``key`` fixes."""
-    position = F.pmod(_col(key), F.lit(len(choices))).cast("int")
-    return F.get(F.array(*map(F.lit, choices)), position)
+def cents_lost(amount: Column | str) -> Column:
+    """True for an amount that has no value in cents."""
+    return _col(amount).isNotNull() & cents(amount).isNull()
 
 
 def utf8_bytes(text: Column | str) -> Column:

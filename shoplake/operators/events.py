@@ -7,34 +7,44 @@ from pyspark.sql import functions as F
 
 from shoplake import schemas as S
 from shoplake.functions.temporal import iso_text
-from shoplake.functions.values import cents, one_of, prefixed, within
-from shoplake.operators.product_pool import ProductPool
+from shoplake.functions.values import cents, prefixed
 
 
-def shape_events(activity: DataFrame, pool: ProductPool) -> DataFrame:
-    """Events of 13 fields from activity rows (event_id, event_type, user_id, ts, value).
+def shape_events(activity: DataFrame, products: DataFrame) -> DataFrame:
+    """Events of 13 fields from activity rows (event_id, event_type, user_id, ts, value, product_id).
 
-    Every event has the envelope fields. All but searches have a product. Of the attributes an
-    event has only those of its type; the others are NULL. ``event_id`` is a whole number
-    that fixes the picked product and the attribute values, so a rerun gives the same events.
+    Every value comes from the row. A product is named if ``products`` (a table with distinct
+    ``product_id``) knows it; searches have none. An amount belongs to checkouts and purchases; one
+    without room in cents is NULL. Fields for which a row has no source are NULL.
+
+    The join is a left join by id: Catalyst broadcasts a small product table and shuffles by id
+    else, where adaptive execution splits a product with very many events.
     """
-    key = F.col("event_id")
 
     def only_for(event_type: str, attribute: Column) -> Column:
         return F.when(F.col("event_type") == event_type, attribute)
 
-    return pool.pick_for(activity, key).select(
-        key.cast("string").alias("event_id"),
+    rows = activity.withColumn("wanted", F.col("product_id").cast("string")).drop("product_id")
+    known = products.select(F.col("product_id").cast("string").alias("known"))
+    unknown = F.lit(None)
+    return rows.join(known, rows["wanted"] == known["known"], "left").select(
+        F.col("event_id").cast("string").alias("event_id"),
         "event_type",
-        prefixed("user_", F.lit(S.USER_NUMBER[0]) + F.col("user_id")).alias("user_id"),
-        F.when(F.col("event_type") != S.PRODUCT_SEARCH, F.col("product_id")).alias("product_id"),
+        prefixed("user_", "user_id").alias("user_id"),
+        F.when(F.col("event_type") != S.PRODUCT_SEARCH, F.col("known")).alias("product_id"),
         iso_text("ts").alias("timestamp"),
-        prefixed("session_", within(key, S.SESSION_NUMBER)).alias("session_id"),
-        only_for(S.PRODUCT_VIEW, within(key, S.VIEW_SECONDS)).alias("view_duration_seconds"),
-        only_for(S.ADD_TO_CART, within(key, S.QUANTITY)).alias("quantity"),
+        unknown.cast("string").alias("session_id"),
+        unknown.cast("int").alias("view_duration_seconds"),
+        unknown.cast("int").alias("quantity"),
         only_for(S.CHECKOUT, cents("value")).alias("cart_value_cents"),
-        only_for(S.CHECKOUT, within(key, S.ITEMS_COUNT)).alias("items_count"),
+        unknown.cast("int").alias("items_count"),
         only_for(S.PURCHASE, cents("value")).alias("purchase_value_cents"),
-        only_for(S.PURCHASE, one_of(key, S.PAYMENT_METHODS)).alias("payment_method"),
-        only_for(S.PRODUCT_SEARCH, one_of(key, S.SEARCH_QUERIES)).alias("search_query"),
+        unknown.cast("string").alias("payment_method"),
+        unknown.cast("string").alias("search_query"),
     )
+
+
+def product_ids(products: DataFrame, column: str = "product_id") -> DataFrame:
+    """The distinct product ids, as text."""
+    ids = products.select(F.col(column).cast("string").alias("product_id"))
+    return ids.where(F.col("product_id").isNotNull()).distinct()

@@ -17,9 +17,8 @@ from shoplake.operators.daily import (
     metrics_per_day,
 )
 from shoplake.schemas import METRICS_SCHEMA
-from shoplake.session import shuffles_sized_for
 from shoplake.sinks.catalog import create_database, register_external
-from shoplake.sinks.files import append, replace_partitions
+from shoplake.sinks.files import append
 
 REPLACE_DATE = "replace_date"
 APPEND = "append"
@@ -45,11 +44,17 @@ def publish_daily_metrics(
     if write_mode not in (REPLACE_DATE, APPEND):
         raise ValueError(f"unknown write mode {write_mode!r}")
     facts = spark.table(cfg.table(FACT_TABLE))
-    with shuffles_sized_for(spark, cfg.processed(FACT_TABLE)):
+    if day is None:  # one value, fixed here: what is returned is the day that was written
+        day = latest_order_date(facts).first()[0]
+    if day is not None:
         _write(spark, daily_metrics(facts, day), cfg, day, write_mode)
     target = metrics_table(spark, cfg)
-    written = latest_order_date(facts).scalar() if day is None else F.lit(as_date(day))
-    return target.where(F.col(ORDER_DATE) == written).select(METRICS_SCHEMA.names)
+    return target.where(F.col(ORDER_DATE) == F.lit(day)).select(METRICS_SCHEMA.names)
+
+
+def all_daily_metrics(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
+    """Metrics of every day, from the stored facts: each distinct count reads its own two columns."""
+    return metrics_per_day(spark.table(cfg.table(FACT_TABLE)), one_pass=False)
 
 
 def metrics_table(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
@@ -69,14 +74,12 @@ def _write(
     spark: SparkSession,
     metrics: DataFrame,
     cfg: LakeConfig,
-    day: dt.date | str | None,
+    day: dt.date | str,
     write_mode: str,
 ) -> None:
     path = cfg.presentation(METRICS_TABLE)
     if write_mode == APPEND:
         append(metrics, path, cfg.fmt, (ORDER_DATE,))
-    elif day is None:
-        replace_partitions(metrics, path, cfg.fmt, (ORDER_DATE,))
     else:
         # Names the partition, so that it is emptied where there are no metrics to write.
         metrics_table(spark, cfg)

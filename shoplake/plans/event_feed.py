@@ -1,27 +1,13 @@
-"""Product pool and shaped events from catalog tables."""
+"""Shaped events from catalog tables."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from shoplake.config import LakeConfig
-from shoplake.operators.events import shape_events
-from shoplake.operators.product_pool import ProductPool, product_ids, store_pool
-from shoplake.sources.tables import scan_table_or_none
-
-
-def product_pool(spark: SparkSession, cfg: LakeConfig) -> ProductPool:
-    """Numbered ids of the product table, or the dummy ids where it is missing or empty.
-
-    Each call stores its own pool: a stream may still be reading an earlier one.
-    """
-    products = scan_table_or_none(spark, cfg.table(cfg.products_table))
-    path = cfg.temp("product_pool", uuid.uuid4().hex)
-    return store_pool(product_ids(products, spark), path, cfg.fmt)
+from shoplake.operators.events import product_ids, shape_events
 
 
 def shaped_events(spark: SparkSession, cfg: LakeConfig, activity: DataFrame) -> DataFrame:
     """Events of ``activity``, a batch or a stream, with products of the product table."""
-    return shape_events(activity, product_pool(spark, cfg))
+    return shape_events(activity, product_ids(spark.table(cfg.table(cfg.products_table))))

@@ -8,48 +8,44 @@ from pyspark.sql import functions as F
 from shoplake.config import FACT_TABLE, LakeConfig
 from shoplake.operators.daily import ORDER_MONTH, PURCHASED_AT
 from shoplake.operators.facts import join_order_items
-from shoplake.session import shuffles_sized_for
 from shoplake.sinks.catalog import create_database, register_external
 from shoplake.sinks.files import overwrite
 
+SPREAD = "_spread"
+
 
 def build_fact_orders(
     spark: SparkSession,
     cfg: LakeConfig,
     orders: DataFrame | None = None,
     items: DataFrame | None = None,
-    input_paths: tuple[str, ...] = (),
 ) -> DataFrame:
     """Join orders with items into the fact table, replacing it, and return the table.
 
-    The files are laid out by time of purchase, so a query for one day skips most row groups:
-    rows of a month come together, sorted by time. The layout shuffle is a rebalance: it
-    splits a month that is too big for one task. ``cfg.fact_by_month`` also puts each month
-    in its own folder, which adds the partition column ``order_month``; with it a query for
-    one day does not even list the files of other months.
-
-    ``input_paths`` are the folders of tables passed in, for sizing the shuffles.
+    The files are laid out by time of purchase: rows are range-partitioned and sorted by it, so a
+    day lies in few files and its query skips the others by their statistics. A random number
+    takes part in the ranges, so neither a hot moment nor a hot order is too big for a task.
+    The bounds come from a sample of the joined rows; for it the join runs once more, over the
+    shuffled inputs that are there already. ``cfg.fact_by_month`` also puts each month in its own
+    folder, which adds the partition column ``order_month``; with it a query for one day does
+    not even list the files of other months.
     """
-    if orders is None:
-        input_paths += (cfg.processed(cfg.orders_table),)
-    if items is None:
-        input_paths += (cfg.processed(cfg.items_table),)
     orders = spark.table(cfg.table(cfg.orders_table)) if orders is None else orders
     items = spark.table(cfg.table(cfg.items_table)) if items is None else items
     path = cfg.processed(FACT_TABLE)
     facts = join_order_items(orders, items)
-    monthly = facts.withColumn(ORDER_MONTH, F.trunc(PURCHASED_AT, "month"))
-    laid_out = monthly.hint("rebalance", ORDER_MONTH)
+    partitions: tuple[str, ...] = ()
     if cfg.fact_by_month:
-        laid_out = laid_out.sortWithinPartitions(ORDER_MONTH, PURCHASED_AT)
+        facts = facts.withColumn(ORDER_MONTH, F.trunc(PURCHASED_AT, "month"))
         partitions = (ORDER_MONTH,)
-    else:
-        laid_out = laid_out.drop(ORDER_MONTH).sortWithinPartitions(PURCHASED_AT)
-        partitions = ()
-    with shuffles_sized_for(spark, *input_paths):
-        overwrite(laid_out, path, cfg.fmt, partitions)
+    laid_out = (
+        facts.withColumn(SPREAD, F.rand(0))
+        .repartitionByRange(*partitions, PURCHASED_AT, SPREAD)
+        .sortWithinPartitions(*partitions, PURCHASED_AT)
+        .drop(SPREAD)
+    )
+    overwrite(laid_out, path, cfg.fmt, partitions)
     create_database(spark, cfg.database, cfg.database_folder())
     return register_external(
         spark, cfg.table(FACT_TABLE), path, cfg.fmt, laid_out.schema, partitions
     )
-

@@ -5,27 +5,47 @@ from __future__ import annotations
 import logging
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from shoplake.config import LakeConfig
 from shoplake.sinks.catalog import create_database, register_external
 from shoplake.sinks.files import overwrite
-from shoplake.sources.csv_files import CSV_SUFFIX, discover_csv, scan_csv
+from shoplake.sources.csv_files import (
+    CSV_SUFFIX,
+    count_lost,
+    discover_csv,
+    lost_values,
+    scan_csv,
+    scan_texts,
+    typed,
+)
 
 log = logging.getLogger(__name__)
 SAMPLE_ROWS = 5
+REJECTS = "_rejects"
 
 
 def ingest_csv(
     spark: SparkSession, file_name: str, cfg: LakeConfig, show: bool = False
 ) -> DataFrame:
-    """Load one raw CSV entry into its table, replacing earlier content, and return the table."""
-    table = file_name.replace(CSV_SUFFIX, "")
-    path = cfg.processed(table)
-    scanned = scan_csv(
-        spark, cfg.raw(file_name), cfg.column_types, multi_line=table in cfg.multi_line_tables
-    )
-    overwrite(scanned, path, cfg.fmt)
+    """Load one raw CSV entry into its table, replacing earlier content, and return the table.
+
+    Values that their type cannot hold are counted while the table is written. If there are any,
+    their texts are kept in ``<table>_rejects``, which takes a second reading of the file.
+    """
+    table = file_name.removesuffix(CSV_SUFFIX)
+    path, source, types = cfg.processed(table), cfg.raw(file_name), cfg.column_types
+    many = table in cfg.multi_line_tables
+    rejects = cfg.processed(f"{table}{REJECTS}")
+    if types:
+        texts = scan_texts(spark, source, types, many)
+        seen = Observation()
+        overwrite(texts.observe(seen, count_lost(texts, types)).select(*typed(texts, types)), path, cfg.fmt)
+        overwrite(lost_values(texts if seen.get["lost"] else texts.limit(0), types), rejects, cfg.fmt)
+        if seen.get["lost"]:
+            log.warning("%s values of %s did not fit: see %s", seen.get["lost"], file_name, rejects)
+    else:
+        overwrite(scan_csv(spark, source, multi_line=many), path, cfg.fmt)
     create_database(spark, cfg.database, cfg.database_folder())
     loaded = register_external(spark, cfg.table(table), path, cfg.fmt)
     log.info("loaded %s into %s", file_name, cfg.table(table))
@@ -41,4 +61,4 @@ def ingest_all(spark: SparkSession, cfg: LakeConfig, at_once: int = 4) -> dict[s
     create_database(spark, cfg.database, cfg.database_folder())
     with ThreadPoolExecutor(max_workers=at_once) as jobs:
         loaded = jobs.map(lambda name: ingest_csv(spark, name, cfg), names)
-        return {name.replace(CSV_SUFFIX, ""): table for name, table in zip(names, loaded)}
+        return {name.removesuffix(CSV_SUFFIX): table for name, table in zip(names, loaded)}

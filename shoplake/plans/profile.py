@@ -20,12 +20,14 @@ class DatabaseProfile:
     samples: dict[str, DataFrame]
 
 
-def count_tables(tables: dict[str, DataFrame]) -> DataFrame:
+def count_tables(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
     """(table_name, count) of all tables in one job."""
     counts = [
         row_count(table).select(F.lit(name).alias("table_name"), "count")
         for name, table in tables.items()
     ]
+    if not counts:
+        return spark.createDataFrame([], "table_name string, count bigint")
     return reduce(DataFrame.unionByName, counts)
 
 
@@ -37,6 +39,6 @@ def profile_database(spark: SparkSession, database: str, sample: int = 10) -> Da
     }
     return DatabaseProfile(
         columns=describe_tables(spark, database),
-        counts=count_tables(tables),
+        counts=count_tables(spark, tables),
         samples={name: sample_rows(table, sample) for name, table in tables.items()},
     )

@@ -28,19 +28,6 @@ CHECKOUT = "checkout"
 PURCHASE = "purchase"
 PRODUCT_SEARCH = "product_search"
 EVENT_TYPES = [PRODUCT_VIEW, ADD_TO_CART, CHECKOUT, PURCHASE, PRODUCT_SEARCH]
-PAYMENT_METHODS = ["credit_card", "debit_card", "paypal", "gift_card"]
-SEARCH_QUERIES = ["phone", "laptop", "headphones", "camera", "watch"]
-
-# Smallest value and number of values of each numeric event attribute.
-USER_NUMBER = (1000, 9000)
-SESSION_NUMBER = (10000, 90000)
-VIEW_SECONDS = (5, 296)
-QUANTITY = (1, 5)
-ITEMS_COUNT = (1, 10)
-
-# Stand-in product ids DUMMY_PROD_1 .. DUMMY_PROD_100.
-DUMMY_PRODUCT_PREFIX = "DUMMY_PROD_"
-DUMMY_PRODUCTS = 100
 
 # Columns of the fact table by the side of the join they come from, in output order.
 FACT_COLUMNS = [
@@ -87,8 +74,8 @@ KNOWN_COLUMN_TYPES = {
     "order_delivered_customer_date": "timestamp_ntz",
     "order_estimated_delivery_date": "timestamp_ntz",
     "shipping_limit_date": "timestamp_ntz",
-    "price": "decimal(18,2)",
-    "freight_value": "decimal(18,2)",
+    "price": "decimal(18,6)",
+    "freight_value": "decimal(18,6)",
 }
 
 

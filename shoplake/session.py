@@ -3,13 +3,9 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
-from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-from shoplake.sources.files import total_bytes
-
 SHUFFLE_BYTES_PER_TASK = 128 * 1024 * 1024
 SCAN_BYTES_PER_TASK = 256 * 1024 * 1024
 
@@ -44,32 +40,17 @@ def local_session(cores: int | str = "*", app: str = "shoplake", **conf: str) ->
     return builder.getOrCreate()
 
 
-@contextmanager
-def shuffles_sized_for(spark: SparkSession, *paths: str) -> Iterator[int]:
-    """Raise the number of shuffle partitions, and the size of scan tasks, to fit ``paths``.
+def conf_for(n_bytes: int) -> dict[str, str]:
+    """Settings for a session whose largest input has ``n_bytes``, to be given when it starts.
 
-    Adaptive execution, on meanwhile, merges partitions that come out small and splits
-    skewed ones, but it starts from this number: 200 partitions of a 100 TB shuffle are
-    500 GB each.
+    Adaptive execution begins shuffles with this many partitions and merges those that come out
+    small: 200 partitions of a 100 TB shuffle would be 500 GB each. Jobs of this package never
+    change settings themselves, so several of them can share a session.
     """
-    n_bytes = total_bytes(spark, *paths)
-    wanted = math.ceil(n_bytes / SHUFFLE_BYTES_PER_TASK)
-    chosen = max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")), min(wanted, MAX_SHUFFLE_PARTITIONS)
-    )
-    settings = {
-        "spark.sql.shuffle.partitions": str(chosen),
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    wanted = min(math.ceil(n_bytes / SHUFFLE_BYTES_PER_TASK), MAX_SHUFFLE_PARTITIONS)
+    scan = max(SCAN_BYTES_PER_TASK, math.ceil(n_bytes / MAX_SCAN_TASKS))
+    return {
+        **SESSION_CONF,
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(max(200, wanted)),
+        "spark.sql.files.maxPartitionBytes": str(scan),
     }
-    if n_bytes > MAX_SCAN_TASKS * SCAN_BYTES_PER_TASK:
-        settings["spark.sql.files.maxPartitionBytes"] = str(math.ceil(n_bytes / MAX_SCAN_TASKS))
-    before = {key: spark.conf.get(key) for key in settings}
-    try:
-        for key, value in settings.items():
-            spark.conf.set(key, value)
-        yield chosen
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)

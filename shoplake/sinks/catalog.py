@@ -32,12 +32,18 @@ def register_external(
 ) -> DataFrame:
     """Make ``table`` an external table over ``path`` that shows what lies there now.
 
-    An entry with another schema is replaced (its files are not touched); an
-    entry that still fits is refreshed. With ``schema`` the folder may still be empty.
+    An external entry with another schema or place is replaced (its files are not touched); an
+    entry that still fits is refreshed. A managed table or a view of that name is an error:
+    dropping a managed table would delete its files. With ``schema`` the folder may
+    still be empty.
     """
     wanted = schema or spark.read.format(fmt).options(**options).load(path).schema
-    if spark.catalog.tableExists(table) and not _fits(spark, table, wanted, path):
-        spark.sql(f"DROP TABLE {table}")
+    if spark.catalog.tableExists(table):
+        detail = _detail(spark, table)
+        if detail.get("Type") != "EXTERNAL":
+            raise ValueError(f"{table} exists and is no external table: {detail.get('Type')}")
+        if not _fits(spark, table, detail, wanted, path):
+            spark.sql(f"DROP TABLE {table}")
     columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in wanted)
     partitions = f"PARTITIONED BY ({', '.join(map(quoted, partition_by))})" if partition_by else ""
     settings = ", ".join(f"{_text(k)} {_text(str(v))}" for k, v in options.items())
@@ -87,12 +93,17 @@ def _folder_exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def _fits(spark: SparkSession, table: str, wanted: T.StructType, path: str) -> bool:
+def _detail(spark: SparkSession, table: str) -> dict[str, str]:
+    """What the catalog says of a table below its columns."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    heading = next(i for i, row in enumerate(rows) if row["col_name"].startswith("# Detailed"))
+    return {row["col_name"]: row["data_type"] for row in rows[heading + 1 :]}
+
+
+def _fits(
+    spark: SparkSession, table: str, detail: dict[str, str], wanted: T.StructType, path: str
+) -> bool:
     here = spark.table(table)
-    detail = {
-        row["col_name"]: row["data_type"]
-        for row in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
-    }
     return _same_place(detail.get("Location", ""), path) and sorted(here.dtypes) == sorted(
         (f.name, f.dataType.simpleString()) for f in wanted
     )

@@ -20,12 +20,3 @@ def overwrite(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tupl
 
 def append(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tuple[str, ...] = ()) -> None:
     df.write.format(fmt).mode("append").partitionBy(*partition_by).save(path)
-
-
-def replace_partitions(
-    df: DataFrame, path: str, fmt: str = "parquet", partition_by: tuple[str, ...] = ()
-) -> None:
-    """Replace the partitions that ``df`` has rows for; others stay as they are."""
-    df.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        *partition_by
-    ).save(path)

@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoplake.config import FILES_PER_BATCH
+from shoplake.config import BRIDGED, FILES_PER_BATCH
 from shoplake.schemas import CORRUPT_RECORD, EVENT_SCHEMA
+from shoplake.sources.files import list_files, make_folder
 
-# Event files by other producers, and the part files of the bridge. Marker files that other
-# tools drop into the same folder match neither.
-LANDED_FILES = "{*.json,part-*.txt}"
+MESSAGES_PER_BATCH = 10_000_000
+
+# Event files of any producer, also compressed. What else lies in the folder, such as marker
+# files, is not read, and ``skipped_files`` names it.
+EVENT_FILES = "{*.json*,*.jsonl*,*.ndjson*}"
 
 
 def read_event_files(
@@ -20,7 +23,7 @@ def read_event_files(
     schema: T.StructType = EVENT_SCHEMA,
     files_per_batch: int | None = FILES_PER_BATCH,
     bytes_per_batch: int | None = None,
-    glob: str = LANDED_FILES,
+    glob: str | None = EVENT_FILES,
 ) -> DataFrame:
     """Stream of landed events with a fixed schema, and the text of lines that do not parse.
 
@@ -31,8 +34,9 @@ def read_event_files(
         spark.readStream.schema(with_corrupt)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT_RECORD)
-        .option("pathGlobFilter", glob)
     )
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
     if bytes_per_batch:
         reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
     elif files_per_batch:
@@ -40,13 +44,42 @@ def read_event_files(
     return reader.json(folder)
 
 
+def read_landing(
+    spark: SparkSession,
+    folder: str,
+    schema: T.StructType = EVENT_SCHEMA,
+    files_per_batch: int | None = FILES_PER_BATCH,
+    bytes_per_batch: int | None = None,
+) -> DataFrame:
+    """Stream of events of all producers: files in the folder, and what the bridge committed.
+
+    The limits of a batch hold for each of the two.
+    """
+    bridged = f"{folder}/{BRIDGED}"
+    for path in (folder, bridged):
+        make_folder(spark, path)
+    limits = (schema, files_per_batch, bytes_per_batch)
+    foreign = read_event_files(spark, folder, *limits)
+    return foreign.unionByName(read_event_files(spark, bridged, *limits, glob=None))
+
+
+def skipped_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Names of files beside the event files, which are not read."""
+    inside = F.substring_index("path", f"/{folder.rstrip('/').rsplit('/', 1)[-1]}/", -1)
+    names = list_files(spark, folder).where(~F.startswith(inside, F.lit(f"{BRIDGED}/"))).select("name")
+    return names.where(~F.col("name").rlike(r"\.(json|jsonl|ndjson)"))
+
+
 def read_bus(spark: SparkSession, fmt: str = "kafka", **options: str) -> DataFrame:
     """Stream of message bodies as text in ``value``, from the earliest offset.
 
-    ``fmt="kafka"`` needs the Kafka connector on the class path.
+    ``fmt="kafka"`` needs the Kafka connector on the class path. Its batches are limited, as the
+    first one would else be all that the topic retains. ``schema`` is an option for file formats.
     """
-    earliest = {"startingOffsets": "earliest"} if fmt == "kafka" else {}
-    stream = spark.readStream.format(fmt).options(**{**earliest, **options}).load()
+    defaults = {"startingOffsets": "earliest", "maxOffsetsPerTrigger": str(MESSAGES_PER_BATCH)}
+    schema = options.pop("schema", None)
+    reader = spark.readStream.format(fmt).options(**{**(defaults if fmt == "kafka" else {}), **options})
+    stream = (reader.schema(schema) if schema else reader).load()
     return stream.select(F.col("value").cast("string").alias("value"))
 
 

@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
-from shoplake.config import EVENT_LANDING, INGEST_BUDGET_SECONDS, RAW_EVENTS_TABLE, LakeConfig
+from shoplake.config import EVENT_LANDING, RAW_EVENTS_TABLE, LakeConfig
 from shoplake.functions.payload import is_reject
 from shoplake.schemas import CORRUPT_RECORD, EVENT_SCHEMA, PROCESSING_TIME, raw_events_schema
 from shoplake.sinks.catalog import create_database, register_external
-from shoplake.sources.events import read_event_files
-from shoplake.streaming.runs import QUALITY, keep_progress, outcome, run_bounded, run_report, triggered
+from shoplake.sources.events import read_landing, skipped_files
+from shoplake.streaming.runs import QUALITY, RunLog, outcome, run_bounded, triggered
 
 REJECTS = "rejected_events"
 
@@ -23,6 +23,7 @@ REJECTS = "rejected_events"
 class IngestRun:
     table: DataFrame
     report: DataFrame
+    skipped: DataFrame
     outcome: str
     ended: bool
 
@@ -38,7 +39,7 @@ def start_raw_events(
 
     Rows with an unreadable field are kept, without that field, and counted in the progress.
     """
-    landed = read_event_files(
+    landed = read_landing(
         spark, cfg.temp(EVENT_LANDING), schema, cfg.files_per_batch, bytes_per_batch
     )
     unclean, rejected = F.col(CORRUPT_RECORD).isNotNull(), is_reject(schema)
@@ -70,8 +71,12 @@ def start_rejects(
     bytes_per_batch: int | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Append lines of which nothing could be read, whole, to the rejects files."""
-    landed = read_event_files(
+    """Append lines of which nothing could be read, whole, to the rejects files.
+
+    This is a second reading of the landing, with a checkpoint of its own. ``ingest_event_stream``
+    starts it only after a batch had rejects; it then goes through all it has not read yet.
+    """
+    landed = read_landing(
         spark, cfg.temp(EVENT_LANDING), schema, cfg.files_per_batch, bytes_per_batch
     )
     rejects = landed.where(is_reject(schema)).select(
@@ -114,16 +119,25 @@ def ingest_event_stream(
     spark: SparkSession,
     cfg: LakeConfig,
     schema: T.StructType = EVENT_SCHEMA,
-    budget_seconds: float = INGEST_BUDGET_SECONDS,
+    budget_seconds: float | None = None,
     available_now: bool = True,
     keep_rejects: bool = True,
     bytes_per_batch: int | None = None,
 ) -> IngestRun:
-    """Ingest landed events until none are left or the budget is spent, then report."""
-    keep_progress(spark)
-    queries = [start_raw_events(spark, cfg, schema, bytes_per_batch, available_now)]
-    if keep_rejects:
-        queries.append(start_rejects(spark, cfg, schema, bytes_per_batch, available_now))
-    ended = run_bounded(queries, budget_seconds)
-    report = run_report(spark, queries[:1])
-    return IngestRun(register_raw_events(spark, cfg, schema), report, outcome(report), ended)
+    """Ingest landed events until none are left, or the budget (if any) is spent, then report.
+
+    The outcome of a run cut short is INCOMPLETE; started again it goes on where it stopped.
+    """
+    log = RunLog()
+    query = start_raw_events(spark, cfg, schema, bytes_per_batch, available_now)
+    ended = run_bounded([query], budget_seconds, log)
+    if keep_rejects and any(counts[2] for counts in log.batches.values()):
+        run_bounded([start_rejects(spark, cfg, schema, bytes_per_batch)])
+    report = log.report(spark)
+    return IngestRun(
+        register_raw_events(spark, cfg, schema),
+        report,
+        skipped_files(spark, cfg.temp(EVENT_LANDING)),
+        outcome(report, ended),
+        ended,
+    )

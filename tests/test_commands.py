@@ -8,7 +8,7 @@ from pathlib import Path
 from fixtures import ITEMS, ORDERS, write_raw
 
 from shoplake.__main__ import main
-from shoplake.config import EVENT_LANDING
+from shoplake.config import BRIDGED, EVENT_LANDING
 
 
 def test_all_commands(spark, cfg, capsys):
@@ -33,5 +33,5 @@ def test_bridge_command(spark, cfg, capsys):
     more = ["--source", "rate", "--option", "rowsPerSecond=5", "--keep-running", "--seconds", "6"]
     main(["bridge", "--root", cfg.root, *more], spark)
     assert "SUCCESS" in capsys.readouterr().out
-    landed = spark.read.text(cfg.temp(EVENT_LANDING))
+    landed = spark.read.text(cfg.temp(EVENT_LANDING, BRIDGED))
     assert landed.count() > 0

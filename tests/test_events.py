@@ -1,73 +1,72 @@
-"""Event shaping, payloads and the product pool."""
+"""Event shaping, product lookup and payloads."""
 
 from __future__ import annotations
 
 import datetime as dt
-import hashlib
 
 import pytest
 from conftest import rows
-from pyspark.sql import functions as F
 
 from shoplake import schemas as S
 from shoplake.functions.payload import is_reject, parse_payload, peek, to_payload
-from shoplake.operators import product_pool as pools
-from shoplake.operators.events import shape_events
-from shoplake.operators.product_pool import number_ids, product_ids, store_pool
-
-ENVELOPE = ["event_id", "event_type", "user_id", "timestamp", "session_id"]
-OWN_FIELDS = {
-    "product_view": {"product_id", "view_duration_seconds"},
-    "add_to_cart": {"product_id", "quantity"},
-    "checkout": {"product_id", "cart_value_cents", "items_count"},
-    "purchase": {"product_id", "purchase_value_cents", "payment_method"},
-    "product_search": {"search_query"},
-}
-
+from shoplake.functions.values import cents_lost
+from shoplake.operators.events import product_ids, shape_events
 
 @pytest.fixture
-def pool(spark, tmp_path):
-    products = spark.range(1, 8).withColumnRenamed("id", "product_id")
-    return store_pool(product_ids(products, spark), str(tmp_path / "pool"))
+def products(spark):
+    return product_ids(spark.createDataFrame([(1,), (2,), (2,), (None,)], "product_id int"))
 
 
-@pytest.fixture
-def activity(spark):
+def activity_of(spark, *values):
     when = dt.datetime(2024, 5, 6, 7, 8, 9, 10)
     data = [
-        (10 * n + i, kind, 42, when, 12.345)
-        for n in range(40)
-        for i, kind in enumerate(S.EVENT_TYPES)
+        (10 * n + i, kind, 42, when, value, n)
+        for n, value in enumerate(values)
+        for i, kind in enumerate([*S.EVENT_TYPES, None])
     ]
     return spark.createDataFrame(
-        data, "event_id bigint, event_type string, user_id bigint, ts timestamp_ntz, value double"
+        data,
+        "event_id bigint, event_type string, user_id bigint, ts timestamp_ntz, value double, product_id int",
     )
 
 
-def test_each_type_has_its_own_fields_only(activity, pool):
-    events = shape_events(activity, pool)
+@pytest.fixture
+def activity(spark):
+    return activity_of(spark, 12.345, 12.345, 12.345, 12.345)
+
+
+def test_every_value_comes_from_the_row(activity, products):
+    events = shape_events(activity, products)
     assert events.schema.names == S.EVENT_SCHEMA.names
     assert [f.dataType for f in events.schema] == [f.dataType for f in S.EVENT_SCHEMA]
-    for event in events.collect():
-        filled = {k for k, v in event.asDict().items() if v is not None}
-        assert filled == set(ENVELOPE) | OWN_FIELDS[event.event_type]
-
-
-def test_values_are_in_range(activity, pool):
-    for e in shape_events(activity, pool).collect():
-        assert e.user_id == "user_1042"
-        assert e.timestamp == "2024-05-06T07:08:09.000010"
-        assert 10000 <= int(e.session_id.removeprefix("session_")) <= 99999
-        assert e.view_duration_seconds is None or 5 <= e.view_duration_seconds <= 300
-        assert e.quantity is None or 1 <= e.quantity <= 5
-        assert e.items_count is None or 1 <= e.items_count <= 10
-        assert e.cart_value_cents in (None, 1235)
-        assert e.payment_method is None or e.payment_method in S.PAYMENT_METHODS
-        assert e.search_query is None or e.search_query in S.SEARCH_QUERIES
-
-
-def test_payload_round_trip(activity, pool):
-    events = shape_events(activity, pool)
+    for e in events.collect():
+        n = int(e.event_id) // 10
+        filled = {k: v for k, v in e.asDict().items() if v is not None}
+        want = {"event_id": e.event_id, "user_id": "user_42", "timestamp": "2024-05-06T07:08:09.000010"}
+        if e.event_type:
+            want["event_type"] = e.event_type
+        if e.event_type not in (None, S.PRODUCT_SEARCH) and n in (1, 2):
+            want["product_id"] = str(n)
+        if e.event_type == S.CHECKOUT:
+            want["cart_value_cents"] = 1235
+        if e.event_type == S.PURCHASE:
+            want["purchase_value_cents"] = 1235
+        assert filled == want
+
+
+def test_a_value_without_room_is_null_and_told(spark, products):
+    values = (3e7, 1e17, float("nan"), float("inf"), None, -0.005, 21474836.47)
+    activity = activity_of(spark, *values)
+    shaped = {int(e.event_id) // 10: e for e in shape_events(activity, products).collect()
+              if e.event_type == S.PURCHASE}
+    cents_of = [shaped[n].purchase_value_cents for n in range(len(values))]
+    assert cents_of == [None, None, None, None, None, -1, 2147483647]
+    lost = activity.where(cents_lost("value")).select("value").distinct().count()
+    assert lost == 4
+
+
+def test_payload_round_trip(activity, products):
+    events = shape_events(activity, products)
     back = parse_payload(to_payload(events)).drop(S.CORRUPT_RECORD)
     assert rows(back) == rows(events)
     pretty = to_payload(events, pretty=True)
@@ -83,36 +82,3 @@ def test_rejects_are_texts_without_any_field(spark):
     assert [r._corrupt_record for r in parsed.where(is_reject()).collect()] == ["not json"]
     kept = parsed.where(~is_reject())
     assert rows(kept.select("event_id")) == [("1",), ("2",), ("3",), (None,), (None,)]
-
-
-def brute_force_numbers(ids):
-    ordered = sorted(set(ids), key=lambda i: (hashlib.md5(i.encode()).hexdigest()[:3], i))
-    return sorted(((name, n) for n, name in enumerate(ordered)), key=repr)
-
-
-def test_numbering_against_brute_force(spark):
-    ids = [f"prod-{n % 900}-é" for n in range(1000)] + ["hot"] * 500
-    table = spark.createDataFrame([(i,) for i in ids] + [(None,)], "product_id string")
-    got = number_ids(product_ids(table, spark))
-    assert rows(got.select("product_id", "pick")) == brute_force_numbers(ids)
-
-
-def test_dummy_ids_for_empty_or_missing_products(spark):
-    dummies = [f"DUMMY_PROD_{i}" for i in range(1, 101)]
-    empty = spark.createDataFrame([], "product_id string")
-    no_ids = spark.createDataFrame([(None,)], "product_id string")
-    for products in (None, empty, no_ids):
-        assert sorted(r[0] for r in product_ids(products, spark).collect()) == sorted(dummies)
-    one = spark.createDataFrame([("p",)], "product_id string")
-    assert rows(product_ids(one, spark)) == [("p",)]
-
-
-@pytest.mark.parametrize("limit", [pools.BROADCAST_LIMIT_BYTES, 0])
-def test_pick_is_the_same_with_and_without_broadcast(spark, pool, monkeypatch, limit):
-    monkeypatch.setattr(pools, "BROADCAST_LIMIT_BYTES", limit)
-    assert pool.fits_broadcast is bool(limit)
-    events = spark.range(100).union(spark.range(1).selectExpr("CAST(NULL AS BIGINT)"))
-    number = {n: name for name, n in brute_force_numbers([str(i) for i in range(1, 8)])}
-    want = [(i, number[i % 7]) for i in range(100)] + [(None, None)]
-    picked = pool.pick_for(events, F.col("id")).select("id", "product_id")
-    assert rows(picked) == sorted(want, key=repr)

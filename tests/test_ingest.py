@@ -10,14 +10,19 @@ from conftest import rows
 from fixtures import ITEMS, ORDERS, write_raw
 
 from shoplake.config import scratch_dir
-from shoplake.plans.event_feed import product_pool
 from shoplake.plans.ingest import ingest_all, ingest_csv
 from shoplake.plans.profile import profile_database
-from shoplake.session import shuffles_sized_for
+from shoplake.session import conf_for
 from shoplake.sinks.catalog import create_database, list_tables, register_external
 from shoplake.sinks.files import append, land_csv, overwrite
 from shoplake.sources.csv_files import discover_csv, scan_csv
-from shoplake.sources.files import landing_head, landing_summary
+from shoplake.sources.files import (
+    LISTING_TASKS,
+    landing_head,
+    landing_summary,
+    list_files,
+    total_bytes,
+)
 
 INFERENCE = (
     "id,zip,ts,price,d,note\n"
@@ -75,7 +80,7 @@ def test_ingest_all(spark, cfg):
     write_raw(cfg, orders=ORDERS, order_items=ITEMS)
     loaded = ingest_all(spark, cfg)
     assert {name: df.count() for name, df in loaded.items()} == {"orders": 5, "order_items": 6}
-    assert dict(loaded["order_items"].dtypes)["price"] == "decimal(18,2)"
+    assert dict(loaded["order_items"].dtypes)["price"] == "decimal(18,6)"
     assert rows(list_tables(spark, cfg.database)) == [("order_items",), ("orders",)]
 
 
@@ -146,7 +151,7 @@ def test_profile(spark, cfg):
     profile = profile_database(spark, cfg.database, sample=3)
     assert rows(profile.counts) == [("order_items", 6), ("orders", 5)]
     assert profile.samples["orders"].count() == 3
-    assert ("order_items", 5, "price", "decimal(18,2)") in rows(profile.columns)
+    assert ("order_items", 5, "price", "decimal(18,6)") in rows(profile.columns)
 
 
 def test_landing_inspection(spark, cfg):
@@ -155,48 +160,103 @@ def test_landing_inspection(spark, cfg):
     assert rows(landing_head(spark, cfg.raw(), 5)) == [("a.csv", 4), ("b.csv", 6)]
 
 
-def test_shuffle_sizing(spark, cfg, monkeypatch):
-    write_raw(cfg, a="x\n" + "1\n" * 499)
-    monkeypatch.setattr("shoplake.session.SHUFFLE_BYTES_PER_TASK", 10)
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    with shuffles_sized_for(spark, cfg.raw()) as chosen:
-        assert chosen == 100
-        assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
-        assert spark.conf.get("spark.sql.shuffle.partitions") == "100"
-    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+def test_settings_for_a_size():
+    partitions = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert conf_for(10**9)[partitions] == "200"
+    assert conf_for(10**12)[partitions] == "7451"
+    assert conf_for(100 * 10**12)[partitions] == "20000"
+    assert conf_for(100 * 10**12)["spark.sql.files.maxPartitionBytes"] == str(10**9)
+
+
+def test_sizes_come_from_the_listing_in_few_tasks(spark, cfg):
+    """No task per file, and no job at all for the total."""
+    Path(cfg.raw()).mkdir(parents=True)
+    for i in range(150):
+        Path(cfg.raw(f"f{i}.csv")).write_text("x" * i)
+    group = "sizes"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        assert total_bytes(spark, cfg.raw()) == sum(range(150))
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) == []
+        before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "10")  # as if the files were large
+        assert list_files(spark, cfg.raw()).rdd.getNumPartitions() <= LISTING_TASKS
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_a_managed_table_is_never_dropped(spark, cfg):
+    create_database(spark, cfg.database, cfg.database_folder())
+    name = cfg.table("orders")
+    spark.range(7).write.saveAsTable(name)
+    write_raw(cfg, orders=ORDERS)
+    with pytest.raises(ValueError, match="external"):
+        ingest_csv(spark, "orders.csv", cfg)
+    overwrite(spark.range(2), cfg.processed("other"))
+    with pytest.raises(ValueError, match="external"):
+        register_external(spark, name, cfg.processed("other"))
+    assert spark.table(name).count() == 7
+    spark.sql(f"CREATE VIEW {cfg.table('v')} AS SELECT 1 AS one")
+    with pytest.raises(ValueError, match="VIEW"):
+        register_external(spark, cfg.table("v"), cfg.processed("other"))
+
+
+def test_time_forms_and_exact_money(spark, cfg):
+    times = ["2017-10-02 10:56:33", "2017-10-02T10:56:33", "2017-10-02", "2017-10-02 10:56", "soon", ""]
+    money = ["12.345", "12.3456789", "8", "x", "999999999999.5", "9999999999999"]
+    lines = [f"o{i},{t},{m}" for i, (t, m) in enumerate(zip(times, money))]
+    write_raw(cfg, orders="\n".join(["order_id,order_purchase_timestamp,price", *lines]))
+    table = ingest_csv(spark, "orders.csv", cfg)
+    got = {r.order_id: (r.order_purchase_timestamp, r.price) for r in table.collect()}
+    assert [str(got[f"o{i}"][0]) for i in range(6)] == [
+        "2017-10-02 10:56:33", "2017-10-02 10:56:33", "2017-10-02 00:00:00", "2017-10-02 10:56:00",
+        "None", "None",
+    ]
+    assert str(got["o0"][1]) == "12.345000" and str(got["o4"][1]) == "999999999999.500000"
+    lost = spark.read.parquet(cfg.processed("orders_rejects"))
+    assert rows(lost.select("column_name", "value")) == [
+        ("order_purchase_timestamp", "soon"),
+        ("price", "12.3456789"),
+        ("price", "9999999999999"),
+        ("price", "x"),
+    ]
+    write_raw(cfg, orders="order_id,price\no1,1.5\n")
+    ingest_csv(spark, "orders.csv", cfg)
+    assert spark.read.parquet(cfg.processed("orders_rejects")).count() == 0
 
 
-def test_huge_inputs_get_bigger_tasks(spark, monkeypatch):
-    monkeypatch.setattr("shoplake.session.total_bytes", lambda *_: 100 * 10**12)
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    with shuffles_sized_for(spark, "anywhere") as chosen:
-        assert chosen == 20_000
-        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(10**9)
-    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+def test_profile_of_an_empty_database(spark, cfg):
+    create_database(spark, cfg.database)
+    profile = profile_database(spark, cfg.database)
+    assert profile.counts.collect() == profile.columns.collect() == [] and profile.samples == {}
 
 
 def test_scratch_without_a_shared_folder(spark):
     shared, master = spark.conf.get("spark.checkpoint.dir"), spark.conf.get("spark.master")
 
+    class Conf(dict):
+        def set(self, key, value):
+            self[key] = value
+
     class Session:
         def __init__(self, **conf):
-            self.conf = conf
+            self.conf = Conf(conf)
 
     assert scratch_dir(Session(**{"spark.checkpoint.dir": shared}), "x").startswith(shared)
-    assert Path(scratch_dir(Session(**{"spark.master": master}), "x")).is_dir()
+    own = Session(**{"spark.master": master})
+    first = Path(scratch_dir(own, "x"))
+    assert first.parent.is_dir() and first.parent == Path(scratch_dir(own, "x")).parent
     with pytest.raises(RuntimeError):
         scratch_dir(Session(**{"spark.master": "yarn"}), "x")
+    with pytest.raises(RuntimeError):
+        scratch_dir(Session(**{"spark.master": "local-cluster[2,1,1024]"}), "x")
 
 
 def test_scratch_is_shared(spark):
     assert scratch_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
-def test_pool_without_a_product_table(spark, cfg):
-    create_database(spark, cfg.database)
-    assert product_pool(spark, cfg).size == 100
-
-
 def test_zone_names(cfg):
     assert cfg.temp("a", "b") == f"{cfg.root}/temp/a/b"
     with pytest.raises(ValueError):

@@ -8,6 +8,7 @@ from fixtures import build_shop
 from pyspark.sql import functions as F
 
 from shoplake.functions.payload import parse_payload, to_payload
+from shoplake.operators import daily
 from shoplake.operators.daily import facts_on_date, facts_on_latest_date, metrics_per_day
 from shoplake.operators.facts import join_order_items
 from shoplake.plans.fact_orders import build_fact_orders
@@ -39,7 +40,7 @@ def test_day_reaches_the_scan(spark, cfg):
     facts = build_shop(spark, cfg)
     shown = plan(facts_on_date(facts, "2018-01-02").select("price"))
     assert "GreaterThanOrEqual(order_purchase_timestamp,2018-01-02T00:0" in shown
-    assert "ReadSchema: struct<order_purchase_timestamp:timestamp_ntz,price:decimal(18,2)>" in shown
+    assert "ReadSchema: struct<order_purchase_timestamp:timestamp_ntz,price:decimal(18,6)>" in shown
 
 
 def test_latest_day_reaches_the_scan(spark, cfg):
@@ -119,12 +120,34 @@ def test_hot_order_is_split(spark, conf):
     assert facts.count() == 60_000
 
 
-def test_hot_month_is_split_over_files(spark, conf, cfg):
-    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100k")
-    items = skewed_items(spark)
-    facts = build_fact_orders(spark, cfg, all_orders(spark), items, (DATA,))
-    assert len(facts.inputFiles()) > 3
-    assert facts.count() == 60_000
+def test_hot_moment_is_split_over_files(spark, conf, cfg):
+    """All orders are of one second, and a third of the items of one order."""
+    conf("spark.sql.shuffle.partitions", "12")
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    facts = build_fact_orders(spark, cfg, all_orders(spark), skewed_items(spark))
+    sizes = [r[1] for r in facts.groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 60_000
+    assert len(sizes) == 12 and max(sizes) < 10_000
+
+
+def test_a_day_touches_few_files(spark, conf):
+    """Files hold ranges of time: one day lies in at most a few of many."""
+    conf("spark.sql.shuffle.partitions", "60")
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    facts = batch.fact_table(spark, batch.stored_facts(spark, "/root/testdata/sf0.01"))
+    ranges = (
+        facts.groupBy(F.input_file_name().alias("file"))
+        .agg(F.to_date(F.min(daily.PURCHASED_AT)).alias("a"), F.to_date(F.max(daily.PURCHASED_AT)).alias("b"))
+        .collect()
+    )
+    days = [r[0] for r in facts.select(F.to_date(daily.PURCHASED_AT)).distinct().limit(200).collect()]
+    assert len(ranges) >= 50
+    assert max(sum(r.a <= day <= r.b for r in ranges) for day in days) <= 3
+
+
+def test_inline_metrics_join_once(spark):
+    shown = plan(metrics_per_day(batch.facts_inline(spark, DATA)))
+    assert shown.count("Join ") == 1
 
 
 @pytest.mark.parametrize("one_pass", [True, False])

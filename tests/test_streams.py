@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import dataclasses
+import gzip
 import json
 from pathlib import Path
 
@@ -10,7 +11,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import types as T
 
-from shoplake.config import EVENT_LANDING
+from shoplake.config import BRIDGED, EVENT_LANDING
 from shoplake.functions.payload import parse_payload
 from shoplake.schemas import CORRUPT_RECORD, EVENT_SCHEMA
 from shoplake.sources.events import read_bus, read_event_files, read_table_files
@@ -21,7 +22,8 @@ from shoplake.streaming.raw_events import (
     register_raw_events,
     start_raw_events,
 )
-from shoplake.streaming.runs import run_bounded
+from shoplake.streaming import runs
+from shoplake.streaming.runs import RunLog, outcome, run_bounded
 
 
 def land(cfg, **files: str) -> None:
@@ -145,10 +147,64 @@ def test_bridge_lands_bodies_whole_and_once(spark, cfg):
     for _ in range(2):
         source = read_table_files(spark, path, T.StructType([T.StructField("value", T.StringType())]))
         run_bounded([start_bridge(source, cfg)], 60)
-    landed = spark.read.text(cfg.temp(EVENT_LANDING))
+    landed = spark.read.text(cfg.temp(EVENT_LANDING, BRIDGED))
     assert sorted(r.value for r in landed.collect()) == sorted([*bodies, "not json"])
 
 
+def test_blank_bodies_are_counted(spark, cfg):
+    path = bus(spark, cfg, [event(1), None, "", " \r\n ", "not json"])
+    source = read_table_files(spark, path, T.StructType([T.StructField("value", T.StringType())]))
+    log = RunLog()
+    assert run_bounded([start_bridge(source, cfg)], log=log)
+    assert rows(log.report(spark).selectExpr("num_input_rows", "rejected_rows")) == [(5, 3)]
+    assert spark.read.text(cfg.temp(EVENT_LANDING, BRIDGED)).count() == 2
+
+
+def test_files_beside_a_bridge_are_read(spark, cfg):
+    """The bridge's commit log must not hide what another producer lands."""
+    path = bus(spark, cfg, [event(i) for i in range(3)])
+    source = read_table_files(spark, path, T.StructType([T.StructField("value", T.StringType())]))
+    run_bounded([start_bridge(source, cfg)], 60)
+    land(cfg, events_foreign__json=event(3), more__jsonl=event(4) + "\n" + event(5), notes__md="x")
+    Path(cfg.temp(EVENT_LANDING), "packed.json.gz").write_bytes(gzip.compress(event(6).encode()))
+    run = ingest_event_stream(spark, cfg)
+    assert sorted(int(r.event_id) for r in run.table.collect()) == list(range(7))
+    assert rows(run.skipped) == [("notes.md",)]
+
+
+def test_the_report_has_every_batch(spark, cfg):
+    """Also those that Spark no longer remembers."""
+    kept = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(kept)
+    spark.conf.set(kept, "10")
+    try:
+        land(cfg, **{f"events_{i}__json": event(i) for i in range(30)})
+        one = dataclasses.replace(cfg, files_per_batch=1)
+        run = ingest_event_stream(spark, one)
+        assert [r.num_input_rows for r in run.report.collect()] == [1] * 30
+    finally:
+        spark.conf.set(kept, before)
+
+
+def test_a_run_cut_short_says_so(spark, cfg):
+    land(cfg, **{f"events_{i}__json": event(i) for i in range(60)})
+    run = ingest_event_stream(spark, cfg, budget_seconds=0.01)
+    assert (run.ended, run.outcome) == (False, "INCOMPLETE")
+    again = ingest_event_stream(spark, cfg)
+    assert (again.ended, again.outcome) == (True, "SUCCESS") or run.table.count() == 60
+    assert again.table.count() == 60
+    assert outcome(again.report.limit(0)) == runs.WARNING
+
+
+def test_a_failed_query_raises(spark, cfg):
+    land(cfg, a__json=event(1))
+    stream = read_event_files(spark, cfg.temp(EVENT_LANDING))
+    bad = stream.selectExpr("event_id", "raise_error('no')").writeStream.format("noop")
+    query = bad.option("checkpointLocation", cfg.checkpoint("bad")).trigger(availableNow=True).start()
+    with pytest.raises(Exception, match="no"):
+        run_bounded([query])
+
+
 def test_bridge_takes_binary_bodies_and_joins_lines(spark, cfg):
     pretty = json.dumps({"event_id": "1", "quantity": 2}, indent=2).replace("\n", "\r\n")
     path = bus(spark, cfg, [pretty])

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplake.config import FACT_TABLE, LakeConfig, scratch_dir
 from shoplake.functions import payload, temporal, values
 from shoplake.operators import daily
-from shoplake.operators.events import shape_events
+from shoplake.operators.events import product_ids, shape_events
 from shoplake.operators.facts import join_order_items
-from shoplake.operators.product_pool import ProductPool, number_ids, product_ids, store_pool
-from shoplake.plans.daily_metrics import APPEND, daily_metrics, publish_daily_metrics
+from shoplake.plans.daily_metrics import (
+    APPEND,
+    all_daily_metrics,
+    daily_metrics,
+    publish_daily_metrics,
+)
 from shoplake.plans.fact_orders import build_fact_orders
 from shoplake.plans.ingest import ingest_all, ingest_csv
 from shoplake.plans.profile import count_tables, profile_database
@@ -19,7 +25,7 @@ from shoplake.sinks import files as sink
 from shoplake.sinks.catalog import create_database, describe_tables, list_tables, register_external
 from shoplake.sources.csv_files import discover_csv, scan_csv
 from shoplake.sources.files import landing_head, landing_summary
-from shoplake.sources.tables import row_count, scan_table
+from shoplake.sources.tables import scan_table
 from workload import tables as given_tables
 from workload.oracle import ORDERS_ON
 from workload.tables import BATCH_TABLES, fresh_config, given, given_path
@@ -62,7 +68,7 @@ def csv_scan_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_scan_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = given(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    texts = given(spark, sf_dir, "documents")
     path = scratch_dir(spark, "csv") + "/documents.csv"
     quoting = {"escape": '"', "lineSep": "\n", "maxCharsPerColumn": "-1"}
     quoting |= {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
@@ -87,7 +93,7 @@ def discover_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg = land_all(spark, sf_dir, raw_config(spark, sf_dir, "discover"))
     found = discover_csv(spark, cfg.raw())
     counts = count_tables(
-        {t: scan_csv(spark, cfg.raw(f"{t}.csv"), cfg.column_types) for t in BATCH_TABLES}
+        spark, {t: scan_csv(spark, cfg.raw(f"{t}.csv"), cfg.column_types) for t in BATCH_TABLES}
     )
     return found.join(counts, "table_name").select(
         "file_name", "table_name", F.col("count").alias("n_rows")
@@ -106,18 +112,33 @@ def landed_events(spark: SparkSession, sf_dir: str, path: str) -> str:
 
 
 def landing_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every landed event, with the number of files and whether the listed bytes are those of the lines."""
     path = landed_events(spark, sf_dir, scratch_dir(spark, "landing") + "/events")
-    events = spark.read.schema("event_id string").json(path).agg(F.count("event_id").alias("n_events"))
-    return landing_summary(spark, path, "*.json").select(
-        "n_files", events.scalar().alias("n_events")
+    lines = spark.read.text(path)
+    n_bytes = lines.agg(F.sum(F.octet_length("value") + 1)).scalar()
+    summary = landing_summary(spark, path, "*.json")
+    return payload.parse_payload(lines).select(
+        "event_id",
+        "event_type",
+        summary.select("n_files").scalar().alias("n_files"),
+        (summary.select("n_bytes").scalar() == n_bytes).alias("all_bytes"),
     )
 
 
 def landing_head_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every landed event, and how many of the files are shown."""
     path = landed_events(spark, sf_dir, scratch_dir(spark, "landing") + "/events")
-    events = spark.read.schema("event_id string").json(path).agg(F.count("event_id").alias("n_events"))
     shown = landing_head(spark, path, 5, "*.json").where("size > 0").agg(F.count("name").alias("n"))
-    return events.select("n_events", shown.scalar().alias("n_shown"))
+    events = payload.parse_payload(spark.read.text(path))
+    return events.select("event_id", "user_id", shown.scalar().alias("n_shown"))
+
+
+def peek_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many events as there are, as indented JSON, read back."""
+    events = shape_events_query(spark, sf_dir)
+    shown = payload.peek(events, events.count())
+    back = payload.parse_payload(shown).drop(payload.CORRUPT_RECORD)
+    return back.withColumn("indented", shown.where(~F.col("value").contains("\n")).count() == F.lit(0))
 
 
 # -- sinks and catalog -------------------------------------------------------------------
@@ -147,8 +168,10 @@ def registered(spark: SparkSession, sf_dir: str, label: str, names: list[str]) -
 
 
 def register_external_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cfg = registered(spark, sf_dir, "register", ["supplier"])
-    return row_count(spark.table(cfg.table("supplier")), "n")
+    """Registered twice, the second time over another table's files."""
+    cfg = registered(spark, sf_dir, "register", ["customer"])
+    register_external(spark, cfg.table("customer"), given_path(sf_dir, "supplier"))
+    return spark.table(cfg.table("customer"))
 
 
 def ingest_csv_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,17 +182,33 @@ def ingest_csv_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ingest_all_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg = land_all(spark, sf_dir, raw_config(spark, sf_dir, "ingest-all"))
-    return count_tables(ingest_all(spark, cfg)).withColumnRenamed("count", "n_rows")
+    loaded = ingest_all(spark, cfg)
+    counts = count_tables(spark, loaded).withColumnRenamed("count", "n_rows")
+    ids = loaded["lineitem"].select(F.lit("lineitem").alias("table_name"), F.col("l_orderkey").alias("n_rows"))
+    return counts.unionByName(ids)
 
 
 def list_tables_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Table names, each with its number of rows."""
     cfg = registered(spark, sf_dir, "list", BATCH_TABLES)
-    return list_tables(spark, cfg.database)
+    names = list_tables(spark, cfg.database)
+    return names.join(profile_database(spark, cfg.database).counts, "table_name").withColumnRenamed(
+        "count", "n_rows"
+    )
 
 
 def describe_tables_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns of the tables, each with its number of values."""
     cfg = registered(spark, sf_dir, "describe", BATCH_TABLES)
-    return describe_tables(spark, cfg.database)
+    counts = []
+    for name in BATCH_TABLES:
+        table = spark.table(cfg.table(name))
+        row = table.agg(*[F.count(c).alias(c) for c in table.columns])
+        counts.append(
+            row.unpivot([], table.columns, "column_name", "n_values").withColumn("table_name", F.lit(name))
+        )
+    values = reduce(DataFrame.unionByName, counts)
+    return describe_tables(spark, cfg.database).join(values, ["table_name", "column_name"])
 
 
 def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,9 +217,12 @@ def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sample_rows_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows a sample has, and how many of those are rows of the table."""
     cfg = registered(spark, sf_dir, "sample", BATCH_TABLES)
     samples = profile_database(spark, cfg.database).samples
-    return count_tables(samples).withColumnRenamed("count", "n_sampled")
+    known = {t: s.intersect(spark.table(cfg.table(t))) for t, s in samples.items()}
+    sampled = count_tables(spark, samples).withColumnRenamed("count", "n_sampled")
+    return sampled.join(count_tables(spark, known).withColumnRenamed("count", "n_known"), "table_name")
 
 
 # -- facts and metrics -------------------------------------------------------------------
@@ -199,7 +241,6 @@ def stored_facts(spark: SparkSession, sf_dir: str, label: str = "facts", **setti
         cfg,
         given_tables.shop_orders(spark, sf_dir),
         given_tables.shop_items(spark, sf_dir),
-        input_paths=(given_path(sf_dir, "orders"), given_path(sf_dir, "lineitem")),
     )
     return cfg
 
@@ -214,7 +255,7 @@ def fact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fact_orders_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = fact_table(spark, stored_facts(spark, sf_dir, fact_by_month=True))
-    return plain(facts.select("order_month", "order_id", "product_id", "price"))
+    return plain(facts)
 
 
 def daily_order_metrics_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -235,20 +276,15 @@ def latest_order_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def distinct_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts_inline(spark, sf_dir).agg(
-        F.count_distinct("order_id").alias("orders"),
-        F.count_distinct("customer_id").alias("customers"),
-        F.count_distinct("product_id").alias("products"),
-    )
+    """The library's distinct counts, day by day."""
+    per_day = daily.metrics_per_day(facts_inline(spark, sf_dir))
+    return per_day.select("order_date", *daily.DISTINCT_COUNTS)
 
 
 def sales_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
-    total = F.sum("price").cast("double")
-    return facts_inline(spark, sf_dir).agg(
-        total.alias("total_sales"),
-        F.sum("freight_value").cast("double").alias("total_shipping"),
-        F.try_divide(total, F.count("price")).alias("avg_price"),
-    )
+    """The library's sums and mean, day by day."""
+    per_day = daily.metrics_per_day(facts_inline(spark, sf_dir))
+    return per_day.select("order_date", "total_sales", "total_shipping", "avg_order_value")
 
 
 def daily_order_metrics_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -260,8 +296,7 @@ def daily_order_metrics_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_order_metrics_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts = fact_table(spark, stored_facts(spark, sf_dir))
-    return daily.metrics_per_day(facts, one_pass=False)
+    return all_daily_metrics(spark, stored_facts(spark, sf_dir))
 
 
 def daily_order_metrics_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -307,9 +342,10 @@ def scalar_cents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_ids_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = given(spark, sf_dir, "events").select(F.uuid().alias("id"))
+    """A new unique id beside each event's own."""
+    ids = given(spark, sf_dir, "events").select("event_id", F.uuid().alias("id"))
     return ids.agg(
-        F.count("id").alias("n_events"),
+        F.count("event_id").alias("n_events"),
         F.count_distinct("id").alias("n_ids"),
         F.max(F.length("id")).alias("id_length"),
     )
@@ -333,28 +369,13 @@ def utf8_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- events ------------------------------------------------------------------------------
 
 
-def pool_of(spark: SparkSession, products: DataFrame | None) -> ProductPool:
-    return store_pool(product_ids(products, spark), scratch_dir(spark, "pool") + "/ids")
-
-
-def product_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return product_ids(given_tables.shop_products(spark, sf_dir), spark)
-
-
-def product_pool_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return number_ids(product_pool(spark, sf_dir))
-
-
-def product_pool_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    no_products = given_tables.shop_products(spark, sf_dir).where(F.col("product_id").isNull())
-    activity = given_tables.shop_activity(given(spark, sf_dir, "events"))
-    shaped = shape_events(activity, pool_of(spark, no_products))
-    return shaped.select("event_id", "event_type", "product_id")
+def shop_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return product_ids(given_tables.shop_products(spark, sf_dir))
 
 
 def shape_events_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pool = pool_of(spark, given_tables.shop_products(spark, sf_dir))
-    return shape_events(given_tables.shop_activity(given(spark, sf_dir, "events")), pool)
+    activity = given_tables.shop_activity(given(spark, sf_dir, "events"))
+    return shape_events(activity, shop_pool(spark, sf_dir))
 
 
 def events_to_json(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -400,9 +421,8 @@ BATCH_QUERIES = {
     "event_ids_unique": event_ids_unique,
     "json_parse": json_parse,
     "utf8_roundtrip": utf8_roundtrip,
-    "product_pool": product_pool,
-    "product_pool_numbered": product_pool_numbered,
-    "product_pool_fallback": product_pool_fallback,
+    "product_pool": shop_pool,
+    "peek_events": peek_events,
     "shape_events": shape_events_query,
     "events_to_json": events_to_json,
 }

@@ -33,43 +33,26 @@ LATEST = """WHERE CAST(order_purchase_timestamp AS DATE) =
       (SELECT CAST(MAX(order_purchase_timestamp) AS DATE) FROM fact_orders)"""
 ON_DATE = f"WHERE CAST(order_purchase_timestamp AS DATE) = DATE '{ORDERS_ON}'"
 
-POOL = """
-SELECT pid, ROW_NUMBER() OVER (ORDER BY substr(md5(pid), 1, 3), pid) - 1 AS rn
-FROM (SELECT CAST(p_partkey AS VARCHAR) AS pid FROM part)
-"""
-DUMMY_POOL = """
-SELECT pid, ROW_NUMBER() OVER (ORDER BY substr(md5(pid), 1, 3), pid) - 1 AS rn
-FROM (SELECT concat('DUMMY_PROD_', CAST(i AS VARCHAR)) AS pid FROM range(1, 101) t(i))
-"""
-
-EVENTS = """
-WITH pool AS ({pool}),
-n AS (SELECT COUNT(*) AS n FROM pool),
-e AS (SELECT *, CASE event_type WHEN 'view' THEN 'product_view' WHEN 'click' THEN 'add_to_cart'
+SHAPED = """
+WITH e AS (SELECT *, CASE event_type WHEN 'view' THEN 'product_view' WHEN 'click' THEN 'add_to_cart'
                   WHEN 'error' THEN 'checkout' WHEN 'signup' THEN 'product_search'
                   WHEN 'purchase' THEN 'purchase' END AS et,
-             CAST(CAST(value AS DECIMAL(18,2)) * 100 AS INT) AS cents FROM events),
+             CAST(CAST(value AS DECIMAL(18,2)) * 100 AS INT) AS cents,
+             CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events),
 shaped AS (
 SELECT CAST(e.event_id AS VARCHAR) AS event_id, et AS event_type,
-  concat('user_', CAST(1000 + user_id AS VARCHAR)) AS user_id,
-  CASE WHEN et <> 'product_search' THEN pid END AS product_id,
+  concat('user_', CAST(user_id AS VARCHAR)) AS user_id,
+  CASE WHEN et <> 'product_search' THEN CAST(p_partkey AS VARCHAR) END AS product_id,
   strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS "timestamp",
-  concat('session_', CAST(10000 + event_id % 90000 AS VARCHAR)) AS session_id,
-  CAST(CASE WHEN et = 'product_view' THEN 5 + event_id % 296 END AS INT) AS view_duration_seconds,
-  CAST(CASE WHEN et = 'add_to_cart' THEN 1 + event_id % 5 END AS INT) AS quantity,
+  CAST(NULL AS VARCHAR) AS session_id, CAST(NULL AS INT) AS view_duration_seconds,
+  CAST(NULL AS INT) AS quantity,
   CASE WHEN et = 'checkout' THEN cents END AS cart_value_cents,
-  CAST(CASE WHEN et = 'checkout' THEN 1 + event_id % 10 END AS INT) AS items_count,
+  CAST(NULL AS INT) AS items_count,
   CASE WHEN et = 'purchase' THEN cents END AS purchase_value_cents,
-  CASE WHEN et = 'purchase' THEN CASE event_id % 4 WHEN 0 THEN 'credit_card'
-    WHEN 1 THEN 'debit_card' WHEN 2 THEN 'paypal' ELSE 'gift_card' END END AS payment_method,
-  CASE WHEN et = 'product_search' THEN CASE event_id % 5 WHEN 0 THEN 'phone' WHEN 1 THEN 'laptop'
-    WHEN 2 THEN 'headphones' WHEN 3 THEN 'camera' ELSE 'watch' END END AS search_query
-FROM e CROSS JOIN n JOIN pool ON pool.rn = e.event_id % n.n)
+  CAST(NULL AS VARCHAR) AS payment_method, CAST(NULL AS VARCHAR) AS search_query
+FROM e LEFT JOIN part ON p_partkey = k)
 """
 
-SHAPED = EVENTS.format(pool=POOL)
-SHAPED_DUMMY = EVENTS.format(pool=DUMMY_POOL)
-
 
 def with_fact(sql: str) -> str:
     return f"WITH fact_orders AS ({FACT}) {sql}"
@@ -96,7 +79,11 @@ SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
 FROM orders
 """
 COUNTS = union("SELECT '{t}' AS table_name, COUNT(*) AS n_rows FROM {t}", BATCH_TABLES)
-NAMES = ", ".join(f"('{t}')" for t in BATCH_TABLES)
+VALUES = union(
+    """SELECT '{t}' AS table_name, column_name, n_values FROM
+       (UNPIVOT (SELECT COUNT(COLUMNS(*)) FROM {t}) ON * INTO NAME column_name VALUE n_values)""",
+    BATCH_TABLES,
+)
 SPARK_TYPES = """CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
        WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string'
        WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'TIMESTAMP_NS' THEN 'timestamp_ntz' END"""
@@ -105,34 +92,38 @@ ORACLE = {
     # sources
     "csv_scan": ORDERS_OUT,
     "csv_scan_inferred": "SELECT * FROM supplier",
-    "csv_scan_multiline": "SELECT doc_id, text, lang FROM documents",
+    "csv_scan_multiline": "SELECT * FROM documents",
     "discover_raw": union(
         "SELECT '{t}.csv' AS file_name, '{t}' AS table_name, COUNT(*) AS n_rows FROM {t}",
         BATCH_TABLES,
     ),
     "table_scan": ORDERS_OUT,
-    "landing_files": "SELECT CAST(25 AS BIGINT) AS n_files, COUNT(*) AS n_events FROM events",
-    "landing_head": "SELECT COUNT(*) AS n_events, CAST(5 AS BIGINT) AS n_shown FROM events",
+    "landing_files": SHAPED
+    + "SELECT event_id, event_type, CAST(25 AS BIGINT) AS n_files, TRUE AS all_bytes FROM shaped",
+    "landing_head": SHAPED + "SELECT event_id, user_id, CAST(5 AS BIGINT) AS n_shown FROM shaped",
     # sinks and catalog
     "sink_overwrite": "SELECT * FROM customer",
     "sink_append": "SELECT * FROM customer UNION ALL SELECT * FROM customer",
-    "register_external": "SELECT COUNT(*) AS n FROM supplier",
+    "register_external": "SELECT * FROM supplier",
     "ingest_csv": "SELECT * FROM customer",
-    "ingest_all": COUNTS,
-    "list_tables": f"SELECT * FROM (VALUES {NAMES}) t(table_name)",
+    "ingest_all": f"{COUNTS} UNION ALL SELECT 'lineitem', l_orderkey FROM lineitem",
+    "list_tables": COUNTS,
     "describe_tables": f"""SELECT table_name, ordinal_position AS position, column_name,
-       {SPARK_TYPES} AS data_type FROM information_schema.columns
-       WHERE table_name IN ({", ".join(f"'{t}'" for t in BATCH_TABLES)})""",
+       {SPARK_TYPES} AS data_type, n_values FROM information_schema.columns
+       JOIN ({VALUES}) v USING (table_name, column_name)""",
     "table_counts": COUNTS,
     "sample_rows": union(
-        "SELECT '{t}' AS table_name, LEAST(COUNT(*), 10) AS n_sampled FROM {t}", BATCH_TABLES
+        """SELECT '{t}' AS table_name, LEAST(COUNT(*), 10) AS n_sampled,
+           LEAST(COUNT(*), 10) AS n_known FROM {t}""",
+        BATCH_TABLES,
     ),
     # facts and metrics
     "fact_orders": with_fact(FACT_OUT),
     "fact_orders_by_month": with_fact(
-        """SELECT CAST(date_trunc('month', order_purchase_timestamp) AS DATE) AS order_month,
-           order_id, product_id,
-           CAST(price AS DOUBLE) AS price FROM fact_orders"""
+        FACT_OUT.replace(
+            "FROM fact_orders",
+            ", CAST(date_trunc('month', order_purchase_timestamp) AS DATE) AS order_month FROM fact_orders",
+        )
     ),
     "orders_on_date": with_fact(
         f"""SELECT order_id, customer_id, seller_id, product_id, CAST(price AS DOUBLE) AS price
@@ -147,13 +138,12 @@ ORACLE = {
         "SELECT CAST(MAX(order_purchase_timestamp) AS DATE) AS latest_date FROM fact_orders"
     ),
     "distinct_counts": with_fact(
-        """SELECT COUNT(DISTINCT order_id) AS orders, COUNT(DISTINCT customer_id) AS customers,
-           COUNT(DISTINCT product_id) AS products FROM fact_orders"""
+        f"""SELECT order_date, total_orders, unique_customers, unique_products
+            FROM ({METRICS.format(where="")})"""
     ),
     "sales_sums": with_fact(
-        """SELECT CAST(SUM(price) AS DOUBLE) AS total_sales,
-           CAST(SUM(freight_value) AS DOUBLE) AS total_shipping,
-           CAST(SUM(price) AS DOUBLE) / COUNT(price) AS avg_price FROM fact_orders"""
+        f"""SELECT order_date, total_sales, total_shipping, avg_order_value
+            FROM ({METRICS.format(where="")})"""
     ),
     "daily_order_metrics_latest": with_fact(METRICS.format(where=LATEST)),
     "daily_order_metrics_date": with_fact(METRICS.format(where=ON_DATE)),
@@ -174,27 +164,28 @@ ORACLE = {
        FROM events""",
     "scalar_cents": """SELECT event_id, CAST(CAST(value AS DECIMAL(18,2)) * 100 AS INT) AS cents
        FROM events""",
-    "event_ids_unique": """SELECT COUNT(*) AS n_events, COUNT(*) AS n_ids,
+    "event_ids_unique": """SELECT COUNT(event_id) AS n_events, COUNT(*) AS n_ids,
        CAST(36 AS INT) AS id_length FROM events""",
     "json_parse": """SELECT event_id, CAST(json_extract_string(props, '$.k') AS INT) AS k
        FROM events""",
     "utf8_roundtrip": "SELECT doc_id, text, octet_length(encode(text)) AS n_bytes FROM documents",
     # events
     "product_pool": "SELECT CAST(p_partkey AS VARCHAR) AS product_id FROM part",
-    "product_pool_numbered": f"SELECT pid AS product_id, rn AS pick FROM ({POOL})",
-    "product_pool_fallback": SHAPED_DUMMY + "SELECT event_id, event_type, product_id FROM shaped",
+    "peek_events": SHAPED + "SELECT *, TRUE AS indented FROM shaped",
     "shape_events": SHAPED + "SELECT * FROM shaped",
     "events_to_json": SHAPED + "SELECT * FROM shaped",
     # streams
     "bridge_events": SHAPED + "SELECT * FROM shaped",
-    "bridge_one_event_per_file": "SELECT COUNT(*) AS n_files FROM supplier",
     "stream_json_ingest": SHAPED + "SELECT *, TRUE AS has_processing_time FROM shaped",
-    "stream_batches": """SELECT CAST(3 AS BIGINT) AS n_batches, COUNT(*) AS n_input_rows,
-       'SUCCESS' AS outcome FROM events""",
+    "stream_batches": SHAPED
+    + """SELECT event_id, CAST(3 AS BIGINT) AS n_batches, (SELECT COUNT(*) FROM events) AS n_input_rows,
+         'SUCCESS' AS outcome FROM shaped""",
+    "stream_bus": SHAPED + "SELECT * FROM shaped",
+    "stream_landed_by_two": SHAPED + "SELECT * FROM shaped",
     "stream_restart": SHAPED + "SELECT * FROM shaped",
     "stream_schema_evolution": SHAPED
-    + """SELECT event_id, CAST(NULL AS INT) AS quantity FROM shaped
-         UNION ALL SELECT event_id, quantity FROM shaped""",
+    + """SELECT event_id, CAST(NULL AS VARCHAR) AS product_id FROM shaped
+         UNION ALL SELECT event_id, product_id FROM shaped""",
     "stream_rejects": """SELECT 'kept' AS kind, COUNT(*) AS n FROM events
        WHERE event_type <> 'error'
        UNION ALL SELECT 'rejected' AS kind, COUNT(*) AS n FROM events WHERE event_type = 'error'

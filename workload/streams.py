@@ -6,20 +6,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoplake.config import EVENT_LANDING, LakeConfig
+from shoplake.config import BRIDGED, EVENT_LANDING, LakeConfig
 from shoplake.functions.payload import parse_payload, to_payload
 from shoplake.operators.events import shape_events
 from shoplake.schemas import CORRUPT_RECORD, EVENT_SCHEMA
 from shoplake.sinks.files import append
-from shoplake.sources.events import read_table_files
-from shoplake.sources.files import landing_summary
+from shoplake.sources.events import read_bus, read_table_files
 from shoplake.streaming.bridge import start_bridge
 from shoplake.streaming.raw_events import REJECTS, ingest_event_stream
 from shoplake.streaming.runs import run_bounded
-from workload.batch import landed_events, pool_of, shape_events_query
-from workload.tables import fresh_config, given, shop_activity, shop_products
-
-WAIT_SECONDS = 3600
+from workload.batch import landed_events, shape_events_query, shop_pool
+from workload.tables import fresh_config, given, shop_activity
 
 
 def given_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,20 +26,20 @@ def given_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shaped_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pool = pool_of(spark, shop_products(spark, sf_dir))
-    return shape_events(shop_activity(given_stream(spark, sf_dir, "events")), pool)
+    activity = shop_activity(given_stream(spark, sf_dir, "events"))
+    return shape_events(activity, shop_pool(spark, sf_dir))
 
 
 def bridged(spark: SparkSession, cfg: LakeConfig, bodies: DataFrame) -> None:
-    run_bounded([start_bridge(bodies, cfg)], WAIT_SECONDS)
+    run_bounded([start_bridge(bodies, cfg)])
 
 
 def ingested(spark: SparkSession, cfg: LakeConfig, schema: T.StructType = EVENT_SCHEMA, **kw):
-    return ingest_event_stream(spark, cfg, schema, budget_seconds=WAIT_SECONDS, **kw)
+    return ingest_event_stream(spark, cfg, schema, **kw)
 
 
 def landed_text(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
-    return spark.read.text(cfg.temp(EVENT_LANDING))
+    return spark.read.text(cfg.temp(EVENT_LANDING, BRIDGED))
 
 
 def bridge_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,13 +48,6 @@ def bridge_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_payload(landed_text(spark, cfg)).drop(CORRUPT_RECORD)
 
 
-def bridge_one_event_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cfg = fresh_config(spark, "bridge-files")
-    bodies = to_payload(given_stream(spark, sf_dir, "supplier"))
-    run_bounded([start_bridge(bodies, cfg, one_event_per_file=True)], WAIT_SECONDS)
-    return landing_summary(spark, cfg.temp(EVENT_LANDING), "part-*.txt").select("n_files")
-
-
 def stream_json_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg = fresh_config(spark, "ingest")
     bridged(spark, cfg, to_payload(shaped_stream(spark, sf_dir)))
@@ -68,12 +58,46 @@ def stream_json_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every ingested event, and what the report says of the batches."""
     cfg = fresh_config(spark, "batches")
     landed_events(spark, sf_dir, cfg.temp(EVENT_LANDING))
     run = ingested(spark, cfg)
-    return run.report.agg(
+    told = run.report.agg(
         F.count("batch_id").alias("n_batches"), F.sum("num_input_rows").alias("n_input_rows")
-    ).withColumn("outcome", F.lit(run.outcome))
+    )
+    return run.table.select(
+        "event_id",
+        told.select("n_batches").scalar().alias("n_batches"),
+        told.select("n_input_rows").scalar().alias("n_input_rows"),
+        F.lit(run.outcome).alias("outcome"),
+    )
+
+
+def stream_bus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bodies from a message source into the landing; Kafka's place is taken by a file source."""
+    cfg = fresh_config(spark, "bus")
+    append(to_payload(shape_events_query(spark, sf_dir)), cfg.temp("bus"))
+    bridged(spark, cfg, read_bus(spark, "parquet", path=cfg.temp("bus"), schema="value string"))
+    return parse_payload(landed_text(spark, cfg)).drop(CORRUPT_RECORD)
+
+
+def stream_landed_by_two(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchases come over the bridge, all others from a producer that writes compressed files."""
+    cfg = fresh_config(spark, "two")
+    purchase = F.col("event_type") == "purchase"
+    bridged(spark, cfg, to_payload(shaped_stream(spark, sf_dir).where(purchase)))
+    others = to_payload(shape_events_query(spark, sf_dir).where(~purchase))
+    others.write.mode("append").option("compression", "gzip").text(cfg.temp("made"))
+    take_over(spark, cfg.temp("made"), cfg.temp(EVENT_LANDING))
+    return ingested(spark, cfg).table.drop("processing_time")
+
+
+def take_over(spark: SparkSession, source: str, target: str) -> None:
+    """Put the files of another producer into the landing folder, as .json.gz."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(source).getFileSystem(spark._jsc.hadoopConfiguration())
+    for i, file in enumerate(fs.globStatus(path(f"{source}/part-*"))):
+        fs.rename(file.getPath(), path(f"{target}/other_{i}.json.gz"))
 
 
 def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,7 +115,7 @@ def stream_schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     bus = cfg.temp("bus")
     payloads = to_payload(shape_events_query(spark, sf_dir))
     first = T.StructType([EVENT_SCHEMA["event_id"]])
-    second = T.StructType([EVENT_SCHEMA["event_id"], EVENT_SCHEMA["quantity"]])
+    second = T.StructType([EVENT_SCHEMA["event_id"], EVENT_SCHEMA["product_id"]])
     for schema in (first, second):
         append(payloads, bus)
         bridged(spark, cfg, read_table_files(spark, bus, payloads.schema))
@@ -128,10 +152,11 @@ def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 STREAM_QUERIES = {
     "bridge_events": bridge_events,
-    "bridge_one_event_per_file": bridge_one_event_per_file,
     "stream_json_ingest": stream_json_ingest,
     "stream_batches": stream_batches,
     "stream_restart": stream_restart,
     "stream_schema_evolution": stream_schema_evolution,
     "stream_rejects": stream_rejects,
+    "stream_bus": stream_bus,
+    "stream_landed_by_two": stream_landed_by_two,
 }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shoplake import schemas as S
 from shoplake.config import LakeConfig, scratch_dir
+from shoplake.functions import payload
 
 BATCH_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
@@ -67,7 +68,10 @@ def shop_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shop_activity(events: DataFrame) -> DataFrame:
-    """Rows of the given events (batch or stream) with the shop's event types."""
+    """Rows of the given events (batch or stream) with the shop's event types.
+
+    The number in ``props`` stands for the product: the part table knows some of them.
+    """
     pairs = [F.lit(x) for pair in EVENT_TYPE_MAP.items() for x in pair]
     return events.select(
         "event_id",
@@ -75,4 +79,5 @@ def shop_activity(events: DataFrame) -> DataFrame:
         "user_id",
         "ts",
         "value",
+        payload.json_int("props", "k").alias("product_id"),
     )
