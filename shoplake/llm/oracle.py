@@ -1,5 +1,125 @@
-"""DuckDB SQL for the queries that SQL can express."""
+"""DuckDB SQL for the queries that SQL can express; each says anew what the operator has to find."""
 
 from __future__ import annotations
 
-LLM_ORACLE: dict[str, str] = {}
+from shoplake.llm.secret_scan import BASE_RULES, MORE_RULES
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def words(text: str) -> str:
+    return (
+        f"regexp_extract_all(translate(coalesce({text}, ''), '{UPPER}', '{LOWER}'), "
+        r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    )
+
+
+DECONTAMINATE = f"""
+WITH d AS (SELECT doc_id, {words("text")} AS w FROM documents),
+i AS (SELECT CAST(item_id AS VARCHAR) AS item_id, w, least(13, len(w)) AS size
+      FROM (SELECT item_id, {words("text")} AS w FROM benchmark) WHERE len(w) > 0),
+iw AS (SELECT DISTINCT item_id, size, list_slice(w, p, p + size - 1) AS win
+       FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS p FROM i)),
+dw AS (SELECT doc_id, size, p, list_slice(w, p, p + size - 1) AS win
+       FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS p
+             FROM d CROSS JOIN (SELECT DISTINCT size FROM i) WHERE len(w) >= size)),
+hits AS (SELECT doc_id, item_id, size, p FROM dw JOIN iw USING (size, win)),
+covered AS (SELECT doc_id, count(DISTINCT place) AS n_hit
+            FROM (SELECT doc_id, unnest(range(p, p + size)) AS place FROM hits) GROUP BY doc_id),
+found AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+          FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+JACCARD = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {words("text")} AS w FROM documents),
+g AS (SELECT DISTINCT doc_id, list_slice(w, p, p + least(5, len(w)) - 1) AS gram
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS p
+            FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+sets AS (SELECT doc_id, md5(string_agg(CAST(gram AS VARCHAR), '|' ORDER BY gram)) AS kind FROM g GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+           FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+          WHERE common >= 0.8 * (x.n + y.n - common)),
+reach AS (SELECT doc_id, doc_id AS other FROM d
+          UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other),
+classes AS (SELECT doc_id, min(other) AS class_id FROM reach GROUP BY doc_id),
+counts AS (SELECT a AS doc_id, count(*) AS n_links,
+                  count(DISTINCT y.kind) FILTER (y.kind <> x.kind) AS n_text_links
+           FROM links JOIN sets x ON x.doc_id = a JOIN sets y ON y.doc_id = b GROUP BY a)
+SELECT doc_id, class_id, coalesce(n_links, 0) AS n_links, coalesce(n_text_links, 0) AS n_text_links,
+       coalesce(n, 0) AS n_grams
+FROM d JOIN classes USING (doc_id) LEFT JOIN counts USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
+
+def spans_of() -> str:
+    """(doc_id, place, kind, start, end) of every match that is long enough."""
+    parts = []
+    for place, rule in enumerate(BASE_RULES + MORE_RULES):
+        pattern = rule.pattern.replace("'", "''")
+        parts.append(
+            f"""SELECT doc_id, {place} AS place, '{rule.kind}' AS kind,
+       list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+         + coalesce(list_sum(list_transform(whole[1:i - 1], lambda x: length(x))), 0) AS a,
+       length(whole[i]) AS size
+FROM (SELECT *, unnest(range(1, len(whole) + 1)) AS i
+      FROM (SELECT doc_id, string_split_regex(t, '{pattern}') AS gaps,
+                   regexp_extract_all(t, '{pattern}') AS whole,
+                   regexp_extract_all(t, '{pattern}', {rule.group}) AS measured
+            FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)))
+WHERE length(measured[i]) >= {rule.least}"""
+        )
+    return " UNION ALL ".join(parts)
+
+
+SECRETS = f"""
+WITH found AS ({spans_of()}),
+told AS (SELECT *, kind || ':' || CAST(a AS BIGINT) || ':' || CAST(a + size AS BIGINT) AS span FROM found),
+per_doc AS (
+  SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign,
+         count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+         string_agg(span, ',' ORDER BY a, place) FILTER (place < {len(BASE_RULES)}) AS base,
+         string_agg(span, ',' ORDER BY a, place) AS spans FROM told GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+       coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+       coalesce(spans, '') AS spans, sha256(coalesce(text, '')) AS blob
+FROM documents LEFT JOIN per_doc USING (doc_id)
+"""
+
+CHAT = r"""
+WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(nullif(role, ''), 'unknown') AS speaker,
+                  regexp_replace(coalesce(text, ''), '<\|(im_start|im_end)\|>', '<| \1|>', 'g') AS text
+           FROM conversations),
+people AS (SELECT DISTINCT conv_id, speaker AS participant FROM t WHERE speaker <> 'system'),
+lines AS (
+  SELECT conv_id, participant, turn, speaker, text,
+         '<|im_start|>' || CASE WHEN speaker = 'system' THEN 'system' WHEN speaker = participant
+           THEN 'assistant' ELSE 'user name=' || regexp_replace(speaker, '[^\p{L}\p{N}_-]', '_', 'g') END
+           || chr(10) AS head, text || '<|im_end|>' AS body
+  FROM t JOIN people USING (conv_id)),
+placed AS (
+  SELECT *, coalesce(sum(length(head) + length(body) + 1) OVER (PARTITION BY conv_id, participant
+            ORDER BY turn NULLS FIRST, speaker, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+            + length(head) AS a FROM lines),
+parts AS (
+  SELECT conv_id, participant, turn // 256 AS part, count(*) AS n_turns,
+         min(a - length(head)) AS start,
+         string_agg(head || body || chr(10), '' ORDER BY turn NULLS FIRST, speaker, text) AS text,
+         string_agg(CAST(a AS BIGINT) || ':' || CAST(a + length(body) AS BIGINT), ','
+                    ORDER BY turn NULLS FIRST, speaker, text) FILTER (speaker = participant) AS masks
+  FROM placed GROUP BY conv_id, participant, turn // 256)
+SELECT conv_id, participant, part, n_turns, CAST(start AS BIGINT) AS start, text,
+       coalesce(masks, '') AS masks FROM parts
+"""
+
+LLM_ORACLE: dict[str, str] = {
+    "op2_decontaminate": DECONTAMINATE,
+    "op3_jaccard": JACCARD,
+    "op6_secrets": SECRETS,
+    "op8_chat": CHAT,
+}
