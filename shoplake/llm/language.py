@@ -27,11 +27,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from shoplake.llm.common import cached, slices
+from shoplake.llm.common import cached, slices, stored
 
 UNKNOWN = "und"
 #: Bytes of text whose n-grams are counted together.
 COUNT_BYTES = 1024 * 1024
+#: N-gram vectors a worker has at a time, 64 MB of them.
+GRAMS_AT_ONCE = 16_384
+#: Every task has the prototypes of all languages, so there may not be more of them.
+MOST_LANGUAGES = 2_000
 #: Tasks that add up n-gram vectors; each returns one vector per language.
 VECTOR_TASKS = 16
 
@@ -81,7 +85,8 @@ def count_ngrams(texts: list[str | None], n: int) -> tuple[np.ndarray, np.ndarra
     """
     is_letter = cached("letters", letters_table)
     gap = "\x00" * n
-    points = [np.frombuffer((gap + (t or "").lower() + gap).encode("utf-32-le", "replace"), "<u4") for t in texts]
+    told = ((gap + (t or "").lower() + gap).encode("utf-32-le") for t in texts)
+    points = [np.frombuffer(t, "<u4") for t in told]
     line = np.concatenate(points).astype(np.int64) if points else np.zeros(0, np.int64)
     text_of = np.repeat(np.arange(len(points)), [len(p) for p in points])
     letter = is_letter[line]
@@ -133,7 +138,10 @@ def learn_prototypes(
     docs: DataFrame, text: str = "text", label: str = "lang", space: Space = Space()
 ) -> dict[str, np.ndarray]:
     """One bundle per language, from all given rows that have a label and a text."""
-    counts = count_by_language(docs, text, label, space.n)
+    counts = stored(count_by_language(docs, text, label, space.n), "ngrams")
+    languages = counts.agg(F.count_distinct("lang")).first()[0]
+    if languages > MOST_LANGUAGES:
+        raise ValueError(f"{languages} languages are more than {MOST_LANGUAGES}")
     schema = T.StructType.fromDDL("lang string, vector array<double>")
     arrow = to_arrow_schema(schema)
 
@@ -195,8 +203,10 @@ def predict(
             which, grams, counts = count_ngrams(part.column(text).to_pylist(), space.n)
             if model and len(which):
                 names, away, mean = model
-                distinct, at = np.unique(grams, return_inverse=True)
-                for i, cosines in bundles(which, at, counts, space.ngrams(distinct), away, mean):
+                for i, bundle in bundles(which, grams, counts, space):
+                    rest = bundle / max(float(np.linalg.norm(bundle)), 1e-12) - mean
+                    rest /= max(float(np.linalg.norm(rest)), 1e-12)
+                    cosines = np.round(away @ rest, 6)
                     best = int(np.argmax(cosines))
                     langs[i], scores[i] = names[best], (1 + float(cosines[best])) / 2
             columns = {f.name: part.column(f.name) for f in kept}
@@ -208,21 +218,29 @@ def predict(
 
 
 def bundles(
-    which: np.ndarray,
-    at: np.ndarray,
-    counts: np.ndarray,
-    vectors: np.ndarray,
-    away: np.ndarray,
-    mean: np.ndarray,
+    which: np.ndarray, grams: np.ndarray, counts: np.ndarray, space: Space
 ) -> Iterator[tuple[int, np.ndarray]]:
-    """(text number, cosine with each prototype) of every text with an n-gram."""
+    """(text number, bundle) of every text with an n-gram; ``which`` is sorted.
+
+    Texts share the vectors of their n-grams. Texts with more different ones than fit are
+    halved, and a single text of that kind is added up piece by piece.
+    """
+    distinct, at = np.unique(grams, return_inverse=True)
     first = np.flatnonzero(np.append(True, which[1:] != which[:-1]))
+    if len(distinct) > GRAMS_AT_ONCE:
+        if len(first) > 1:
+            cut = first[len(first) // 2]
+            yield from bundles(which[:cut], grams[:cut], counts[:cut], space)
+            yield from bundles(which[cut:], grams[cut:], counts[cut:], space)
+        else:
+            pieces = range(0, len(grams), GRAMS_AT_ONCE)
+            parts = (slice(p, p + GRAMS_AT_ONCE) for p in pieces)
+            added = [counts[p].astype(np.float32) @ space.ngrams(grams[p]) for p in parts]
+            yield int(which[0]), np.sum(added, axis=0)
+        return
+    vectors = space.ngrams(distinct)
     for a, b in zip(first, np.append(first[1:], len(which)), strict=True):
-        bundle = counts[a:b].astype(np.float32) @ vectors[at[a:b]]
-        bundle /= max(float(np.linalg.norm(bundle)), 1e-12)
-        rest = bundle - mean
-        rest /= max(float(np.linalg.norm(rest)), 1e-12)
-        yield int(which[a]), np.round(away @ rest, 6)
+        yield int(which[a]), counts[a:b].astype(np.float32) @ vectors[at[a:b]]
 
 
 def held_out_rows(doc_id: Column | str = "doc_id", folds: int = 5) -> Column:

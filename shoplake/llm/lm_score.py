@@ -12,7 +12,8 @@ The counts belong to all training documents and grow with them, so no task ever
 
 1. Documents are coded in blocks of some two million words where they lie: the sorted 64-bit hashes of the
    block's words, and the texts as places in that list.
-2. Each block asks for its words. Requests are ranges of sorted hashes, a bucket each; a bucket adds up
+2. A request row has all the keys a block wants of a bucket, so there are never more rows than keys.
+   Each block asks for its words. Requests are ranges of sorted hashes, a bucket each; a bucket adds up
    the counts of all blocks and answers each block with totals in the order it asked in.
 3. States are the words above the share; there are at most 1 / STATE_SHARE of them, so that list is
    small at any size of input and is broadcast.

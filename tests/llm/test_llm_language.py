@@ -84,3 +84,25 @@ def test_held_out_rows_do_not_teach(spark):
     docs = given(spark, "documents").withColumn("h", L.held_out_rows("doc_id"))
     for r in docs.collect():
         assert r["h"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
+
+
+def test_many_different_ngrams_are_added_in_pieces(spark, monkeypatch):
+    """As for scripts with thousands of letters; nothing changes."""
+    docs = given(spark, "documents").limit(20).select("doc_id", "text")
+    dice = np.random.Generator(np.random.Philox(2))
+    many = "".join(chr(c) for c in dice.integers(0x4E00, 0x9FA5, 3000))
+    texts = [r["text"] for r in docs.collect()] + [many, "", None]
+    counted = L.count_ngrams(texts, 3)
+    space = L.Space(dims=64)
+    whole = dict(L.bundles(*counted, space))
+    monkeypatch.setattr(L, "GRAMS_AT_ONCE", 100)
+    parts = dict(L.bundles(*counted, space))
+    assert whole.keys() == parts.keys() and len(whole) == 21
+    for k, bundle in whole.items():
+        assert np.allclose(bundle, parts[k])
+
+
+def test_too_many_languages(spark, monkeypatch):
+    monkeypatch.setattr(L, "MOST_LANGUAGES", 3)
+    with pytest.raises(ValueError, match="languages"):
+        L.learn_prototypes(given(spark, "documents"))
