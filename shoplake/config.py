@@ -80,11 +80,11 @@ def quoted(identifier: str) -> str:
     return "`" + identifier.replace("`", "``") + "`"
 
 
-def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder that every executor can see.
+def shared_root(spark: SparkSession) -> str:
+    """The folder that all executors share: ``spark.checkpoint.dir``.
 
-    It lies under ``spark.checkpoint.dir``. A session on one machine that lacks this setting gets
-    one folder, which is removed when Python ends; on a cluster the setting is required.
+    A session on one machine that lacks this setting gets one folder, which is removed when
+    Python ends; on a cluster the setting is required.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
@@ -93,4 +93,15 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         shared = tempfile.mkdtemp(prefix="shoplake-")
         atexit.register(shutil.rmtree, shared, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", shared)
-    return f"{shared.rstrip('/')}/shoplake-{label}-{uuid.uuid4().hex}"
+    return shared.rstrip("/")
+
+
+def scratch_dir(spark: SparkSession, label: str) -> str:
+    """A fresh folder for intermediate tables, below a folder that ends with the application."""
+    own = f"{shared_root(spark)}/shoplake-{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(own)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+    return f"{own}/{label}-{uuid.uuid4().hex}"

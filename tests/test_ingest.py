@@ -9,7 +9,7 @@ import pytest
 from conftest import rows
 from fixtures import ITEMS, ORDERS, write_raw
 
-from shoplake.config import scratch_dir
+from shoplake.config import scratch_dir, shared_root
 from shoplake.plans.ingest import ingest_all, ingest_csv
 from shoplake.plans.profile import profile_database
 from shoplake.session import conf_for
@@ -243,18 +243,18 @@ def test_scratch_without_a_shared_folder(spark):
         def __init__(self, **conf):
             self.conf = Conf(conf)
 
-    assert scratch_dir(Session(**{"spark.checkpoint.dir": shared}), "x").startswith(shared)
+    assert shared_root(Session(**{"spark.checkpoint.dir": shared})) == shared
     own = Session(**{"spark.master": master})
-    first = Path(scratch_dir(own, "x"))
-    assert first.parent.is_dir() and first.parent == Path(scratch_dir(own, "x")).parent
-    with pytest.raises(RuntimeError):
-        scratch_dir(Session(**{"spark.master": "yarn"}), "x")
-    with pytest.raises(RuntimeError):
-        scratch_dir(Session(**{"spark.master": "local-cluster[2,1,1024]"}), "x")
+    assert Path(shared_root(own)).is_dir() and shared_root(own) == shared_root(own)
+    for cluster in ("yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            shared_root(Session(**{"spark.master": cluster}))
 
 
 def test_scratch_is_shared(spark):
-    assert scratch_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+    one, other = (Path(scratch_dir(spark, "x")) for _ in range(2))
+    assert one != other and one.parent == other.parent and one.parent.is_dir()
+    assert one.parent.parent == Path(spark.conf.get("spark.checkpoint.dir"))
 
 
 def test_zone_names(cfg):
