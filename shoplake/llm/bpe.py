@@ -31,7 +31,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from shoplake.llm.common import cached, slices
 
 #: Words kept with their ids by one worker; beyond it the worker starts afresh.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 200_000
 #: A tokenizer file is a few MB; anything beyond this isn't one and is not broadcast.
 MAX_FILE_BYTES = 64 * 1024 * 1024
 

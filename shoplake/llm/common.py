@@ -17,7 +17,7 @@ from shoplake.config import scratch_dir
 #: Most rows of one long column that are ever broadcast: 16 MB of ids.
 BROADCAST_ROWS = 2_000_000
 #: Bytes of text a worker has as Python objects at a time (one longer text counts alone).
-SLICE_BYTES = 4 * 1024 * 1024
+SLICE_BYTES = 512 * 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,14 +79,6 @@ def slices(
             yield batch.slice(start)
 
 
-def as_batch(schema: pa.Schema, **columns: Any) -> pa.RecordBatch:
-    arrays = [
-        c if isinstance(c, pa.Array) else pa.array(c, type=f.type)
-        for f, c in ((f, columns[f.name]) for f in schema)
-    ]
-    return pa.RecordBatch.from_arrays(arrays, schema=schema)
-
-
 def bins_for(amount: float, per_bin: float) -> int:
     """How many groups of about ``per_bin`` an amount is dealt to."""
     return max(1, math.ceil(amount / per_bin))

@@ -23,7 +23,6 @@ from collections.abc import Iterable, Iterator
 from typing import Any
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -199,8 +198,8 @@ RESULTS = T.StructType(
 
 def item_blocks(
     items: DataFrame, item_id: str, text: str, block_bytes: int
-) -> Iterator[list[tuple[str, list[bytes]]]]:
-    """The items as words, in blocks of about ``block_bytes`` of text, one after the other."""
+) -> Iterator[tuple[bool, list[tuple[str, list[bytes]]]]]:
+    """(whether it is the last, the items as words) in blocks of about ``block_bytes`` of text."""
     named = items.select(
         F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("name"),
         F.coalesce(F.col(text), F.lit("")).alias("words"),
@@ -210,7 +209,7 @@ def item_blocks(
     for k in range(n):
         block = F.pmod(F.xxhash64("name", "words"), F.lit(n)) == k
         rows = named.where(block).distinct().orderBy("name", "words").collect()
-        yield [(r["name"], words_of(r["words"])) for r in rows]
+        yield k == n - 1, [(r["name"], words_of(r["words"])) for r in rows]
 
 
 def match_items(
@@ -221,8 +220,12 @@ def match_items(
     item_id: str = "item_id",
     item_text: str = "text",
     block_bytes: int = BLOCK_BYTES,
+    clean: bool = False,
 ) -> DataFrame:
-    """Adds n_words, n_hit, spans (word places, end exclusive) and item_ids (sorted) to documents."""
+    """Adds n_words, n_hit, spans (word places, end exclusive) and item_ids (sorted) to documents.
+
+    With ``clean`` the words of the spans, and what stands between them, are cut out of the text.
+    """
     names = {f.name.lower() for f in RESULTS.fields}
     kept = [f for f in docs.schema.fields if f.name.lower() not in names]
     schema = T.StructType(kept + RESULTS.fields)
@@ -230,17 +233,23 @@ def match_items(
     out = docs.select(*[f"`{f.name}`" for f in kept])
     sc = docs.sparkSession.sparkContext
     blocks = 0
-    for block in item_blocks(items, item_id, item_text, block_bytes):
+    for last, block in item_blocks(items, item_id, item_text, block_bytes):
         if blocks:
             out = stored(out, "decontaminate")
-        shared = sc.broadcast(block)
-        out = out.mapInArrow(matcher(shared, window, text, kept, arrow, blocks == 0), schema)
+        step = matcher(sc.broadcast(block), window, text, kept, arrow, blocks == 0, clean and last)
+        out = out.mapInArrow(step, schema)
         blocks += 1
     return out
 
 
 def matcher(
-    shared: Any, window: int, text: str, kept: list[T.StructField], arrow: pa.Schema, first: bool
+    shared: Any,
+    window: int,
+    text: str,
+    kept: list[T.StructField],
+    arrow: pa.Schema,
+    first: bool,
+    clean: bool,
 ) -> Any:
     """One pass over the documents; passes after the first add to what was found."""
     key = ("decontaminate", uuid.uuid4().hex)
@@ -250,13 +259,16 @@ def matcher(
         for part in slices(batches, text):
             found: list[dict[str, Any]] = []
             before = part.select([f.name for f in RESULTS.fields]).to_pylist() if not first else []
-            for i, t in enumerate(part.column(text).to_pylist()):
+            texts = part.column(text).to_pylist()
+            for i, t in enumerate(texts):
                 words = words_of(t)
                 spans, items = automaton.hits(words)
                 ids = {automaton.names[k] for k in items}
                 if before:
                     spans = merge(spans + [(s["start"], s["end"]) for s in before[i]["spans"]])
                     ids |= set(before[i]["item_ids"])
+                if clean and spans:
+                    texts[i] = cut(t, spans)
                 found.append(
                     {
                         "n_words": len(words),
@@ -266,6 +278,8 @@ def matcher(
                     }
                 )
             columns = {f.name: part.column(f.name) for f in kept}
+            if clean:
+                columns[text] = pa.array(texts, arrow.field(text).type)
             for f in RESULTS.fields:
                 columns[f.name] = pa.array(
                     [row[f.name] for row in found], arrow.field(f.name).type
@@ -275,14 +289,6 @@ def matcher(
     return run
 
 
-def without_spans(texts: pd.Series, spans: pd.Series) -> pd.Series:
-    pairs = [
-        (t, [(s["start"], s["end"]) for s in found] if found is not None else [])
-        for t, found in zip(texts, spans, strict=True)
-    ]
-    return pd.Series([cut(t, found) for t, found in pairs], dtype=object)
-
-
 def judged(matched: DataFrame, coverage_percent: int = 5) -> DataFrame:
     """Adds n_items and contaminated: hit words are at least this share of all words."""
     return matched.withColumns(
@@ -306,11 +312,7 @@ def decontaminate(
 
     A clean document stays as it is, byte for byte.
     """
-    columns = docs.columns
-    kept = judged(match_items(docs, items, window, text, **names), coverage_percent)
-    kept = kept.where(~F.col("contaminated"))
-
-    hit = F.col("n_hit") > 0
-    touched = F.pandas_udf(without_spans, "string")(F.when(hit, F.col(text)), F.when(hit, F.col("spans")))
-    cleaned = F.when(hit, touched).otherwise(F.col(text))
-    return kept.withColumn(text, cleaned).select(*[f"`{c}`" for c in columns])
+    matched = match_items(docs, items, window, text, clean=True, **names)
+    taken = {f.name.lower() for f in RESULTS.fields}
+    kept = judged(matched, coverage_percent).where(~F.col("contaminated"))
+    return kept.select(*[f"`{c}`" for c in docs.columns if c.lower() not in taken])

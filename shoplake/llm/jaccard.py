@@ -46,11 +46,11 @@ THRESHOLD = 0.8
 RECALL = 0.9995
 MOST_HASHES = 128
 #: Sets of one bucket that are compared in one group.
-CHUNK = 2048
+CHUNK = 512
 #: Rows of one Python group in the search for partners, and bytes in the verification.
-BIN_ROWS, BIN_BYTES = 20_000, 16 * 1024 * 1024
+BIN_ROWS, BIN_BYTES = 5_000, 8 * 1024 * 1024
 #: Bytes of a matrix while links are counted.
-MATRIX_BYTES = 64 * 1024 * 1024
+MATRIX_BYTES = 32 * 1024 * 1024
 
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 

@@ -30,10 +30,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from shoplake.llm.common import cached, slices, stored
 
 UNKNOWN = "und"
-#: Bytes of text whose n-grams are counted together.
-COUNT_BYTES = 1024 * 1024
-#: N-gram vectors a worker has at a time, 64 MB of them.
-GRAMS_AT_ONCE = 16_384
+#: N-gram vectors a worker has at a time, 32 MB of them.
+GRAMS_AT_ONCE = 8_192
 #: Every task has the prototypes of all languages, so there may not be more of them.
 MOST_LANGUAGES = 2_000
 #: Tasks that add up n-gram vectors; each returns one vector per language.
@@ -70,7 +68,8 @@ class Space:
                 (codes >> (BITS * (self.n - 1 - place))) & ((1 << BITS) - 1), return_inverse=True
             )
             rolled = np.stack([np.roll(self.letter(int(p)), place) for p in points])
-            out *= rolled[at]
+            for start in range(0, len(codes), 1024):
+                out[start : start + 1024] *= rolled[at[start : start + 1024]]
         return out
 
 
@@ -109,7 +108,7 @@ def count_by_language(docs: DataFrame, text: str, label: str, n: int) -> DataFra
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text", COUNT_BYTES):
+        for part in slices(batches):
             names = np.array(part.column("lang").to_pylist(), object)
             texts = part.column("text").to_pylist()
             which, grams, counts = count_ngrams(texts, n)
@@ -148,8 +147,8 @@ def learn_prototypes(
     def bundle(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
-            for start in range(0, batch.num_rows, 4096):
-                part = batch.slice(start, 4096)
+            for start in range(0, batch.num_rows, GRAMS_AT_ONCE):
+                part = batch.slice(start, GRAMS_AT_ONCE)
                 langs = np.array(part.column("lang").to_pylist())
                 vectors = space.ngrams(part.column("gram").to_numpy())
                 n = part.column("n").to_numpy().astype(np.float64)
@@ -197,7 +196,7 @@ def predict(
     model = centred(prototypes) if prototypes else None
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, text, COUNT_BYTES):
+        for part in slices(batches, text):
             n = part.num_rows
             langs, scores = [UNKNOWN] * n, [0.0] * n
             which, grams, counts = count_ngrams(part.column(text).to_pylist(), space.n)

@@ -83,7 +83,7 @@ def test_similar_is_exact(monkeypatch):
             assert found[i, j] == (len(a & b) >= 0.6 * len(a | b))
 
 
-@pytest.mark.parametrize("chunk", [2048, 7])
+@pytest.mark.parametrize("chunk", [512, 7])
 def test_given_documents_and_a_large_group(spark, monkeypatch, chunk):
     """With small chunks, groups are dealt to pairs of chunks; nothing may change."""
     monkeypatch.setattr(J, "CHUNK", chunk)
