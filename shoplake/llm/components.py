@@ -25,7 +25,8 @@ def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its lesser neighbours are tied to the least of them; edges go from great to small."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(least, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+    others = down.join(least, "u").where(F.col("v") != F.col("m"))
+    moved = others.select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(least.select("u", F.col("m").alias("v")))
 
 

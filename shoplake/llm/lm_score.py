@@ -369,10 +369,9 @@ def score(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "t
     found = sorted((r["keys"] % (1 << 64), r["values"]) for r in chosen if r["keys"] % (1 << 64) != end)
     states = np.array([k for k, _ in found], np.uint64)
     seen = np.array([v for _, v in found], float)
-    pairs = stored(
-        totals(pair_requests(blocks, sc.broadcast((states,)), max(buckets, bins_for(tokens, 2 * BUCKET_KEYS))), arc_sums),
-        "pairs",
-    )
+    pair_buckets = max(buckets, bins_for(tokens, 2 * BUCKET_KEYS))
+    asked = pair_requests(blocks, sc.broadcast((states,)), pair_buckets)
+    pairs = stored(totals(asked, arc_sums), "pairs")
     arcs = np.zeros(len(states))
     each = pairs.where(F.col("block").isNull()).select(F.explode(F.arrays_zip("keys", "values")).alias("s"))
     for row in each.groupBy("s.keys").agg(F.sum("s.values").alias("sum")).collect():  # one row a state
