@@ -6,7 +6,9 @@ on: the content of its turns and the mark that ends them.
 
 A dialogue of any length is cut into parts of ``PART_TURNS`` turn numbers, and each part is
 rendered by itself, so no group grows without bound. Offsets run on over the parts of a
-dialogue: its parts, put one after the other, are the whole rendering. Only built-in functions are used.
+dialogue: its parts, put one after the other, are the whole rendering. Texts are shuffled once, to
+their parts; who sees which part, and from which offset on, is found from lengths. Only
+built-in functions are used.
 
 Defined results: turns with the same number are ordered by speaker and text; repeated rows are
 rendered once; a NULL turn number stands before all others; a NULL or empty speaker is called
@@ -22,12 +24,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from shoplake.llm.common import stored
+
 #: Turn numbers in one part.
 PART_TURNS = 256
 SYSTEM = "system"
 UNKNOWN = "unknown"
 START, END = "<|im_start|>", "<|im_end|>"
 
+#: What names a part: the dialogue (as text, or that it has no id) and its range of turn numbers.
+PART = ["c", "no_c", "p", "has_p"]
 MASKS = "array<struct<start:bigint,end:bigint>>"
 
 
@@ -42,14 +48,14 @@ def safe_name(name: Column) -> Column:
 def header(speaker: Column, viewer: Column) -> Column:
     role = (
         F.when(speaker == SYSTEM, F.lit("system"))
-        .when(speaker == viewer, F.lit("assistant"))
+        .when(speaker.eqNullSafe(viewer), F.lit("assistant"))
         .otherwise(F.concat(F.lit("user name="), safe_name(speaker)))
     )
     return F.concat(F.lit(START), role, F.lit("\n"))
 
 
-def rendered(turns: Column, viewer: Column) -> Column:
-    """Struct of the text and of the mask, whose offsets begin at this part."""
+def rendered(turns: Column, viewer: Column, first: Column) -> Column:
+    """Struct of the text and of the mask, with offsets from ``first`` on."""
     pieces = F.transform(
         turns,
         lambda t: F.struct(
@@ -58,7 +64,7 @@ def rendered(turns: Column, viewer: Column) -> Column:
             (t["speaker"] == viewer).alias("own"),
         ),
     )
-    nothing = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(MASKS).alias("masks"))
+    nothing = F.struct(first.alias("at"), F.array().cast(MASKS).alias("masks"))
 
     def add(done: Column, p: Column) -> Column:
         begin = done["at"] + F.length(p["head"])
@@ -84,44 +90,57 @@ def rotate(
     ``start`` is the offset of the part in the participant's whole rendering, ``masks`` are
     (start, end) in the whole rendering, in characters.
     """
-    part = F.coalesce(F.floor(F.col(turn) / part_turns), F.lit(-1))
     name = F.when(F.coalesce(F.col(speaker), F.lit("")) == "", UNKNOWN).otherwise(F.col(speaker))
+    part = F.floor(F.col(turn) / part_turns).cast("long")
     said = turns.select(
-        F.col(conv_id).alias("conv_id"),
-        F.when(F.col(turn).isNull(), F.lit(None)).otherwise(part).cast("long").alias("part"),
+        F.coalesce(F.col(conv_id).cast("string"), F.lit("")).alias("c"),
+        F.col(conv_id).isNull().alias("no_c"),
+        F.coalesce(part, F.lit(0)).alias("p"),
+        F.col(turn).isNotNull().alias("has_p"),
         F.struct(
             F.col(turn).cast("long").alias("turn"),
             name.alias("speaker"),
             safe_text(F.col(text)).alias("text"),
         ).alias("t"),
     )
-    parts = said.groupBy("conv_id", "part").agg(F.sort_array(F.collect_set("t")).alias("turns"))
-    # spread: a speaker of a long dialogue is first reduced within the tasks
-    people = (
-        said.where(F.col("t.speaker") != SYSTEM)
-        .select(F.col("conv_id").alias("c"), F.col("t.speaker").alias("participant"))
-        .distinct()
-    )
-    seen = parts.join(people, parts["conv_id"].eqNullSafe(people["c"]))
-    made = seen.select(
-        "conv_id",
+    parts = said.groupBy(*PART).agg(F.sort_array(F.collect_set("t")).alias("turns"))
+    seen = stored(views(said), "views")
+    made = parts.join(seen, PART).select(
+        F.when(~F.col("no_c"), F.col("c").cast(turns.schema[conv_id].dataType)).alias("conv_id"),
         "participant",
-        "part",
+        F.when(F.col("has_p"), F.col("p")).alias("part"),
         F.size("turns").cast("long").alias("n_turns"),
-        rendered(F.col("turns"), F.col("participant")).alias("made"),
-    ).select("conv_id", "participant", "part", "n_turns", "made.text", "made.masks")
-    before = (
-        W.partitionBy("conv_id", "participant")
-        .orderBy(F.col("part").asc_nulls_first())
-        .rowsBetween(W.unboundedPreceding, -1)
+        "start",
+        rendered(F.col("turns"), F.col("participant"), F.col("start")).alias("made"),
     )
-    start = F.coalesce(F.sum(F.length("text").cast("long")).over(before), F.lit(0))
-    moved = F.transform(
-        "masks",
-        lambda m: F.struct((m["start"] + F.col("start")).alias("start"), (m["end"] + F.col("start")).alias("end")),
-    )
-    return (
-        made.withColumn("start", start)
-        .withColumn("masks", moved)
-        .select("conv_id", "participant", "part", "n_turns", "start", "text", "masks")
+    return made.select("conv_id", "participant", "part", "n_turns", "start", "made.text", "made.masks")
+
+
+def views(said: DataFrame) -> DataFrame:
+    """Each part with each participant of its dialogue, and where it starts in that rendering.
+
+    Needs lengths only, so no text is shuffled for it: seen from a participant, its own turns
+    differ from what others see in their header alone.
+    """
+    t = F.col("t")
+    each = said.select(
+        *PART,
+        t["speaker"].alias("speaker"),
+        t["turn"].alias("turn"),
+        F.xxhash64(t["text"]).alias("text_hash"),
+        F.length(t["text"]).cast("long").alias("size"),
+    ).distinct()
+    own = stored(each.groupBy(*PART, "speaker").agg(F.count("*").alias("n"), F.sum("size").alias("size")), "own")
+    as_user = F.length(header(F.col("speaker"), F.lit(None)))
+    per_turn = as_user + len(END) + 1
+    whole = own.groupBy(*PART).agg(F.sum(F.col("size") + F.col("n") * per_turn).alias("size"))
+    people = own.where(F.col("speaker") != SYSTEM).select("c", "no_c", "speaker").distinct()
+    seen = whole.join(people, ["c", "no_c"]).join(own.select(*PART, "speaker", "n"), [*PART, "speaker"], "left")
+    saved = as_user - F.length(header(F.col("speaker"), F.col("speaker")))
+    size = F.col("size") - F.coalesce("n", F.lit(0)) * saved
+    before = W.partitionBy("c", "no_c", "speaker").orderBy("has_p", "p").rowsBetween(W.unboundedPreceding, -1)
+    return seen.select(
+        *PART,
+        F.col("speaker").alias("participant"),
+        F.coalesce(F.sum(size).over(before), F.lit(0)).cast("long").alias("start"),
     )
