@@ -9,8 +9,8 @@ back to every path (row) that has the blob.
 Places come without a UDF: a match and the gap before it are as long as the pieces that
 ``regexp_extract_all`` and ``split`` return, so running sums of their lengths are the offsets.
 
-Copies collapse within the tasks before blobs are shuffled. The join back carries hashes only, and
-only blobs with findings are in its other side.
+Copies collapse within the tasks before blobs are shuffled. Only blobs with findings are in the join
+back; it is a broadcast where they are counted to be few, so that the documents stay where they are.
 
 Defined results: NULL text is scanned as the empty text; an empty table gives no rows; repeated
 rows share one blob and each get its findings. Columns of the documents are kept unless a result
@@ -29,6 +29,9 @@ from pyspark.sql import functions as F
 
 from shoplake.config import scratch_dir
 
+#: Findings of up to so many blobs and spans, some 30 MB, are broadcast; more are joined by shuffle.
+SMALL_BLOBS, SMALL_SPANS = 50_000, 200_000
+
 SPAN = "array<struct<start:int,place:int,end:int,kind:string>>"
 BLOB = "blob"
 
@@ -192,7 +195,9 @@ def scan_documents(
     found = ledger.findings(rules_version(rules))
     kept = [c for c in docs.columns if c.lower() not in (BLOB, "spans")]
     named = docs.select(*[f"`{c}`" for c in kept], blob_of(text).alias(BLOB))
-    joined = named.join(found, BLOB, "left")
+    size = found.agg(F.count("*").alias("blobs"), F.sum(F.size("spans")).alias("spans")).first()
+    small = size["blobs"] <= SMALL_BLOBS and (size["spans"] or 0) <= SMALL_SPANS
+    joined = named.join(F.broadcast(found) if small else found, BLOB, "left")
     return joined.select(
         *[f"`{c}`" for c in kept],
         BLOB,

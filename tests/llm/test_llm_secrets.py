@@ -100,6 +100,23 @@ def test_a_run_cut_short_does_not_count(spark):
     assert ledger.seen(S.rules_version(S.RULES)) is None
 
 
+def test_few_and_many_findings_are_joined_alike(spark, monkeypatch):
+    docs = given(spark, "documents").select("doc_id", "text")
+    ledger = S.Ledger(spark)
+    few = S.scan_documents(docs, ledger)
+    assert "BroadcastHashJoin" in few._jdf.queryExecution().executedPlan().toString()
+    want = sorted(few.collect())
+    monkeypatch.setattr(S, "SMALL_SPANS", 0)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        many = S.scan_documents(docs, ledger)
+        assert "SortMergeJoin" in many._jdf.queryExecution().executedPlan().toString()
+        assert sorted(many.collect()) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_odd_rows(spark):
     docs = clashing(odd_documents(spark), "blob", "Spans")
     found = base(S.scan_documents(docs, S.Ledger(spark)))
