@@ -36,7 +36,7 @@ CACHED_WORDS = 200_000
 MAX_FILE_BYTES = 64 * 1024 * 1024
 
 # The public byte-level pre-tokenisation pattern, and letters and numbers that
-# are newer than the Unicode version (16.0) the reference tokenizer counts with.
+# are newer than the Unicode version (16.0) that the tokenizers library counts with.
 PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?{L}+| ?{N}+| ?[[^\s\p{{L}}\p{{N}}]{newer}]+|\s+(?!\S)|\s+"
 )

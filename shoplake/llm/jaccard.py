@@ -12,8 +12,9 @@
    is tied to. Pairs are never written out.
 5. Components of these ties are classes; class id is the least document id.
 
-Counting links exactly takes a comparison for each pair of different near copies, so the work
-inside a bucket grows with the square of its *different* sets; memory, rows and shuffle don't.
+Counting links exactly takes a comparison for each pair of different near copies, so the work for
+a bucket grows with the square of its *different* sets, and each of these is copied once per chunk.
+No task or group grows with the bucket.
 
 Words are runs of ASCII letters and digits and of any other characters, A-Z lower-cased. A text of fewer
 than five words is one n-gram of all its words. Defined results: NULL, empty and wordless texts
