@@ -80,6 +80,10 @@ def quoted(identifier: str) -> str:
     return "`" + identifier.replace("`", "``") + "`"
 
 
+#: Folders of sessions on one machine that have no shared folder set.
+_OWN_ROOTS: dict[str, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder that all executors share: ``spark.checkpoint.dir``.
 
@@ -90,9 +94,11 @@ def shared_root(spark: SparkSession) -> str:
     if not shared:
         if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="shoplake-")
-        atexit.register(shutil.rmtree, shared, ignore_errors=True)
-        spark.conf.set("spark.checkpoint.dir", shared)
+        app = spark.conf.get("spark.app.id", "")
+        if app not in _OWN_ROOTS:
+            _OWN_ROOTS[app] = tempfile.mkdtemp(prefix="shoplake-")
+            atexit.register(shutil.rmtree, _OWN_ROOTS[app], ignore_errors=True)
+        shared = _OWN_ROOTS[app]
     return shared.rstrip("/")
 
 

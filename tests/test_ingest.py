@@ -235,13 +235,9 @@ def test_profile_of_an_empty_database(spark, cfg):
 def test_scratch_without_a_shared_folder(spark):
     shared, master = spark.conf.get("spark.checkpoint.dir"), spark.conf.get("spark.master")
 
-    class Conf(dict):
-        def set(self, key, value):
-            self[key] = value
-
     class Session:
         def __init__(self, **conf):
-            self.conf = Conf(conf)
+            self.conf = conf  # it can be read, not changed: a running session refuses that
 
     assert shared_root(Session(**{"spark.checkpoint.dir": shared})) == shared
     own = Session(**{"spark.master": master})
