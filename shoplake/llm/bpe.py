@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from shoplake.llm.common import cached, slices
+from shoplake.llm.common import cached, slices, small_batches
 
 #: Words kept with their ids by one worker; beyond it the worker starts afresh.
 CACHED_WORDS = 200_000
@@ -345,4 +345,4 @@ def encode_decode(
                 [columns[f.name].cast(f.type) for f in arrow], schema=arrow
             )
 
-    return wanted.mapInArrow(run, schema)
+    return small_batches(wanted).mapInArrow(run, schema)

@@ -16,6 +16,7 @@ from shoplake.config import scratch_dir
 
 #: Most rows of one long column that are ever broadcast: 16 MB of ids.
 BROADCAST_ROWS = 2_000_000
+BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1_000
 #: Bytes of text a worker has as Python objects at a time (one longer text counts alone).
 SLICE_BYTES = 512 * 1024
 
@@ -44,6 +45,18 @@ def join_small(left: DataFrame, right: DataFrame, on: list[str], how: str) -> Da
     return left.join(F.broadcast(right) if small else right, on, how)
 
 
+def small_batches(docs: DataFrame) -> DataFrame:
+    """Have the session hand texts to Python in batches of at most ``BATCH_ROWS``, and return ``docs``.
+
+    The usual 10,000 texts are some 40 MB, which each task holds several times outside the heap. A
+    smaller setting stays as it is; it is never raised again, and rows don't depend on it.
+    """
+    spark = docs.sparkSession
+    if int(spark.conf.get(BATCH_SETTING)) > BATCH_ROWS:
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
+    return docs
+
+
 def worker_cache() -> dict[Any, Any]:
     """Lasts as long as the Python worker, over its tasks."""
     name = "_shoplake_llm_worker_cache"

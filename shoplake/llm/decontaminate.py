@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from shoplake.llm.common import bins_for, cached, slices, stored
+from shoplake.llm.common import bins_for, cached, slices, small_batches, stored
 
 #: Text bytes of the items in one automaton: some 50 MB of it are broadcast.
 BLOCK_BYTES = 4 * 1024 * 1024
@@ -230,7 +230,7 @@ def match_items(
     kept = [f for f in docs.schema.fields if f.name.lower() not in names]
     schema = T.StructType(kept + RESULTS.fields)
     arrow = to_arrow_schema(schema)
-    out = docs.select(*[f"`{f.name}`" for f in kept])
+    out = small_batches(docs).select(*[f"`{f.name}`" for f in kept])
     sc = docs.sparkSession.sparkContext
     blocks = 0
     for last, block in item_blocks(items, item_id, item_text, block_bytes):

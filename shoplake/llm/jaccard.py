@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from shoplake.llm.common import bins_for, join_small, slices, stored
+from shoplake.llm.common import bins_for, join_small, slices, small_batches, stored
 from shoplake.llm.components import components
 from shoplake.llm.decontaminate import words_of
 
@@ -147,7 +147,8 @@ def signatures(docs: DataFrame, doc_id: str, text: str, n: int, bands: int, rows
                 [c.cast(f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow
             )
 
-    return docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).mapInArrow(run, schema)
+    texts = small_batches(docs).select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    return texts.mapInArrow(run, schema)
 
 
 def fetched(docs: DataFrame, doc_id: str, text: str, n: int, wanted: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from shoplake.llm.common import cached, slices, stored
+from shoplake.llm.common import cached, slices, small_batches, stored
 
 UNKNOWN = "und"
 #: N-gram vectors a worker has at a time, 32 MB of them.
@@ -129,7 +129,7 @@ def count_by_language(docs: DataFrame, text: str, label: str, n: int) -> DataFra
 
     labelled = docs.select(F.col(text).alias("text"), F.col(label).alias("lang"))
     labelled = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counted = labelled.mapInArrow(run, schema)
+    counted = small_batches(labelled).mapInArrow(run, schema)
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -213,7 +213,7 @@ def predict(
             columns[score_name] = pa.array(np.clip(scores, 0.0, 1.0))
             yield pa.RecordBatch.from_arrays([columns[f.name] for f in arrow], schema=arrow)
 
-    return docs.select(*[f"`{f.name}`" for f in kept]).mapInArrow(run, schema)
+    return small_batches(docs).select(*[f"`{f.name}`" for f in kept]).mapInArrow(run, schema)
 
 
 def bundles(

@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from shoplake.llm.common import bins_for, slices, stored
+from shoplake.llm.common import bins_for, slices, small_batches, stored
 
 #: A word with at least this share of the training tokens is a state (so at most 50,000 are).
 STATE_SHARE = 2e-5
@@ -146,7 +146,7 @@ def coded_blocks(docs: DataFrame, doc_id: str, text: str, train: Column) -> Data
         if coder.ids:
             yield pa.RecordBatch.from_pylist([coder.block(f"{prefix}-{done}")], arrow)
 
-    rows = docs.select(
+    rows = small_batches(docs).select(
         F.col(doc_id).alias("id"), F.coalesce(train, F.lit(False)).alias("train"), F.col(text).alias("text")
     )
     return rows.mapInArrow(run, schema)

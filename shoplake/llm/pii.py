@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from shoplake.llm.common import cached, slices
+from shoplake.llm.common import cached, slices, small_batches
 
 ROUNDS = 10
 
@@ -248,4 +248,4 @@ def pseudonyms(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
             columns["n_replaced"] = pa.array([sum(c.values()) for _, c in done], pa.int64())
             yield pa.RecordBatch.from_arrays([columns[c.name] for c in arrow], schema=arrow)
 
-    return docs.select(*[f"`{c.name}`" for c in kept]).mapInArrow(run, schema)
+    return small_batches(docs).select(*[f"`{c.name}`" for c in kept]).mapInArrow(run, schema)
