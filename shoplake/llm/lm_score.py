@@ -1,7 +1,7 @@
 """Language-model scores from a weighted backoff automaton, learned and applied as joins.
 
-The model: words by add-one counts; above them, every word that makes up at least ``STATE_SHARE`` of
-the training tokens is a state. A state has an arc for each word that followed it at least twice,
+The model: words by add-one counts; above them, every training word is a state, however rare (unless
+``STATE_SHARE`` is raised). A state has an arc for each word that followed it at least twice,
 with the discounted relative frequency, and a failure arc to the root, whose weight is what the arcs
 leave over. A text is read once from left to right: the state's arc (if any) and the failure arc
 times the root's probability are added, and the next state is that of the word just read. Since the
@@ -13,15 +13,16 @@ The counts belong to all training documents and grow with them, so no task ever
 1. Documents are coded in blocks of some two million words where they lie: the sorted 64-bit hashes of the
    block's words, and the texts as places in that list.
 2. A request row has all the keys a block wants of a bucket, so there are never more rows than keys.
-   Each block asks for its words. Requests are ranges of sorted hashes, a bucket each; a bucket adds up
-   the counts of all blocks and answers each block with totals in the order it asked in.
-3. States are the words above the share; there are at most 1 / STATE_SHARE of them, so that list is
-   small at any size of input and is broadcast.
-4. Blocks ask for their pairs (state, word) in the same way. Buckets also add up what each state's arcs
-   have, which gives the failure weights.
+   Requests are ranges of sorted hashes, a bucket each; a bucket adds up the counts of all blocks and
+   answers each block with totals in the order it asked in.
+3. Blocks ask for their pairs (history, word) by a hash of both, so the pairs of a frequent history are
+   spread over all buckets. With each pair goes its history: the bucket adds up what the arcs of
+   each history have there.
+4. Blocks ask for their words in the same way. These buckets also get the sums of the arcs, by the hash of
+   the history, and answer with both: a block learns the failure weights of its own histories only.
 5. Each block meets its answers and scores its texts.
 
-Words are compared by 64-bit hashes, followers of a state by 48 bits of them.
+Words and pairs are compared by 64-bit hashes.
 
 Defined results: NULL and empty texts consist of the end token alone; a document with a NULL id counts
 as the empty id; repeated rows count and are scored each time; without training documents
@@ -45,9 +46,10 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from shoplake.llm.common import bins_for, slices, small_batches, stored
+from shoplake.llm.jaccard import FACTOR, mixed
 
-#: A word with at least this share of the training tokens is a state (so at most 50,000 are).
-STATE_SHARE = 2e-5
+#: A word with at least this share of the training tokens is a state: with 0 every training word is.
+STATE_SHARE = 0.0
 #: Followers seen less often are left to the failure arc.
 LEAST_FOLLOWS = 2
 DISCOUNT = 0.75
@@ -115,7 +117,7 @@ class Coder:
             "codes": pack(codes),
             "words": pack_sorted(words),
             "counts": pack(counts),
-            "n_words": len(words),
+            "n_tokens": len(codes),
             "train_tokens": int(train.sum()),
         }
 
@@ -126,7 +128,7 @@ def coded_blocks(docs: DataFrame, doc_id: str, text: str, train: Column) -> Data
             T.StructField("block", T.StringType()),
             T.StructField("ids", T.ArrayType(docs.schema[doc_id].dataType)),
             *[T.StructField(c, T.BinaryType()) for c in ("train", "lengths", "codes", "words", "counts")],
-            T.StructField("n_words", T.LongType()),
+            T.StructField("n_tokens", T.LongType()),
             T.StructField("train_tokens", T.LongType()),
         ]
     )
@@ -152,6 +154,7 @@ def coded_blocks(docs: DataFrame, doc_id: str, text: str, train: Column) -> Data
     return rows.mapInArrow(run, schema)
 
 
+#: ``histories``: of the pairs asked for, each once; ``places``: where in them each pair's is.
 REQUEST = T.StructType(
     [
         T.StructField("bucket", T.IntegerType()),
@@ -160,7 +163,11 @@ REQUEST = T.StructType(
         T.StructField("counts", T.BinaryType()),
     ]
 )
-ANSWER = "bucket int, block string, totals binary, distinct bigint, keys array<bigint>, values array<double>"
+PAIR_REQUEST = T.StructType(
+    [*REQUEST.fields, *[T.StructField(c, T.BinaryType()) for c in ("histories", "places")]]
+)
+PAIR_ANSWER = "bucket int, block string, totals binary, keys binary, arcs binary"
+WORD_ANSWER = "bucket int, block string, totals binary, arcs binary, distinct bigint"
 
 
 def bucket_ends(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -191,18 +198,32 @@ def word_requests(blocks: DataFrame, buckets: int) -> DataFrame:
     return blocks.select("block", "words", "counts").mapInArrow(run, REQUEST)
 
 
+def state_bits(states: np.ndarray) -> int:
+    return max(20, len(states).bit_length())
+
+
 def pairs_of(
     codes: np.ndarray, lengths: np.ndarray, words: np.ndarray, states: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
-    """(places of words that follow a state, their keys): 48 bits of the word, 16 of the state."""
+    """(places of words that follow a state, their pairs): the word's code above, the state's place below."""
     at = np.minimum(np.searchsorted(states, words), max(len(states) - 1, 0))
     is_state = states[at] == words if len(states) else np.zeros(len(words), bool)
     first = np.zeros(len(codes), bool)
     first[np.cumsum(lengths)[:-1]] = True
     follows = np.flatnonzero(is_state[codes[:-1]] & ~first[1:]) + 1
-    low = np.uint64(0xFFFF)
-    keys = (words[codes[follows]] & ~low) | at[codes[follows - 1]].astype(np.uint64)
-    return follows, keys
+    pairs = (codes[follows].astype(np.uint64) << state_bits(states)) | at[codes[follows - 1]].astype(np.uint64)
+    return follows, pairs
+
+
+def state_of(pairs: np.ndarray, states: np.ndarray) -> np.ndarray:
+    """The place of each pair's state."""
+    return (pairs & np.uint64((1 << state_bits(states)) - 1)).astype(np.int64)
+
+
+def pair_hashes(pairs: np.ndarray, words: np.ndarray, states: np.ndarray) -> np.ndarray:
+    """What a pair is called in all blocks: a hash of its history and its word."""
+    with np.errstate(over="ignore"):
+        return mixed(states[state_of(pairs, states)] * FACTOR + words[pairs >> state_bits(states)])
 
 
 def opened(row: dict[str, Any]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -215,64 +236,90 @@ def opened(row: dict[str, Any]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     )
 
 
-def pair_requests(blocks: DataFrame, states: Any, buckets: int) -> DataFrame:
-    arrow = to_arrow_schema(REQUEST)
+def pair_requests(blocks: DataFrame, buckets: int) -> DataFrame:
+    arrow = to_arrow_schema(PAIR_REQUEST)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 codes, lengths, train, words = opened(row)
-                follows, keys = pairs_of(codes, lengths, words, states.value[0])
+                follows, pairs = pairs_of(codes, lengths, words, words)
                 taught = np.repeat(train, lengths)[follows]
-                distinct, place = np.unique(keys, return_inverse=True)
+                distinct, place = np.unique(pairs, return_inverse=True)
                 counts = np.bincount(place[taught], minlength=len(distinct)).astype(np.uint32)
-                out = requests(row["block"], distinct, counts, buckets)
+                hashes = pair_hashes(distinct, words, words)
+                order = np.argsort(hashes, kind="stable")
+                history = state_of(distinct, words)[order]
+                out = requests(row["block"], hashes[order], counts[order], buckets)
+                start = 0
+                for r, end in zip(out, sorted(set(bucket_ends(hashes[order], buckets)) - {0}), strict=True):
+                    wanted, places = np.unique(history[start:end], return_inverse=True)
+                    r |= {"histories": pack_sorted(words[wanted]), "places": pack(places.astype(np.uint32))}
+                    start = end
                 yield pa.RecordBatch.from_pylist(out, arrow)
 
-    return blocks.select("block", "codes", "lengths", "train", "words").mapInArrow(run, REQUEST)
+    return blocks.select("block", "codes", "lengths", "train", "words").mapInArrow(run, PAIR_REQUEST)
 
 
-def totals(asked: DataFrame, told: Any) -> DataFrame:
-    """Add up each bucket and answer every block; ``told(keys, sums)`` gives one more row of facts."""
+def added(frame: pd.DataFrame) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """For the requests of a bucket: their keys, the distinct ones, these in order, and their sums."""
+    keys = [unpack_sorted(k) for k in frame["keys"]]
+    counts = np.concatenate([unpack(c, "u4") for c in frame["counts"]])
+    distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
+    return keys, distinct, place, np.bincount(place, counts, minlength=len(distinct)).astype(np.uint64)
+
+
+def pair_totals(asked: DataFrame, buckets: int) -> DataFrame:
+    """Answers to every block, and rows without a block: sums of arcs for each bucket of words."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("block", ignore_index=True)
-        keys = [unpack_sorted(k) for k in frame["keys"]]
-        counts = np.concatenate([unpack(c, "u4") for c in frame["counts"]])
-        distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
-        sums = np.bincount(place, counts, minlength=len(distinct)).astype(np.uint64)
+        keys, distinct, place, sums = added(frame)
         ends = np.cumsum([len(k) for k in keys])
         bucket = int(frame["bucket"].iloc[0])
-        out = [
-            (bucket, block, pack(sums[place[e - len(k) : e]]), None, None, None)
+        out: list[tuple[object, ...]] = [
+            (bucket, block, pack(sums[place[e - len(k) : e]]), None, None)
             for block, k, e in zip(frame["block"], keys, ends, strict=True)
         ]
-        chosen, values = told(distinct, sums)
-        out.append(
-            (bucket, None, None, int((sums > 0).sum()), chosen.view(np.int64).tolist(), values.tolist())
-        )
-        return pd.DataFrame(out, columns=["bucket", "block", "totals", "distinct", "keys", "values"])
+        sides = zip(frame["histories"], frame["places"], strict=True)
+        history = np.empty(len(distinct), np.uint64)
+        history[place] = np.concatenate([unpack_sorted(h)[unpack(p, "u4")] for h, p in sides])
+        kept = sums >= max(1, LEAST_FOLLOWS)
+        states, at = np.unique(history[kept], return_inverse=True)
+        arcs = np.bincount(at, sums[kept].astype(float) - DISCOUNT, minlength=len(states))
+        told = requests("", states, arcs, buckets)
+        out += [(r["bucket"], None, None, r["keys"], r["counts"]) for r in told]
+        return pd.DataFrame(out, columns=["bucket", "block", "totals", "keys", "arcs"])
 
-    return asked.groupBy("bucket").applyInPandas(run, ANSWER)
+    return asked.groupBy("bucket").applyInPandas(run, PAIR_ANSWER)
 
 
-def frequent(least: float) -> Any:
-    def told(keys: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        chosen = (sums > 0) & (sums >= least)
-        return keys[chosen], sums[chosen].astype(float)
-
-    return told
+def word_totals(asked: DataFrame, arcs: DataFrame) -> DataFrame:
+    """Answers to every block with totals and sums of arcs, and a row with the number of training words."""
 
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        asks = frame["block"].notna()
+        rows = frame[asks].sort_values("block", ignore_index=True)
+        keys, distinct, place, sums = added(rows)
+        arcs = np.zeros(len(distinct))
+        for k, a in zip(frame.loc[~asks, "keys"], frame.loc[~asks, "arcs"], strict=True):
+            arcs[np.searchsorted(distinct, unpack_sorted(k))] += unpack(a, "f8")  # blocks ask for all their words
+        ends = np.cumsum([len(k) for k in keys])
+        bucket = int(frame["bucket"].iloc[0])
+        out: list[tuple[object, ...]] = []
+        for block, k, e in zip(rows["block"], keys, ends, strict=True):
+            mine = place[e - len(k) : e]
+            out.append((bucket, block, pack(sums[mine]), pack(arcs[mine]), None))
+        out.append((bucket, None, None, None, int((sums > 0).sum())))
+        return pd.DataFrame(out, columns=["bucket", "block", "totals", "arcs", "distinct"])
 
-def arc_sums(keys: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """State number -> what its arcs have together, discounted."""
-    kept = sums >= LEAST_FOLLOWS
-    states, place = np.unique(keys[kept] & np.uint64(0xFFFF), return_inverse=True)
-    return states, np.bincount(place, sums[kept].astype(float) - DISCOUNT, minlength=len(states))
+    none = F.lit(None).cast("binary")
+    both = asked.withColumn("arcs", none).unionByName(arcs.withColumn("counts", none))
+    return both.groupBy("bucket").applyInPandas(run, WORD_ANSWER)
 
 
 class Automaton:
-    """Root and states, with the weights of their failure arcs."""
+    """Root and states, with the weights of their failure arcs: as much of it as a block needs."""
 
     def __init__(self, states: np.ndarray, seen: np.ndarray, arcs: np.ndarray, tokens: int, kinds: int):
         self.states, self.seen = states, seen
@@ -297,17 +344,20 @@ class Automaton:
         """
         alone = self.root(counts.astype(float))[codes]
         there = alone.copy()
-        follows, keys = pairs_of(codes, lengths, words, self.states)
+        follows, pairs = pairs_of(codes, lengths, words, self.states)
         if len(follows):
-            state = (keys & np.uint64(0xFFFF)).astype(np.int64)
-            _, place = np.unique(keys, return_inverse=True)
+            state = state_of(pairs, self.states)
+            _, place = np.unique(pairs, return_inverse=True)
             seen = followed[place].astype(float)
             arc = np.where(seen >= LEAST_FOLLOWS, (seen - DISCOUNT) / self.seen[state], 0.0)
             there[follows] = arc + self.fail[state] * alone[follows]
         return np.log10(alone), np.log10(there)
 
 
-def scored(blocks: DataFrame, answers: DataFrame, shared: Any, id_type: T.DataType) -> DataFrame:
+def scored(
+    blocks: DataFrame, answers: DataFrame, tokens: int, kinds: int, least: float, id_type: T.DataType
+) -> DataFrame:
+    """``least``: how often a word must have been seen to be a state."""
     schema = T.StructType(
         [
             T.StructField("id", id_type),
@@ -320,17 +370,22 @@ def scored(blocks: DataFrame, answers: DataFrame, shared: Any, id_type: T.DataTy
     )
 
     def run(block: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
-        automaton = shared.value
         row = block.iloc[0].to_dict()
         codes, lengths, train, words = opened(row)
         told = told.sort_values(["pairs", "bucket"])
 
-        def answer(pairs: bool) -> np.ndarray:
-            found = [unpack(t, "u8") for t in told.loc[told["pairs"] == pairs, "totals"]]
-            return np.concatenate(found) if found else np.zeros(0, np.uint64)
-
-        counts = answer(False)
-        alone, there = automaton.read(codes, lengths, words, counts, answer(True))
+        def answer(pairs: bool, column: str, kind: str) -> np.ndarray:
+            found = [unpack(t, kind) for t in told.loc[told["pairs"] == pairs, column]]
+            return np.concatenate(found) if found else np.zeros(0, kind)
+
+        counts, arcs = answer(False, "totals", "u8"), answer(False, "arcs", "f8")
+        distinct = np.unique(pairs_of(codes, lengths, words, words)[1])
+        followed = np.zeros(len(distinct), np.uint64)
+        followed[np.argsort(pair_hashes(distinct, words, words), kind="stable")] = answer(True, "totals", "u8")
+        is_state = counts >= least
+        followed[~is_state[state_of(distinct, words)]] = 0
+        automaton = Automaton(words, counts, np.where(is_state, arcs, 0), tokens, kinds)
+        alone, there = automaton.read(codes, lengths, words, counts, followed)
         starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
         return pd.DataFrame(
             {
@@ -352,32 +407,20 @@ def score(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "t
 
     ``train`` says which rows to learn from.
     """
-    sc = docs.sparkSession.sparkContext
     id_type = docs.schema[doc_id].dataType
     blocks = stored(coded_blocks(docs, doc_id, text, train), "blocks")
-    size = blocks.agg(F.sum("train_tokens").alias("tokens"), F.sum("n_words").alias("words")).first()
-    tokens = size["tokens"] or 0
-    buckets = bins_for(size["words"] or 0, BUCKET_KEYS)
-    words = stored(
-        totals(word_requests(blocks, buckets), frequent(max(1.0, STATE_SHARE * tokens))), "words"
+    size = blocks.agg(F.sum("train_tokens").alias("taught"), F.sum("n_tokens").alias("all")).first()
+    tokens = size["taught"] or 0
+    buckets = bins_for(size["all"] or 0, BUCKET_KEYS)
+    pairs = stored(pair_totals(pair_requests(blocks, buckets), buckets), "pairs")
+    arcs = pairs.where(F.col("block").isNull()).select("bucket", "block", "keys", "arcs")
+    words = stored(word_totals(word_requests(blocks, buckets), arcs), "words")
+    kinds = words.agg(F.sum("distinct")).first()[0] or 0
+    answers = words.select("block", "bucket", "totals", "arcs", F.lit(False).alias("pairs")).unionByName(
+        pairs.select(
+            "block", "bucket", "totals", F.lit(None).cast("binary").alias("arcs"), F.lit(True).alias("pairs")
+        )
     )
-    facts = words.where(F.col("block").isNull())
-    kinds = facts.agg(F.sum("distinct")).first()[0] or 0
-    # at most 1 / STATE_SHARE rows: their shares add up to one
-    chosen = facts.select(F.explode(F.arrays_zip("keys", "values")).alias("s")).select("s.*").collect()
-    end = xxhash.xxh3_64_intdigest(END)
-    found = sorted((r["keys"] % (1 << 64), r["values"]) for r in chosen if r["keys"] % (1 << 64) != end)
-    states = np.array([k for k, _ in found], np.uint64)
-    seen = np.array([v for _, v in found], float)
-    pair_buckets = max(buckets, bins_for(tokens, 2 * BUCKET_KEYS))
-    asked = pair_requests(blocks, sc.broadcast((states,)), pair_buckets)
-    pairs = stored(totals(asked, arc_sums), "pairs")
-    arcs = np.zeros(len(states))
-    each = pairs.where(F.col("block").isNull()).select(F.explode(F.arrays_zip("keys", "values")).alias("s"))
-    for row in each.groupBy("s.keys").agg(F.sum("s.values").alias("sum")).collect():  # one row a state
-        arcs[row["keys"]] = row["sum"]
-    answers = words.withColumn("pairs", F.lit(False)).unionByName(pairs.withColumn("pairs", F.lit(True)))
-    answers = answers.where(F.col("block").isNotNull()).select("block", "pairs", "bucket", "totals")
-    shared = sc.broadcast(Automaton(states, seen, arcs, tokens, kinds))
-    out = scored(blocks, answers, shared, id_type)
+    answers = answers.where(F.col("block").isNotNull())
+    out = scored(blocks, answers, tokens, kinds, max(1.0, STATE_SHARE * tokens), id_type)
     return out.withColumnRenamed("id", doc_id).withColumn("train_tokens", F.lit(tokens).cast("long"))

@@ -120,3 +120,19 @@ def test_held_out_texts_score_better_than_at_the_root(spark):
     assert sum(r["score"] for r in told) > sum(r["base_score"] for r in told)
     for r in told:
         assert not r["train"] and zlib.crc32(str(r["doc_id"]).encode()) % 7 == 2
+
+
+def test_a_rare_word_is_a_state_in_a_large_corpus(spark):
+    """A pair whose first word is 1 of 60,000 tokens scores by its arc."""
+    rows = [(0, "rare follower"), (1, "rare follower"), (2, "rare follower")]
+    rows += [(k, "common " * 1000) for k in range(3, 203)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    compare(docs, F.col("doc_id") != 2, 0)
+    (told,) = M.score(docs, F.col("doc_id") != 2).where("doc_id = 2").collect()
+    assert told["score"] - told["base_score"] > 4  # follower and end are nearly certain now
+
+
+def test_more_states_than_sixteen_bits_hold(spark):
+    text = " ".join(f"w{k}" for k in range(70_000))
+    docs = spark.createDataFrame([(0, text), (1, text), (2, "w69998 w69999 w1")], "doc_id long, text string")
+    compare(docs, F.col("doc_id") < 2, 0)
