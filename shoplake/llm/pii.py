@@ -52,6 +52,10 @@ FINDER = re.compile(
     """,
     re.VERBOSE | re.ASCII,
 )
+#: As many groups as a card may have, the ends of groups, and the usual numbers of digits.
+CARD_RUN = re.compile(r"[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z_]|\.[0-9])")
+GROUP_END = re.compile(r"(?<=[0-9])(?![0-9])")
+COMMON_CARDS = (16, 15)
 #: No value is found in a text without any of these.
 HINT = re.compile(r"[0-9]{4}|@|[0-9][./-][0-9]|\)[ .-]?[0-9]")
 
@@ -111,11 +115,40 @@ def luhn_digit(body: str) -> str:
     return str(-total % 10)
 
 
-def new_card(f: Feistel, text: str) -> str | None:
+def is_card(text: str) -> bool:
     number = digits(text)
-    body = number[:-1]
-    if luhn_digit(body) != number[-1] or len(set(number)) == 1:
+    return 13 <= len(number) <= 19 and luhn_digit(number[:-1]) == number[-1] and len(set(number)) > 1
+
+
+def card_ends(text: str, start: int) -> list[int]:
+    """Where a valid number from ``start`` on may end: after any of its groups, common lengths first."""
+    run = CARD_RUN.match(text, start)
+    ends = [m.start() for m in GROUP_END.finditer(text, start, run.end())] if run else []
+    found = [e for e in ends if is_card(text[start:e])]
+    return sorted(found, key=lambda e: (len(digits(text[start:e])) not in COMMON_CARDS, -e))
+
+
+def card_end(text: str, start: int, longest: int) -> int | None:
+    """Where the card at ``start`` ends; another number may follow it, up to ``longest``.
+
+    What only a shorter, uncommon length makes valid is left to a card of common length that begins inside.
+    """
+    ends = [e for e in card_ends(text, start) if e <= longest]
+    if not ends:
         return None
+    end = ends[0]
+    if end < longest and len(digits(text[start:end])) not in COMMON_CARDS:
+        for inner in re.finditer(" ", text[start:end]):
+            begin = start + inner.end()
+            if any(len(digits(text[begin:e])) in COMMON_CARDS for e in card_ends(text, begin)):
+                return None
+    return end
+
+
+def new_card(f: Feistel, text: str) -> str | None:
+    if not is_card(text):
+        return None
+    body = digits(text)[:-1]
     moved = str(f.permute("card", int(body), 10 ** len(body))).zfill(len(body))
     return fill(text, moved + luhn_digit(moved))
 
@@ -214,7 +247,13 @@ def pseudonymise(f: Feistel, text: str | None) -> tuple[str | None, dict[str, in
         known.clear()
     out, at, look = [], 0, 0
     while m := FINDER.search(text, look):
-        kind, value = m.lastgroup or "", m[0]
+        kind, end = m.lastgroup or "", m.end()
+        if kind == "card":
+            end = card_end(text, m.start(), end) or 0
+        if not end:
+            look = m.start() + 1
+            continue
+        value = text[m.start() : end]
         if (kind, value) not in known:
             known[kind, value] = MAKERS[kind](f, value)
         new = known[kind, value]
@@ -223,7 +262,7 @@ def pseudonymise(f: Feistel, text: str | None) -> tuple[str | None, dict[str, in
             continue
         counts[kind] += 1
         out += [text[at : m.start()], new]
-        at = look = m.end()
+        at = look = end
     return "".join(out) + text[at:], counts
 
 

@@ -109,3 +109,36 @@ def test_odd_rows(spark):
     assert P.pseudonyms(empty_documents(spark), KEY).collect() == []
     with pytest.raises(ValueError):
         P.pseudonyms(odd_documents(spark), b"short")
+
+
+@pytest.mark.parametrize("card", ["4111 1111 1111 1111", "3782 822463 10005", "4111-1111-1111-1111", "3056 930902 5904"])
+@pytest.mark.parametrize("tail", [" 123", " 7", " 12/28", " 12 28", " 01/02/2024", " 123 45", "-123", " 1.2.3.4"])
+def test_a_card_before_another_number(f, card, tail):
+    """It gets the pseudonym that it has alone."""
+    alone = changed(f, card)
+    assert alone != card
+    text, counts = P.pseudonymise(f, card + tail)
+    if len(P.digits(card)) == 14 and P.card_ends(card + tail, 0)[0] != len(card):
+        return  # a longer run has a valid Luhn digit too, and neither length is common
+    assert text.startswith(alone) and counts["card"] == 1
+    if not re.search(r"[/.]", tail):
+        assert text == alone + tail
+
+
+@pytest.mark.parametrize("head", ["12 ", "7 ", "123 ", "12345 "])
+def test_a_card_after_another_number(f, head):
+    card = "4556 7375 8689 9855"
+    assert changed(f, head + card) == head + changed(f, card)
+
+
+def test_every_tail_of_three_digits(f):
+    """Also where the longer run has a valid Luhn digit by chance."""
+    alone = changed(f, "4111 1111 1111 1111")
+    for k in range(1000):
+        assert changed(f, f"4111 1111 1111 1111 {k:03d}") == f"{alone} {k:03d}"
+
+
+def test_two_cards_in_a_row(f):
+    one, two = "378282246310005", "4111 1111 1111 1111"
+    assert changed(f, f"{one} {two}") == f"{changed(f, one)} {changed(f, two)}"
+    assert changed(f, f"{two} {one}") == f"{changed(f, two)} {changed(f, one)}"
