@@ -57,7 +57,7 @@ CARD_RUN = re.compile(r"[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z_]|\.[0-9])")
 GROUP_END = re.compile(r"(?<=[0-9])(?![0-9])")
 COMMON_CARDS = (16, 15)
 #: No value is found in a text without any of these.
-HINT = re.compile(r"[0-9]{4}|@|[0-9][./-][0-9]|\)[ .-]?[0-9]")
+HINT = re.compile(r"[0-9]{4}|@|[0-9][ ./-][0-9]|\)[ .-]?[0-9]")
 
 
 class Feistel:
