@@ -5,10 +5,12 @@ name; system turns stay system turns. The mask marks the text that the assistant
 on: the content of its turns and the mark that ends them.
 
 A dialogue of any length is cut into parts of ``PART_TURNS`` turn numbers, and each part is
-rendered by itself, so no group grows without bound. Offsets run on over the parts of a
-dialogue: its parts, put one after the other, are the whole rendering. Texts are shuffled once, to
-their parts; who sees which part, and from which offset on, is found from lengths. Only
-built-in functions are used.
+rendered by itself. Where turn numbers tie or are NULL, a part may have any number of rows: beyond
+``PART_ROWS`` it is cut after each so many rows, which are numbered by ranges and running counts. So
+no group grows without bound, and such a part gives several rows with its number. Offsets run
+on over the parts of a dialogue: its parts, in the order of ``start``, are the whole rendering. Texts are
+shuffled once, to their parts (those of cut parts some times more); who sees which part, and from which
+offset on, is found from lengths. Only built-in functions are used.
 
 Defined results: turns with the same number are ordered by speaker and text; repeated rows are
 rendered once; a NULL turn number stands before all others; a NULL or empty speaker is called
@@ -24,16 +26,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from shoplake.llm.common import stored
+from shoplake.llm.common import bins_for, join_small, stored
 
-#: Turn numbers in one part.
-PART_TURNS = 256
+#: Turn numbers in one part, and most rows that are rendered together.
+PART_TURNS, PART_ROWS = 256, 4096
+#: Rows of large parts that are numbered together.
+RANGE_ROWS = 16 * PART_ROWS
 SYSTEM = "system"
 UNKNOWN = "unknown"
 START, END = "<|im_start|>", "<|im_end|>"
 
-#: What names a part: the dialogue (as text, or that it has no id) and its range of turn numbers.
-PART = ["c", "no_c", "p", "has_p"]
+#: What names a range of turn numbers of a dialogue (as text, or that it has no id), and a part.
+RANGE = ["c", "no_c", "p", "has_p"]
+PART = [*RANGE, "cut"]
 MASKS = "array<struct<start:bigint,end:bigint>>"
 
 
@@ -84,9 +89,12 @@ def rotate(
     speaker: str = "role",
     text: str = "text",
     part_turns: int = PART_TURNS,
+    part_rows: int = PART_ROWS,
 ) -> DataFrame:
     """conv_id, participant, part, n_turns, start, text, masks: one row per part and participant.
 
+    A part of more than ``part_rows`` different rows gives a row for each so many of them.
+
     ``start`` is the offset of the part in the participant's whole rendering, ``masks`` are
     (start, end) in the whole rendering, in characters.
     """
@@ -103,8 +111,21 @@ def rotate(
             safe_text(F.col(text)).alias("text"),
         ).alias("t"),
     )
+    own = stored(lengths(said, RANGE), "own")
+    large = own.groupBy(*RANGE).agg(F.sum("n").alias("rows")).where(F.col("rows") > part_rows)
+    large = stored(large, "large")
+    rows = large.agg(F.sum("rows")).first()[0]
+    whole = F.lit(0).cast("long").alias("cut")
+    if rows:
+        names = large.select(*RANGE)
+        cut = stored(cut_rows(join_small(said, names, RANGE, "left_semi"), part_rows, rows), "cut")
+        said = join_small(said, names, RANGE, "left_anti").select(*RANGE, whole, "t").unionByName(cut)
+        own = join_small(own, names, RANGE, "left_anti").select("*", whole).unionByName(lengths(cut, PART))
+        own = stored(own, "own-cut")
+    else:
+        said, own = said.select(*RANGE, whole, "t"), own.select("*", whole)
     parts = said.groupBy(*PART).agg(F.sort_array(F.collect_set("t")).alias("turns"))
-    seen = stored(views(said), "views")
+    seen = stored(views(own), "views")
     made = parts.join(seen, PART).select(
         F.when(~F.col("no_c"), F.col("c").cast(turns.schema[conv_id].dataType)).alias("conv_id"),
         "participant",
@@ -116,21 +137,41 @@ def rotate(
     return made.select("conv_id", "participant", "part", "n_turns", "start", "made.text", "made.masks")
 
 
-def views(said: DataFrame) -> DataFrame:
-    """Each part with each participant of its dialogue, and where it starts in that rendering.
-
-    Needs lengths only, so no text is shuffled for it: seen from a participant, its own turns
-    differ from what others see in their header alone.
-    """
+def cut_rows(said: DataFrame, part_rows: int, rows: int) -> DataFrame:
+    """The different rows of large ranges of turn numbers, in parts of ``part_rows`` rows in order."""
+    order = [*RANGE, "t"]
+    ranged = said.distinct().repartitionByRange(bins_for(rows, RANGE_ROWS), *order).sortWithinPartitions(*order)
+    # the partition above, the place in it below
+    placed = stored(ranged.withColumn("id", F.monotonically_increasing_id()), "placed")
+    placed = placed.withColumn("at", F.shiftright("id", 33))
+    counts = placed.groupBy(*RANGE, "at").agg(F.count("*").alias("n"), F.min("id").alias("first"))
+    before = W.partitionBy(*RANGE).orderBy("at").rowsBetween(W.unboundedPreceding, -1)
+    offset = F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")
+    offsets = stored(counts.select(*RANGE, "at", offset.alias("offset")), "offsets")
+    numbered = join_small(placed, offsets, [*RANGE, "at"], "inner")
+    cut = F.floor((F.col("id") + F.col("offset")) / part_rows).cast("long")
+    return numbered.select(*RANGE, cut.alias("cut"), "t")
+
+
+def lengths(said: DataFrame, part: list[str]) -> DataFrame:
+    """How many different rows, and of which length, each speaker has in each part."""
     t = F.col("t")
     each = said.select(
-        *PART,
+        *part,
         t["speaker"].alias("speaker"),
         t["turn"].alias("turn"),
         F.xxhash64(t["text"]).alias("text_hash"),
         F.length(t["text"]).cast("long").alias("size"),
     ).distinct()
-    own = stored(each.groupBy(*PART, "speaker").agg(F.count("*").alias("n"), F.sum("size").alias("size")), "own")
+    return each.groupBy(*part, "speaker").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+
+
+def views(own: DataFrame) -> DataFrame:
+    """Each part with each participant of its dialogue, and where it starts in that rendering.
+
+    Needs lengths only, so no text is shuffled for it: seen from a participant, its own turns
+    differ from what others see in their header alone.
+    """
     as_user = F.length(header(F.col("speaker"), F.lit(None)))
     per_turn = as_user + len(END) + 1
     whole = own.groupBy(*PART).agg(F.sum(F.col("size") + F.col("n") * per_turn).alias("size"))
@@ -138,7 +179,7 @@ def views(said: DataFrame) -> DataFrame:
     seen = whole.join(people, ["c", "no_c"]).join(own.select(*PART, "speaker", "n"), [*PART, "speaker"], "left")
     saved = as_user - F.length(header(F.col("speaker"), F.col("speaker")))
     size = F.col("size") - F.coalesce("n", F.lit(0)) * saved
-    before = W.partitionBy("c", "no_c", "speaker").orderBy("has_p", "p").rowsBetween(W.unboundedPreceding, -1)
+    before = W.partitionBy("c", "no_c", "speaker").orderBy("has_p", "p", "cut").rowsBetween(W.unboundedPreceding, -1)
     return seen.select(
         *PART,
         F.col("speaker").alias("participant"),

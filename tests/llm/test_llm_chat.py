@@ -81,3 +81,32 @@ def test_empty(spark):
 def test_no_python_in_the_plan(spark):
     plan = C.rotate(given(spark, "conversations"))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+@pytest.mark.parametrize("part_rows,range_rows", [(10, 25), (7, 1000)])
+def test_ties_and_missing_turn_numbers_are_cut_by_rows(spark, monkeypatch, part_rows, range_rows):
+    """Rows without a conversation, dialogues without turn numbers, and one number for all turns."""
+    monkeypatch.setattr(C, "RANGE_ROWS", range_rows)
+    people = ["ann", "bob", "system", None]
+    rows = [(None, k % 9, people[k % 4], f"text {k % 97}") for k in range(300)]
+    rows += [(5, None, people[k % 3], f"none {k % 60}") for k in range(200)]
+    rows += [(6, 3, people[k % 2], f"same {k}") for k in range(101)] + [(6, 4, "bob", "later"), (6, 300, "ann", "x")]
+    rows += [(7, k, "bob", "a plain dialogue") for k in range(10)]
+    made = C.rotate(spark.createDataFrame(rows, TURNS), part_rows=part_rows).collect()
+    assert max(r["n_turns"] for r in made) == part_rows
+    got = {}
+    for r in sorted(made, key=lambda r: r["start"]):
+        line, masks = got.get((r["conv_id"], r["participant"]), ("", []))
+        assert r["start"] == len(line)
+        got[r["conv_id"], r["participant"]] = line + r["text"], masks + [tuple(m) for m in r["masks"]]
+    assert got == brute(rows)
+    assert {r["part"] for r in made if r["conv_id"] == 6} == {0, 1}
+    assert {r["part"] for r in made if r["conv_id"] == 5} == {None}
+
+
+def test_no_part_is_large(spark):
+    turns = spark.range(10_000).selectExpr(
+        "CAST(NULL AS LONG) AS conv_id", "CAST(NULL AS LONG) AS turn", "'bob' AS role", "CAST(id AS STRING) AS text"
+    )
+    made = C.rotate(turns).select("n_turns").collect()
+    assert sorted(r["n_turns"] for r in made) == [10_000 - 2 * C.PART_ROWS, C.PART_ROWS, C.PART_ROWS]
