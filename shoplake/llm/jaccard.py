@@ -212,7 +212,7 @@ def partners(frame: pd.DataFrame) -> pd.DataFrame:
                 fresh[np.arange(len(rows)), rows] = False
             keep[a + rows[fresh.any(axis=1)]] = True
             keep[a + right[fresh.any(axis=0)]] = True
-    return frame.loc[keep, ["band", "band_no", "i", "j", "mine", "set_key"]]
+    return frame.loc[keep, ["band", "band_no", "i", "j", "mine", "set_key", "n_grams"]]
 
 
 def similar(left: list[np.ndarray], right: list[np.ndarray], threshold: float) -> np.ndarray:
@@ -324,7 +324,7 @@ def binned(rows: DataFrame, bins: int) -> DataFrame:
     return rows.withColumn("bin", F.pmod(F.xxhash64("band", "i", "j"), F.lit(bins)).cast("int"))
 
 
-MEMBER = "band long, band_no int, i int, j int, mine int, set_key binary"
+MEMBER = "band long, band_no int, i int, j int, mine int, set_key binary, n_grams long"
 
 
 def links(
@@ -335,30 +335,31 @@ def links(
     threshold: float = THRESHOLD,
     recall: float = RECALL,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Three stored tables: rows (id, set_key, n_grams), sets (set_key, bands, rep, copies), and
+    """Three stored tables: rows (id, set_key, n_grams), sets (set_key, bands, rep, copies, n_grams), and
     verified (set_key, peer, docs, others), which has one row per set and group it has links in."""
     bands, rows = plan_bands(threshold, recall)
     signed = stored(signatures(docs, doc_id, text, n, bands, rows), "signatures")
     sets = (
         signed.where(F.col("set_key").isNotNull())
         .groupBy("set_key", "bands")
-        .agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
+        .agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.max("n_grams").alias("n_grams"))
     )
     sets = stored(sets, "sets")
     each = sets.select("set_key", F.posexplode("bands").alias("band_no", "band"))
     crowded = each.groupBy("band").agg(F.count("*").alias("n")).where(F.col("n") > 1)
     hits = stored(each.join(crowded, "band"), "hits")
-    n_hits = hits.count()
-    candidates = spread(hits).join(sets.select("set_key", "bands"), "set_key")
+    # rows after spread()
+    n_dealt = hits.agg(F.sum(F.ceil(F.col("n") / CHUNK))).first()[0] or 0
+    candidates = spread(hits).join(sets.select("set_key", "bands", "n_grams"), "set_key")
     needs = stored(
-        binned(candidates, bins_for(n_hits, BIN_ROWS)).groupBy("bin").applyInPandas(partners, MEMBER),
+        binned(candidates, bins_for(n_dealt, BIN_ROWS)).groupBy("bin").applyInPandas(partners, MEMBER),
         "needs",
     )
     wanted = sets.join(needs.select("set_key").distinct(), "set_key", "left_semi")
     grams = fetched(docs, doc_id, text, n, wanted)
-    size = sets.count() and signed.agg(F.avg("n_grams")).first()[0] or 1
+    size = needs.agg(F.sum(8 * F.col("n_grams") + 300)).first()[0] or 0
     members = (
-        binned(needs, bins_for(needs.count() * (8 * size + 300), BIN_BYTES))
+        binned(needs, bins_for(size, BIN_BYTES))
         .join(sets.select("set_key", "bands", "copies"), "set_key")
         .join(grams, "set_key")
     )

@@ -135,3 +135,20 @@ def test_components_of_chains_and_stars(spark):
     found = components(spark.createDataFrame(edges, "u long, v long")).collect()
     tied = {k for a, b in edges if a != b for k in (a, b)}
     assert sorted((r["node"], r["root"]) for r in found) == sorted((k, top(k)) for k in tied)
+
+
+def test_groups_stay_small_as_a_bucket_grows(spark, monkeypatch):
+    """Bins are counted after members of a bucket are copied, and by the n-grams that they have."""
+    monkeypatch.setattr(J, "CHUNK", 5)
+    monkeypatch.setattr(J, "BIN_ROWS", 50)
+    monkeypatch.setattr(J, "BIN_BYTES", 200_000)
+    asked = []
+    plain = J.binned
+    monkeypatch.setattr(J, "binned", lambda rows, bins: asked.append((rows, bins)) or plain(rows, bins))
+    rows = [*near_copies(40), *((k, f"a short text with number {k} in it") for k in range(400))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert told(J.classes(docs)) == brute(rows)
+    (dealt, dealt_bins), (needs, needs_bins) = asked
+    assert dealt.count() <= dealt_bins * J.BIN_ROWS
+    assert needs.agg({"n_grams": "sum"}).first()[0] * 8 <= needs_bins * J.BIN_BYTES
+    assert needs_bins > needs.count() * (8 * 20 + 300) / J.BIN_BYTES  # long texts have more than the mean
