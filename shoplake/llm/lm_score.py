@@ -1,7 +1,7 @@
 """Language-model scores from a weighted backoff automaton, learned and applied as joins.
 
 The model: words by add-one counts; above them, every training word is a state, however rare (unless
-``STATE_SHARE`` is raised). A state has an arc for each word that followed it at least twice,
+``STATE_SHARE`` is raised). A state has an arc for each word that followed it,
 with the discounted relative frequency, and a failure arc to the root, whose weight is what the arcs
 leave over. A text is read once from left to right: the state's arc (if any) and the failure arc
 times the root's probability are added, and the next state is that of the word just read. Since the
@@ -50,8 +50,8 @@ from shoplake.llm.jaccard import FACTOR, mixed
 
 #: A word with at least this share of the training tokens is a state: with 0 every training word is.
 STATE_SHARE = 0.0
-#: Followers seen less often are left to the failure arc.
-LEAST_FOLLOWS = 2
+#: Followers seen less often are left to the failure arc: with 1 every one that was seen has an arc.
+LEAST_FOLLOWS = 1
 DISCOUNT = 0.75
 BLOCK_WORDS = 2_000_000
 #: Requests that one bucket adds up, about.

@@ -136,3 +136,11 @@ def test_more_states_than_sixteen_bits_hold(spark):
     text = " ".join(f"w{k}" for k in range(70_000))
     docs = spark.createDataFrame([(0, text), (1, text), (2, "w69998 w69999 w1")], "doc_id long, text string")
     compare(docs, F.col("doc_id") < 2, 0)
+
+
+def test_a_pair_seen_once_scores_better_than_one_never_seen(spark):
+    docs = spark.createDataFrame([(0, "a b c d"), (1, "a b c d"), (2, "d c b a")], "doc_id long, text string")
+    compare(docs, F.col("doc_id") == 0, 0)
+    told = {r["doc_id"]: r for r in M.score(docs, F.col("doc_id") == 0).collect()}
+    assert told[1]["base_score"] == pytest.approx(told[2]["base_score"])
+    assert told[1]["score"] > told[1]["base_score"] > told[2]["score"]
