@@ -23,7 +23,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Documents without text or without any letter go; a missing language is filled in."""
     prototypes = language.learn_prototypes(docs.where(~language.held_out_rows("doc_id")))
     told = language.predict(docs, prototypes)
-    told = told.where(F.col("lang_pred") != language.UNKNOWN) if prototypes else told
+    told = told.where(F.col("lang_pred") != language.UNKNOWN) if prototypes else language.lettered(told)
     return as_documents(told.withColumn("lang", F.coalesce("lang", "lang_pred")))
 
 

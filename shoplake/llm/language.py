@@ -216,6 +216,19 @@ def predict(
     return small_batches(docs).select(*[f"`{f.name}`" for f in kept]).mapInArrow(run, schema)
 
 
+def lettered(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The rows whose text has a letter, whatever there is to learn from."""
+    arrow = to_arrow_schema(docs.schema)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, text):
+            has = [any(c.isalpha() for c in t or "") for t in part.column(text).to_pylist()]
+            kept = part.filter(pa.array(has, pa.bool_()))
+            yield pa.RecordBatch.from_arrays(kept.columns, schema=arrow)
+
+    return small_batches(docs).mapInArrow(run, docs.schema)
+
+
 def bundles(
     which: np.ndarray, grams: np.ndarray, counts: np.ndarray, space: Space
 ) -> Iterator[tuple[int, np.ndarray]]:

@@ -102,3 +102,10 @@ def test_pipeline(spark):
     assert made and all(r["round_trip"] and r["n_tokens"] == len(r["token_ids"]) for r in made)
     ids = [r["doc_id"] for r in made]
     assert len(ids) == len(set(ids)) < given(spark, "documents").count()
+
+
+def test_texts_without_letters_go_without_prototypes_too(spark):
+    rows = [(1, None, None, None, None), (2, "", None, None, 0), (3, "12 !", None, "s", 4), (4, "été 1", None, "s", 5)]
+    docs = spark.createDataFrame([*rows, (None, "日本", None, "s", 2)], SCHEMA)
+    kept = corpus_pipeline.known_language(spark, docs, DATA).collect()
+    assert sorted(r["text"] for r in kept) == ["été 1", "日本"]
