@@ -411,8 +411,8 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **s
     told = classes(docs, doc_id, text, **settings)
     wordy = told.where(F.col("set_key").isNotNull())
     extra = wordy.where(~F.col(doc_id).eqNullSafe(F.col("class_id"))).select(doc_id, "class_id")
-    again = (
-        wordy.groupBy(doc_id)
+    again = (  # an id may have wordless rows too
+        told.groupBy(doc_id)
         .agg(F.count("*").alias("n"))
         .where((F.col("n") > 1) | F.col(doc_id).isNull())
         .select(doc_id)

@@ -152,3 +152,12 @@ def test_groups_stay_small_as_a_bucket_grows(spark, monkeypatch):
     assert dealt.count() <= dealt_bins * J.BIN_ROWS
     assert needs.agg({"n_grams": "sum"}).first()[0] * 8 <= needs_bins * J.BIN_BYTES
     assert needs_bins > needs.count() * (8 * 20 + 300) / J.BIN_BYTES  # long texts have more than the mean
+
+
+def test_wordless_rows_of_a_dropped_id_stay(spark):
+    """Their id also has a near copy of a lesser id; rows without id stay beside them."""
+    copy = " ".join(f"w{k}" for k in range(50))
+    rows = [(1, copy), (2, copy), (2, "..."), (3, "other words"), (None, "!!")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in J.one_of_each(docs).collect()]
+    assert sorted(kept, key=repr) == sorted([(1, copy), (2, "..."), (3, "other words"), (None, "!!")], key=repr)
