@@ -117,9 +117,86 @@ SELECT conv_id, participant, part, n_turns, CAST(start AS BIGINT) AS start, text
        coalesce(masks, '') AS masks FROM parts
 """
 
+MIXING = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
+s AS (
+  SELECT source, sum(size)::DOUBLE AS n, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS kind
+  FROM d GROUP BY source),
+w AS (SELECT *, [5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE][kind + 1] AS weight FROM s),
+rounds AS (
+  SELECT 0 AS k, (SELECT sum(n) / sum(weight) FROM w) AS level
+  UNION
+  SELECT k + 1, (SELECT (sum(n) - coalesce(sum(3 * n) FILTER (3 * n < weight * level), 0))
+                        / sum(weight) FILTER (NOT 3 * n < weight * level) FROM w)
+  FROM rounds WHERE EXISTS (SELECT 1 FROM w WHERE 3 * n < weight * level) AND k < (SELECT count(*) FROM w)),
+t AS (SELECT *, least(3 * n, weight * (SELECT arg_max(level, k) FROM rounds)) AS target FROM w),
+placed AS (
+  SELECT d.doc_id, d.size, t.n AS source_size, t.target, t.kind, md5(coalesce(d.doc_id::VARCHAR, '')) AS h,
+         coalesce(sum(size) OVER (PARTITION BY t.source ORDER BY md5(coalesce(d.doc_id::VARCHAR, '')), size
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+takes AS (
+  SELECT *, k * source_size + before AS a,
+         greatest(least(size, round(target) - (k * source_size + before)), 0) AS words
+  FROM placed, range(3) AS r(k)),
+shares AS (SELECT *, (a + words / 2.0::DOUBLE) / target AS y FROM takes WHERE words > 0),
+positions AS (
+  SELECT *, least(CASE kind
+    WHEN 0 THEN 2.0::DOUBLE * (y * 5.0::DOUBLE) / (7.5::DOUBLE + sqrt(greatest(56.25::DOUBLE - 10.0::DOUBLE * (y * 5.0::DOUBLE), 0)))
+    WHEN 1 THEN 2.0::DOUBLE * (y * 2.0::DOUBLE) / (2.0::DOUBLE + sqrt(4.0::DOUBLE))
+    ELSE 2.0::DOUBLE * y / (0.5::DOUBLE + sqrt(0.25::DOUBLE + 2.0::DOUBLE * y)) END, 1.0::DOUBLE) AS position FROM shares),
+ordered AS (
+  SELECT *, coalesce(sum(words) OVER (ORDER BY position, h, doc_id, k
+                                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS first FROM positions),
+told AS (
+  SELECT doc_id, sum(words)::BIGINT AS taken, count(*) AS n_takes, min(first)::BIGINT AS first_at
+  FROM ordered GROUP BY doc_id)
+SELECT doc_id, size, source_size::BIGINT AS source_size, target, coalesce(taken, 0) AS taken,
+       coalesce(n_takes, 0) AS n_takes, first_at
+FROM placed LEFT JOIN told USING (doc_id)
+"""
+
+PHRASES = rf"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT lang, unnest(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+                                               '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+g AS (
+  SELECT lang, k, phrase, count(*) AS f
+  FROM (SELECT lang, k, list_slice(w, i, i + k - 1) AS phrase
+        FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p, range(1, 5) AS r(k) WHERE len(w) >= k))
+  GROUP BY lang, k, phrase),
+t AS (SELECT lang, sum(f)::BIGINT AS n FROM g WHERE k = 1 GROUP BY lang),
+c AS (SELECT * FROM g WHERE f >= 30),
+inside AS (
+  SELECT lang, part, max(f) AS most
+  FROM (SELECT lang, f, list_slice(phrase, i, i + m - 1) AS part
+        FROM (SELECT lang, f, phrase, m, unnest(range(1, k - m + 2)) AS i FROM c, range(2, 4) AS r(m) WHERE m < k))
+  GROUP BY lang, part),
+cuts AS (
+  SELECT x.lang, x.phrase, x.f AS a, j, y.f AS l, z.f AS r, 2000000::HUGEINT * x.f // (y.f + z.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM c WHERE k > 1) x
+  JOIN c y ON y.lang = x.lang AND y.phrase = list_slice(x.phrase, 1, j)
+  JOIN c z ON z.lang = x.lang AND z.phrase = list_slice(x.phrase, j + 1, x.k)),
+worst AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS place FROM cuts)
+  WHERE place = 1),
+kept AS (
+  SELECT worst.*, list_aggregate(worst.phrase, 'string_agg', ' ') AS told
+  FROM worst LEFT JOIN inside ON inside.lang = worst.lang AND inside.part = worst.phrase
+  WHERE most IS NULL OR 100 * most < 80 * a),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(told)) AS rank FROM kept)
+SELECT lang, rank, told AS phrase, a, l, r, n, score::BIGINT AS score
+FROM ranked JOIN t USING (lang) WHERE rank <= 2000
+"""
+
 LLM_ORACLE: dict[str, str] = {
     "op2_decontaminate": DECONTAMINATE,
     "op3_jaccard": JACCARD,
     "op6_secrets": SECRETS,
     "op8_chat": CHAT,
+    "op12_phrases": PHRASES,
+    "op13_mixing": MIXING,
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -15,8 +16,11 @@ from shoplake.llm import (
     jaccard,
     language,
     lm_score,
+    mixing,
+    phrases,
     pii,
     quality,
+    runs,
     secret_scan,
     sharding,
 )
@@ -117,6 +121,64 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonyms(docs, key.encode())
 
 
+def planted_period(doc_id: object, words: list[bytes]) -> list[bytes]:
+    """The words of one document in ten repeat a period from some word on."""
+    h = zlib.crc32(b"" if doc_id is None else str(doc_id).encode())
+    n, g = len(words), h // 10
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a : a + p] * (-(-(n - a) // p)))[: n - a]
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = runs.find_runs(docs, edit=planted_period).drop("text")
+    # most periods first, compared as fractions
+    best = F.array_sort(
+        "runs",
+        lambda a, b: F.when(a["length"] * b["period"] > b["length"] * a["period"], -1)
+        .when(a["length"] * b["period"] < b["length"] * a["period"], 1)
+        .otherwise(F.when((a["start"] < b["start"]) | ((a["start"] == b["start"]) & (a["period"] < b["period"])), -1)
+        .otherwise(1)),
+    )
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", F.try_element_at(best, F.lit(1))).select(
+        "doc_id",
+        "n_runs",
+        *[F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")],
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("lang", "text")
+    return phrases.best_of_each(phrases.collocations(docs))
+
+
+#: Weights of the sources, in turn: 5 early, 2 throughout and 1 late.
+SCHEDULES = (((0, 7.5), (1, 2.5)), ((0, 2.0), (1, 2.0)), ((0, 0.5), (1, 1.5)))
+
+
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "source", mixing.words_in("text").alias("size"), F.monotonically_increasing_id().alias("row")
+    )
+    takes = mixing.in_order(mixing.mix(docs, SCHEDULES))
+    return (
+        takes.groupBy("row", "doc_id", "size", "source_size", "target")
+        .agg(
+            F.sum("words").cast("long").alias("taken"),
+            F.count("number").alias("n_takes"),
+            F.min(F.when(F.col("words") > 0, F.col("at"))).alias("first_at"),
+        )
+        .drop("row")
+    )
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -130,5 +192,8 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_chat,
         op9_sharding,
         op10_pii,
+        op11_periodic_runs,
+        op12_phrases,
+        op13_mixing,
     )
 }
