@@ -38,7 +38,6 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,6 +46,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from shoplake.llm.common import bins_for, slices, small_batches, stored
 from shoplake.llm.jaccard import FACTOR, mixed
+from shoplake.llm.totals import pack, pack_sorted, unpack, unpack_sorted
 
 #: A word with at least this share of the training tokens is a state: with 0 every training word is.
 STATE_SHARE = 0.0
@@ -62,26 +62,6 @@ LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 END = b"\n"
 
 
-def pack(numbers: np.ndarray) -> bytes:
-    """Numbers with their bytes sorted by weight, compressed."""
-    raw = np.ascontiguousarray(numbers).view(np.uint8).reshape(len(numbers), numbers.itemsize)
-    return zstandard.compress(np.ascontiguousarray(raw.T).tobytes(), 1)
-
-
-def unpack(data: bytes, kind: str) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    raw = np.frombuffer(zstandard.decompress(data), np.uint8)
-    return np.ascontiguousarray(raw.reshape(size, -1).T).view(kind).ravel()
-
-
-def pack_sorted(keys: np.ndarray) -> bytes:
-    return pack(np.diff(keys, prepend=np.zeros(1, np.uint64)))
-
-
-def unpack_sorted(data: bytes) -> np.ndarray:
-    return np.cumsum(unpack(data, "u8"), dtype=np.uint64)
-
-
 class Coder:
     """Collects the documents of one block."""
 

@@ -6,8 +6,9 @@ phrase that ends with it.
 1. A map turns documents into shards of some two million words: the words and their counts, and the texts as
    places in that list, with 0 between pieces. Word counts are added up per language, and the words that
    occur ``least`` times get numbers. A phrase is only as frequent as its words, so all others part pieces.
-2. Each shard sorts its phrases, first by first word, and counts them layer by layer: the sorted phrases of n words
-   are the states that are extended by the next word.
+2. Shards learn the counts of their pairs of words in all shards (``totals``). No longer phrase is more frequent than
+   one of its pairs, so rare pairs end phrases too. Each shard sorts the phrases that are left, first by
+   first word, and counts them layer by layer: the sorted phrases of n words are states that the next word extends.
 3. Sorted phrases move by prefix range (``ranges_of``). There the transducers of all shards are built from
    them, united and their weights added; arcs of phrases that are too rare go, and states with equal futures
    become one (``CountTransducer``). With very many shards this takes several rounds: groups of shards and coarse
@@ -42,13 +43,13 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from shoplake.llm.common import bins_for, is_small, join_small, named, running, slices, small_batches, stored
 from shoplake.llm.jaccard import FACTOR, mixed
-from shoplake.llm.lm_score import pack, unpack
+from shoplake.llm.totals import joined, pack, pack_sorted, totals, unpack
 
 LONGEST = 4
 LEAST, TOP = 30, 2000
 #: A phrase is left out if one that contains it is seen at least as often as this many in a hundred.
 COVER = 80
-SHARD_WORDS = 2_000_000
+SHARD_WORDS = 1_000_000
 #: Words of text whose phrases share a range, about; words seen more often are hot.
 RANGE_WORDS = HOT = 1_000_000
 #: Most ranges that a shard is cut into at a time, and most shards that are united at a time.
@@ -80,7 +81,7 @@ class Shard:
         self.codes.append(line[line != NOTHING])
         self.held += len(self.codes[-1])
 
-    def rows(self, name: str, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    def rows(self, name: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         """The shard, then its words."""
         codes = np.concatenate(self.codes)
         counts = np.bincount(codes, minlength=self.size)
@@ -91,11 +92,11 @@ class Shard:
                 part = words[s : s + 20_000]
                 code = np.array([c for _, c in part], np.int64)
                 columns = {
-                    "shard": pa.array([name] * len(part)),
+                    "shard": pa.array(np.full(len(part), name, np.int64)),
                     "codes": pa.nulls(len(part), pa.binary()),
                     "lang": pa.array([lang] * len(part)),
                     "word": pa.array([w for w, _ in part], pa.binary()).cast(pa.string()),
-                    "code": pa.array(code),
+                    "code": pa.array(code.astype(np.int32)),
                     "n": pa.array(counts[code].astype(np.int64)),
                 }
                 yield pa.RecordBatch.from_arrays([columns[f.name] for f in schema], schema=schema)
@@ -103,9 +104,9 @@ class Shard:
 
 SHARD = T.StructType(
     [
-        *[T.StructField(n, t) for n, t in (("shard", T.StringType()), ("codes", T.BinaryType()))],
+        *[T.StructField(n, t) for n, t in (("shard", T.LongType()), ("codes", T.BinaryType()))],
         *[T.StructField(n, T.StringType()) for n in ("lang", "word")],
-        *[T.StructField(n, T.LongType()) for n in ("code", "n")],
+        *[T.StructField(n, t) for n, t in (("code", T.IntegerType()), ("n", T.LongType()))],
     ]
 )
 
@@ -116,16 +117,16 @@ def shards(docs: DataFrame, text: str, lang: str) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
-        prefix = f"{task.partitionId()}-{task.taskAttemptId()}" if task else "0"
-        shard, done = Shard(), 0
+        done = (task.partitionId() if task else 0) << 32
+        shard = Shard()
         for part in slices(batches, "text"):
             for kind, content in zip(part.column("lang").to_pylist(), part.column("text").to_pylist(), strict=True):
                 shard.add(kind, content)
             if shard.held >= SHARD_WORDS:
-                yield from shard.rows(f"{prefix}-{done}", arrow)
+                yield from shard.rows(done, arrow)
                 shard, done = Shard(), done + 1
         if shard.codes:
-            yield from shard.rows(f"{prefix}-{done}", arrow)
+            yield from shard.rows(done, arrow)
 
     given = small_batches(docs).select(
         F.coalesce(F.col(named(lang)).cast("string"), F.lit("und")).alias("lang"), F.col(named(text)).alias("text")
@@ -148,17 +149,40 @@ def keyed(states: np.ndarray, words: np.ndarray) -> np.ndarray:
     return (states.astype(np.uint64) << np.uint64(32)) | words.astype(np.uint64)
 
 
-def sorted_phrases(line: np.ndarray) -> list[tuple[list[np.ndarray], np.ndarray]]:
+def followed(line: np.ndarray) -> np.ndarray:
+    """Places that begin a pair: no phrase goes over a 0."""
+    return np.flatnonzero((line[:-1] != 0) & (line[1:] != 0))
+
+
+def pairs_of(line: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs, in the order of keys that are spread evenly; their counts; and which each place begins.
+
+    The keys are the numbers of both words with their bits mixed, so different pairs have different keys.
+    """
+    starts = followed(line)
+    distinct, place, counts = np.unique(
+        keyed(line[starts], line[starts + 1]), return_inverse=True, return_counts=True
+    )
+    first, second = (distinct >> np.uint64(32)).astype(np.int64), (distinct & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    with np.errstate(over="ignore"):
+        keys = mixed(keyed(ids[first], ids[second]))
+    order = np.argsort(keys)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return keys[order], counts[order], rank[place]
+
+
+def sorted_phrases(line: np.ndarray, often: np.ndarray) -> list[tuple[list[np.ndarray], np.ndarray]]:
     """For 2, 3 and 4 words: the distinct phrases in order, a column for each word, and their counts.
 
-    ``line``: numbers of words; no phrase goes over a 0.
+    ``line``: places of words; ``often``: for each place of the line, whether it begins a pair that may be in a phrase.
     """
     out = []
-    starts = np.flatnonzero(line)
-    states, columns = line[starts], [np.arange(int(line.max()) + 1 if len(line) else 1)]
-    line = np.append(line, np.zeros(LONGEST, line.dtype))
+    starts = np.flatnonzero(often)
+    states, columns = line[starts], [np.arange(int(line.max(initial=0)) + 1)]
+    often = np.append(often, np.zeros(LONGEST, bool))
     for k in range(1, LONGEST):
-        more = line[starts + k] != 0
+        more = often[starts + k - 1]
         starts, states = starts[more], states[more]
         keys, states, counts = np.unique(
             keyed(states, line[starts + k]), return_inverse=True, return_counts=True
@@ -315,27 +339,41 @@ PIECE = "batch long, range long, data array<binary>"
 MERGED = "range long, data array<binary>, phrase array<long>, a long"
 
 
-def sent(rows: DataFrame, words: DataFrame, batches: int, ranges: int) -> DataFrame:
-    """The sorted phrases of every shard, by range."""
+LINE = "shard long, sender string, line binary, ids binary, keys binary, counts binary"
 
-    def run(key: tuple[str], shard: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+
+def lines(rows: DataFrame, words: DataFrame) -> DataFrame:
+    """Every shard's text in its frequent words only, with 0 for others, and its pairs."""
+
+    def run(key: tuple[int], shard: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
         codes = unpack(shard["codes"].iloc[0], "u4")
-        told = told.sort_values("id", ignore_index=True)
-        ids = np.append(0, told["id"].to_numpy(np.int64))
-        place = np.zeros(int(codes.max()) + 1, np.int64)
-        place[told["code"].to_numpy(np.int64)] = np.arange(1, len(ids))
-        phrases = [([ids[w] for w in ws], n) for ws, n in sorted_phrases(place[codes])]
-        batch = int(mixed(np.array([hash_of(key[0])], np.uint64))[0] % np.uint64(batches))
-        found = [(batch, r, d) for r, d in pieces(phrases, ranges).items()]
-        return pd.DataFrame(found, columns=["batch", "range", "data"])
+        order = np.argsort(told["id"].to_numpy())
+        ids = np.append(0, told["id"].to_numpy(np.int64)[order])
+        place = np.zeros(int(codes.max()) + 1, np.uint32)
+        place[told["code"].to_numpy(np.int64)[order]] = np.arange(1, len(ids))
+        line = place[codes]
+        keys, counts, _ = pairs_of(line, ids)
+        columns = [pack(line), pack(ids), pack_sorted(keys), pack(counts.astype(np.uint64))]
+        return pd.DataFrame([(key[0], str(key[0]), *columns)], columns=["shard", "sender", "line", "ids", "keys", "counts"])
+
+    texts = rows.where(F.col("codes").isNotNull()).select("shard", "codes")
+    return texts.groupBy("shard").cogroup(words.groupBy("owner")).applyInPandas(run, LINE)
 
-    lines = rows.where(F.col("codes").isNotNull()).select("shard", "codes")
-    return lines.groupBy("shard").cogroup(words.groupBy("owner")).applyInPandas(run, PIECE)
 
+def sent(lines_: DataFrame, answers: DataFrame, least: int, batches: int, ranges: int) -> DataFrame:
+    """The sorted phrases of every shard whose pairs are all frequent, by range."""
+
+    def run(key: tuple[str], shard: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+        line, ids = unpack(shard["line"].iloc[0], "u4"), unpack(shard["ids"].iloc[0], "i8")
+        often = np.zeros(len(line), bool)
+        often[followed(line)] = (joined(told) >= least)[pairs_of(line, ids)[2]]
+        phrases = [([ids[w] for w in ws], n) for ws, n in sorted_phrases(line, often)]
+        batch = int(mixed(np.array([int(key[0])], np.uint64))[0] % np.uint64(batches))
+        found = [(batch, r, d) for r, d in pieces(phrases, ranges).items()]
+        return pd.DataFrame(found, columns=["batch", "range", "data"])
 
-def hash_of(name: str) -> int:
-    part, attempt, number = (int(x) for x in (name.split("-") + ["0", "0"])[:3])
-    return (part * 1_000_003 + attempt) * 1_000_003 + number
+    given = answers.select(F.col("sender").alias("to"), "range", "totals")
+    return lines_.select("sender", "line", "ids").groupBy("sender").cogroup(given.groupBy("to")).applyInPandas(run, PIECE)
 
 
 def united(sent_: DataFrame, ranges: int) -> DataFrame:
@@ -441,12 +479,14 @@ def collocations(
     rows = stored(shards(docs, text, lang), "shards")
     words = lexicon(rows, least)
     counted = rows.where(F.col("word").isNotNull())
-    totals = stored(counted.groupBy("lang").agg(F.sum("n").cast("long").alias("n")), "totals")
-    tokens = totals.agg(F.sum("n")).first()[0] or 0
+    sizes = stored(counted.groupBy("lang").agg(F.sum("n").cast("long").alias("n")), "sizes")
+    tokens = sizes.agg(F.sum("n")).first()[0] or 0
     n_shards = rows.where(F.col("codes").isNotNull()).count()
     known = join_small(counted.select("shard", "code", "lang", "word"), words, ["lang", "word"], "inner")
+    texts = stored(lines(rows, known.select(F.col("shard").alias("owner"), "code", "id")), "lines")
+    pairs = totals(texts, n_shards, tokens, "pairs")
     ranges, batches = bins_for(tokens, RANGE_WORDS), bins_for(n_shards, FAN)
-    now = sent(rows, known.select(F.col("shard").alias("owner"), "code", "id"), batches, min(FAN, ranges))
+    now = sent(texts, pairs, least, batches, min(FAN, ranges))
     cut = FAN
     while batches > 1:
         cut *= FAN
@@ -461,7 +501,7 @@ def collocations(
     counts = part_counts(parts.distinct(), told.where(F.col("data").isNotNull()).select("range", "data"), ranges)
     counts = stored(counts.unionByName(words.select(F.array("id").alias("phrase"), F.col("n").alias("f"))), "parts")
     best = spelled(scored(uncovered(found, cover), counts), words)
-    return join_small(best, totals, ["lang"], "inner")
+    return join_small(best, sizes, ["lang"], "inner")
 
 
 def best_of_each(found: DataFrame, top: int = TOP) -> DataFrame:

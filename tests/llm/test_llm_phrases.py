@@ -9,6 +9,7 @@ import pytest
 from llm_cases import ascii_lower, clashing, empty_documents, odd_documents
 
 from shoplake.llm import phrases as P
+from shoplake.llm import totals
 
 
 def brute(rows, least, cover=80, top=2000):
@@ -67,6 +68,8 @@ def test_against_brute_force(spark):
 def test_many_shards_in_rounds(spark, monkeypatch, hot):
     """Several rounds of small ranges, with few, some or all words hot: the same phrases."""
     monkeypatch.setattr(P, "FAN", 3)
+    monkeypatch.setattr(totals, "FAN", 3)
+    monkeypatch.setattr(totals, "RANGE_KEYS", 60)
     monkeypatch.setattr(P, "HOT", hot)
     monkeypatch.setattr(P, "RANGE_WORDS", 100)
     monkeypatch.setattr(P, "SHARD_WORDS", 200)
@@ -91,6 +94,12 @@ def test_odd_rows(spark):
     assert found_in(table(spark, rows), 1) == []
 
 
+def pairs_in(line):
+    often = np.zeros(len(line), bool)
+    often[P.followed(line)] = True
+    return often
+
+
 def test_transducers():
     rng = np.random.default_rng(5)
     lines = [np.append(rng.integers(0, 6, 400), 0) for _ in range(3)]
@@ -103,7 +112,7 @@ def test_transducers():
                     want[gram] += 1
     shards = []
     for line in lines:
-        shards.append([[*columns, counts] for columns, counts in P.sorted_phrases(line)])
+        shards.append([[*columns, counts] for columns, counts in P.sorted_phrases(line, pairs_in(line))])
     whole = P.CountTransducer.union(shards)
     got = {g: n for columns, ns in whole.phrases() for *g, n in zip(*(c.tolist() for c in columns), ns.tolist(), strict=True) for g in [tuple(g)]}
     assert got == dict(want)
@@ -121,7 +130,7 @@ def test_transducers():
 def test_minimal_automata_share_futures():
     """Two words with the same followers and counts lead to one state."""
     line = np.array([1, 3, 4, 0, 2, 3, 4, 0])
-    tree = P.CountTransducer.union([[[*c, n] for c, n in P.sorted_phrases(line)]])
+    tree = P.CountTransducer.union([[[*c, n] for c, n in P.sorted_phrases(line, pairs_in(line))]])
     small = tree.minimal()
     assert [len(a) for a in tree.arcs[:3]] == [3, 3, 2]
     assert [len(a) for a in small.arcs[:3]] == [3, 2, 1]
@@ -133,3 +142,25 @@ def test_exact_beyond_64_bits(spark):
     counts = spark.createDataFrame([([2], big), ([4], big + 1)], "phrase array<long>, f long")
     row = P.scored(found, counts).first()
     assert row["score"] == 2_000_000 * big // (2 * big + 1)
+
+
+@pytest.mark.parametrize("fan,keys", [(2, 20), (3, 1000), (256, 50)])
+def test_totals(spark, monkeypatch, fan, keys):
+    """Each sender is told the sums for its keys, in its order, in one round or several; rows grow with the senders."""
+    monkeypatch.setattr(totals, "FAN", fan)
+    monkeypatch.setattr(totals, "RANGE_KEYS", keys)
+    rng = np.random.default_rng(fan)
+    known = np.sort(rng.integers(0, 2**64, 300, dtype=np.uint64))
+    want, senders = Counter(), {}
+    for s in range(13):
+        mine = np.unique(rng.choice(known, int(rng.integers(0, 120))))
+        counts = rng.integers(0, 9, len(mine)).astype(np.uint64)
+        senders[f"s{s}"] = (mine, counts)
+        for k, c in zip(mine.tolist(), counts.tolist(), strict=True):
+            want[k] += c
+    rows = [(s, bytearray(totals.pack_sorted(k)), bytearray(totals.pack(c))) for s, (k, c) in senders.items()]
+    asked = spark.createDataFrame(rows, "sender string, keys binary, counts binary")
+    told = totals.totals(asked, len(rows), 300, "test").toPandas()
+    assert told.groupby("sender").size().max() <= fan
+    for s, (mine, _) in senders.items():
+        assert totals.joined(told[told["sender"] == s]).tolist() == [want[k] for k in mine.tolist()]
