@@ -171,3 +171,36 @@ def test_hot_pairs_shrink_before_the_shuffle(spark):
 def test_payload_stays_in_the_jvm(spark):
     events = spark.read.parquet(f"{DATA}/events.parquet")
     assert "Python" not in plan(parse_payload(to_payload(events)))
+
+
+def files_of(spark, facts):
+    """The rows of each file, by the number of its task."""
+    part = F.regexp_extract(F.input_file_name(), r"part-(\d+)", 1).cast("int")
+    found = {}
+    for r in facts.select(part, F.to_json(F.struct(*sorted(facts.columns)))).collect():
+        found.setdefault(r[0], []).append(r[1])
+    return {part: sorted(lines) for part, lines in found.items()}
+
+
+def test_files_do_not_depend_on_the_order_of_rows(spark, conf, cfg):
+    """A task that is run again may see its rows in another order: each must go to the same file."""
+    conf("spark.sql.shuffle.partitions", "12")
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    items = skewed_items(spark).withColumn("price", (F.col("order_id") % 7).cast("decimal(18,2)"))
+    items = items.withColumn("seller_id", F.when(F.col("order_id") == "0", F.col("seller_id")).otherwise(F.col("product_id")))
+    items = items.where("order_id <> '0'")
+    orders = all_orders(spark)
+    moment = F.expr("timestamp_ntz'2020-02-02 00:00:00' + make_interval(0, 0, 0, int(order_id) % 5)")
+    orders = orders.withColumn("order_purchase_timestamp", F.when(F.col("order_id") % 9 != 0, moment))
+    first = files_of(spark, build_fact_orders(spark, cfg, orders, items))
+    mixed = (orders.orderBy(F.rand(1)), items.repartition(5, F.rand(2)))
+    again = files_of(spark, build_fact_orders(spark, cfg, *mixed))
+    assert len(first) == 12 and first == again
+
+
+def test_the_layout_uses_no_sample_and_no_random_number(spark, cfg):
+    from shoplake.plans.fact_orders import in_files
+
+    shown = plan(in_files(join_order_items(all_orders(spark), skewed_items(spark))))
+    assert "rangepartitioning" not in shown and "rand(" not in shown
+    assert "Join" not in shown.replace("BroadcastHashJoin", "")  # the stored join is read, not run again
