@@ -56,7 +56,7 @@ def bridge(spark: SparkSession, cfg: LakeConfig, args: argparse.Namespace) -> No
     ended = run_bounded([query], args.seconds, log)
     report = log.report(spark)
     report.show(report.count())
-    print(outcome(report, ended or args.keep_running))
+    print(outcome(report, ended or args.keep_running and log.caught_up))
 
 
 def events(spark: SparkSession, cfg: LakeConfig, args: argparse.Namespace) -> None:
@@ -71,7 +71,7 @@ def events(spark: SparkSession, cfg: LakeConfig, args: argparse.Namespace) -> No
     skipped = run.skipped.count()
     if skipped:
         print(f"{skipped} files that are no event files were not read")
-    print(outcome(run.report, run.ended or args.keep_running))
+    print(outcome(run.report, run.ended or args.keep_running and run.caught_up))
 
 
 COMMANDS = {
@@ -104,6 +104,7 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--keep-running", action="store_true", help="run on until the budget ends")
     parser.add_argument("--files-per-batch", type=int, default=FILES_PER_BATCH)
     parser.add_argument("--bytes-per-batch", type=int)
+    parser.add_argument("--archive-landed", action="store_true", help="move event files away that were read")
     return parser.parse_args(argv)
 
 
@@ -118,6 +119,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         products_table=args.products_table,
         fact_by_month=args.by_month,
         files_per_batch=args.files_per_batch,
+        archive_landed=args.archive_landed,
     )
     COMMANDS[args.command](spark or SparkSession.builder.getOrCreate(), cfg, args)
 

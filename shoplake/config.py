@@ -20,6 +20,7 @@ FACT_TABLE = "fact_orders"
 METRICS_TABLE = "daily_order_metrics"
 RAW_EVENTS_TABLE = "raw_events"
 EVENT_LANDING = "event-stream-input"
+EVENT_ARCHIVE = "event-stream-archive"
 # The bridge lands in a folder of its own: its commit log says which of the files there count,
 # and must not hide what other producers put beside it.
 BRIDGED = "bridged"
@@ -47,6 +48,7 @@ class LakeConfig:
     multi_line_tables: frozenset[str] = frozenset()
     fact_by_month: bool = False
     files_per_batch: int = FILES_PER_BATCH
+    archive_landed: bool = False
 
     def zone(self, zone: str, *parts: str) -> str:
         if zone not in ZONES:

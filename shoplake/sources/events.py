@@ -12,9 +12,13 @@ from shoplake.sources.files import list_files, make_folder
 
 MESSAGES_PER_BATCH = 10_000_000
 
-# Event files of any producer, also compressed. What else lies in the folder, such as marker
-# files, is not read, and ``skipped_files`` names it.
-EVENT_FILES = "{*.json*,*.jsonl*,*.ndjson*}"
+# Event files of any producer, also compressed. The name has to end so: producers finish a file under another
+# name (x.json.tmp, x.json._COPYING_) and then rename it. What else lies in the folder, such as marker
+# files and files in the making, is not read, and ``skipped_files`` names it.
+EVENT_ENDINGS = ("json", "jsonl", "ndjson")
+PACKED_ENDINGS = ("gz", "bz2", "deflate", "lz4", "snappy", "zst")
+ENDINGS = [f"{e}{p}" for e in EVENT_ENDINGS for p in ("", *[f".{x}" for x in PACKED_ENDINGS])]
+EVENT_FILES = "{" + ",".join(f"*.{e}" for e in ENDINGS) + "}"
 
 
 def read_event_files(
@@ -24,10 +28,12 @@ def read_event_files(
     files_per_batch: int | None = FILES_PER_BATCH,
     bytes_per_batch: int | None = None,
     glob: str | None = EVENT_FILES,
+    archive: str | None = None,
 ) -> DataFrame:
     """Stream of landed events with a fixed schema, and the text of lines that do not parse.
 
-    A batch is limited by ``bytes_per_batch`` where given, else by number of files.
+    A batch is limited by ``bytes_per_batch`` where given, else by number of files. Files that were read are
+    moved to the folder ``archive`` where given, so that the listing does not grow for ever.
     """
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT_RECORD, T.StringType())])
     reader = (
@@ -37,6 +43,9 @@ def read_event_files(
     )
     if glob:
         reader = reader.option("pathGlobFilter", glob)
+    if archive:
+        make_folder(spark, archive)
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if bytes_per_batch:
         reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
     elif files_per_batch:
@@ -50,24 +59,26 @@ def read_landing(
     schema: T.StructType = EVENT_SCHEMA,
     files_per_batch: int | None = FILES_PER_BATCH,
     bytes_per_batch: int | None = None,
+    archive: str | None = None,
 ) -> DataFrame:
     """Stream of events of all producers: files in the folder, and what the bridge committed.
 
-    The limits of a batch hold for each of the two.
+    The limits of a batch hold for each of the two. Only files of other producers go to ``archive``: the bridge's
+    belong to its commit log.
     """
     bridged = f"{folder}/{BRIDGED}"
     for path in (folder, bridged):
         make_folder(spark, path)
     limits = (schema, files_per_batch, bytes_per_batch)
-    foreign = read_event_files(spark, folder, *limits)
+    foreign = read_event_files(spark, folder, *limits, archive=archive)
     return foreign.unionByName(read_event_files(spark, bridged, *limits, glob=None))
 
 
 def skipped_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Names of files beside the event files, which are not read."""
+    """Names of files beside the event files, which are not read: also those that a producer has not finished."""
     inside = F.substring_index("path", f"/{folder.rstrip('/').rsplit('/', 1)[-1]}/", -1)
     names = list_files(spark, folder).where(~F.startswith(inside, F.lit(f"{BRIDGED}/"))).select("name")
-    return names.where(~F.col("name").rlike(r"\.(json|jsonl|ndjson)"))
+    return names.where(~F.col("name").rlike(r"\.(" + "|".join(ENDINGS).replace(".", r"\.") + ")$"))
 
 
 def read_bus(spark: SparkSession, fmt: str = "kafka", **options: str) -> DataFrame:

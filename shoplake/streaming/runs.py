@@ -34,6 +34,8 @@ class RunLog:
 
     def __init__(self) -> None:
         self.batches: dict[tuple[str, int], tuple[Any, ...]] = {}
+        #: Whether nothing was left to read when the run ended or was stopped.
+        self.caught_up = False
 
     def take(self, query: StreamingQuery) -> None:
         for progress in query.recentProgress:
@@ -64,10 +66,11 @@ def run_bounded(
             left = POLL_SECONDS if deadline is None else deadline - time.monotonic()
             if not active or left <= 0:
                 break
-            active[0].awaitTermination(min(left, POLL_SECONDS))
+            active[0].awaitTermination(max(0.001, min(left, POLL_SECONDS)))
             for query in queries:
                 log.take(query)
         ended = not active
+        log.caught_up = not any(q.status["isDataAvailable"] or q.status["isTriggerActive"] for q in active)
         for query in queries:
             if not query.isActive:
                 query.awaitTermination(1)  # raises if the query failed

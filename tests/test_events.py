@@ -82,3 +82,25 @@ def test_rejects_are_texts_without_any_field(spark):
     assert [r._corrupt_record for r in parsed.where(is_reject()).collect()] == ["not json"]
     kept = parsed.where(~is_reject())
     assert rows(kept.select("event_id")) == [("1",), ("2",), ("3",), (None,), (None,)]
+
+
+def test_attributes_pass_under_their_own_type(spark, activity, products):
+    from pyspark.sql import functions as F
+
+    given = {
+        "session_id": "s9", "view_duration_seconds": "30", "quantity": "3", "items_count": "4",
+        "payment_method": "paypal", "search_query": "phone",
+    }
+    more = activity.withColumns({name: F.lit(value) for name, value in given.items()})
+    own = {
+        S.PRODUCT_VIEW: {"view_duration_seconds": 30}, S.ADD_TO_CART: {"quantity": 3},
+        S.CHECKOUT: {"items_count": 4}, S.PURCHASE: {"payment_method": "paypal"},
+        S.PRODUCT_SEARCH: {"search_query": "phone"}, None: {},
+    }
+    for e in shape_events(more, products).collect():
+        filled = {k: v for k, v in e.asDict().items() if k in given and v is not None}
+        assert filled == {"session_id": "s9", **own[e.event_type]}
+    odd = activity.withColumns({"quantity": F.lit("many"), "items_count": F.lit(1 << 40)})
+    shaped = shape_events(odd, products)
+    assert [f.dataType for f in shaped.schema] == [f.dataType for f in S.EVENT_SCHEMA]
+    assert shaped.where("quantity IS NOT NULL OR items_count IS NOT NULL").isEmpty()

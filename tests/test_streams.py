@@ -17,12 +17,14 @@ from shoplake.schemas import CORRUPT_RECORD, EVENT_SCHEMA
 from shoplake.sources.events import read_bus, read_event_files, read_table_files
 from shoplake.streaming.bridge import start_bridge
 from shoplake.streaming.raw_events import (
-    REJECTS,
     ingest_event_stream,
+    ingest_report,
     register_raw_events,
+    rejected_events,
     start_raw_events,
 )
-from shoplake.streaming import runs
+from shoplake.sinks import batches
+from shoplake.streaming import raw_events, runs
 from shoplake.streaming.runs import RunLog, outcome, run_bounded
 
 
@@ -70,7 +72,7 @@ def test_awkward_files(spark, landed):
     assert sorted(int(r.event_id) for r in raw.collect()) == list(range(24))
     assert raw.where("event_id = '23'").first().quantity is None
     assert raw.where("processing_time IS NULL").count() == 0
-    rejects = spark.read.parquet(landed.processed(REJECTS))
+    rejects = rejected_events(spark, landed)
     assert sorted(r.line for r in rejects.collect()) == sorted(
         ["{", '"event_id": "24",', '"quantity": 1', "}"]
     )
@@ -251,3 +253,87 @@ def test_missing_fields_are_null_and_unknown_ones_dropped(spark):
     frame = spark.createDataFrame([('{"event_id":"1","extra":1}',)], "value string")
     parsed = parse_payload(frame).first()
     assert parsed.event_id == "1" and parsed.quantity is None and parsed[CORRUPT_RECORD] is None
+
+
+def test_files_in_the_making_are_not_read(spark, cfg):
+    half = '{"event_id": "9", "quan'
+    land(cfg, a__json=event(1), x__json__tmp=half, x__json___COPYING_=half, y__json__part=half, z__jsonl__gz__part=half)
+    run = ingest_event_stream(spark, cfg)
+    assert [r.event_id for r in run.table.collect()] == ["1"] and rejected_events(spark, cfg).isEmpty()
+    # Spark itself lists no name that ends in ._COPYING_
+    assert rows(run.skipped) == [("x.json.tmp",), ("y.json.part",), ("z.jsonl.gz.part",)]
+    Path(cfg.temp(EVENT_LANDING), "x.json.tmp").rename(Path(cfg.temp(EVENT_LANDING), "x.json"))
+    land(cfg, x__json=event(2))
+    again = ingest_event_stream(spark, cfg)
+    assert sorted(r.event_id for r in again.table.collect()) == ["1", "2"]
+
+
+def test_read_files_are_archived(spark, cfg):
+    cfg = dataclasses.replace(cfg, archive_landed=True)
+    for k in range(3):  # a file is moved when the batch after its own is planned
+        land(cfg, **{f"events_{k}__json": event(k)})
+        run = ingest_event_stream(spark, cfg)
+    assert run.table.count() == 3
+    left = {p.name for p in Path(cfg.temp(EVENT_LANDING)).glob("*.json")}
+    moved = {p.name for p in Path(cfg.temp("event-stream-archive")).rglob("*.json")}
+    assert moved and left | moved == {f"events_{k}.json" for k in range(3)} and not left & moved
+
+
+def test_rejects_cost_no_second_reading(spark, landed):
+    """Good and bad rows of a batch come from the one query; rejects are there while a stream runs on."""
+    query = start_raw_events(spark, landed, available_now=False)
+    query.processAllAvailable()
+    assert rejected_events(spark, landed).count() == 4 and len(spark.streams.active) == 1
+    assert sum(p.numInputRows for p in query.recentProgress) == 28
+    query.stop()
+
+
+def test_a_killed_run_reports_all_its_batches(spark, cfg, monkeypatch):
+    """The run dies after it has written the rows of its third batch, before the batch counts as done."""
+    land(cfg, **{f"events_{i}__json": event(i) for i in range(60)}, bad__json="not json")
+    written = raw_events.write_batch
+
+    def dies(rows_, path, number, fmt):
+        done = written(rows_, path, number, fmt)
+        if number == 2 and path.endswith("raw_events"):
+            raise RuntimeError("killed")
+        return done
+
+    monkeypatch.setattr(raw_events, "write_batch", dies)
+    with pytest.raises(Exception, match="killed"):
+        ingest_event_stream(spark, cfg)
+    monkeypatch.setattr(raw_events, "write_batch", written)
+    run = ingest_event_stream(spark, cfg)
+    assert sorted(int(r.event_id) for r in run.table.collect()) == list(range(60))
+    told = ingest_report(spark, cfg).orderBy("batch_id").collect()
+    assert [r.batch_id for r in told] == list(range(7)) and len({r.run_id for r in told}) == 2
+    assert sum(r.num_input_rows for r in told) == 61 and sum(r.rejected_rows for r in told) == 1
+    assert [r.batch_id for r in run.report.orderBy("batch_id").collect()] == [2, 3, 4, 5, 6]
+    assert rejected_events(spark, cfg).count() == 1
+
+
+def test_a_batch_is_written_once_and_whole(spark, tmp_path):
+    path = f"{tmp_path}/table"
+    assert batches.write_batch(spark.range(3), path, 0)
+    assert not batches.write_batch(spark.range(5), path, 0)
+    with pytest.raises(Exception, match="no"):
+        batches.write_batch(spark.range(9).selectExpr("raise_error('no') AS id"), path, 1)
+    assert batches.write_batch(spark.range(3, 5), path, 1)
+    found = spark.read.options(**batches.READ_OPTIONS).parquet(path)
+    assert rows(found) == [(i,) for i in range(5)]
+
+
+def test_folders_of_the_file_sink_are_refused(spark, cfg):
+    Path(cfg.processed("raw_events"), "_spark_metadata").mkdir(parents=True)
+    with pytest.raises(ValueError, match="file sink"):
+        start_raw_events(spark, cfg)
+
+
+def test_a_stream_that_runs_on_says_whether_it_caught_up(spark, cfg):
+    land(cfg, a__json=event(1))
+    run = ingest_event_stream(spark, cfg, budget_seconds=8, available_now=False)
+    assert (run.ended, run.caught_up) == (False, True)
+    land(cfg, **{f"events_{i}__json": event(i) for i in range(400)})
+    one = dataclasses.replace(cfg, files_per_batch=1)
+    run = ingest_event_stream(spark, one, budget_seconds=3, available_now=False)
+    assert (run.ended, run.caught_up) == (False, False)

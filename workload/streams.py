@@ -13,7 +13,7 @@ from shoplake.schemas import CORRUPT_RECORD, EVENT_SCHEMA
 from shoplake.sinks.files import append
 from shoplake.sources.events import read_bus, read_table_files
 from shoplake.streaming.bridge import start_bridge
-from shoplake.streaming.raw_events import REJECTS, ingest_event_stream
+from shoplake.streaming.raw_events import ingest_event_stream, rejected_events
 from shoplake.streaming.runs import run_bounded
 from workload.batch import landed_events, shape_events_query, shop_pool
 from workload.tables import fresh_config, given, shop_activity
@@ -135,7 +135,7 @@ def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     sent = F.when(kind == "error", F.concat(F.lit("cut off: "), record)).otherwise(record)
     bridged(spark, cfg, events.select(sent.alias("value")))
     run = ingested(spark, cfg)
-    rejected = spark.read.parquet(cfg.processed(REJECTS))
+    rejected = rejected_events(spark, cfg)
 
     def counted(kind: str, n: Column, rows: DataFrame) -> DataFrame:
         return rows.agg(n.alias("n")).select(F.lit(kind).alias("kind"), "n")
