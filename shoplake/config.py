@@ -17,6 +17,7 @@ from shoplake.schemas import KNOWN_COLUMN_TYPES
 ZONES = ("raw", "processed", "presentation", "temp")
 DATABASE = "ecommerce_db"
 FACT_TABLE = "fact_orders"
+FACT_DAYS_TABLE = "fact_orders_days"
 METRICS_TABLE = "daily_order_metrics"
 RAW_EVENTS_TABLE = "raw_events"
 EVENT_LANDING = "event-stream-input"

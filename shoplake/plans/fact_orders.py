@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from shoplake.config import FACT_TABLE, LakeConfig, scratch_dir
+from shoplake.config import FACT_DAYS_TABLE, FACT_TABLE, LakeConfig, scratch_dir
 from shoplake.functions.temporal import day_of
-from shoplake.operators.daily import ORDER_MONTH, PURCHASED_AT
+from shoplake.operators.daily import ORDER_DATE, ORDER_MONTH, PURCHASED_AT
 from shoplake.operators.facts import join_order_items
 from shoplake.session import MAX_SHUFFLE_PARTITIONS
 from shoplake.sinks.catalog import create_database, register_external
 from shoplake.sinks.files import overwrite
+from shoplake.sinks.snapshots import replace_table
 
 #: Rows of a file, about. Small tables have smaller files, so that all cores take part.
 ROWS_PER_FILE, LEAST_ROWS_PER_FILE = 1_000_000, 50_000
@@ -32,7 +33,9 @@ def build_fact_orders(
     """Join orders with items into the fact table, replacing it, and return the table.
 
     The files are laid out by time of purchase (``in_files``): a day lies in few files, and its query
-    skips the others by their statistics. ``cfg.fact_by_month`` also puts each month in its own
+    skips the others by their statistics. A table of the days goes with the facts, so that the newest one is known without
+    a pass over them. Readers see the old facts or the new ones (``replace_table``), except by month: partitions are
+    overwritten where they are. ``cfg.fact_by_month`` also puts each month in its own
     folder, which adds the partition column ``order_month``; with it a query for one day does
     not even list the files of other months.
     """
@@ -44,15 +47,26 @@ def build_fact_orders(
     if cfg.fact_by_month:
         facts = facts.withColumn(ORDER_MONTH, F.trunc(PURCHASED_AT, "month"))
         partitions = (ORDER_MONTH,)
-    laid_out = in_files(facts).drop(HASH, COPY, FILE)
-    overwrite(laid_out, path, cfg.fmt, partitions)
+    laid_out, days = in_files(facts)
+    laid_out = laid_out.drop(HASH, COPY, FILE)
     create_database(spark, cfg.database, cfg.database_folder())
-    return register_external(
-        spark, cfg.table(FACT_TABLE), path, cfg.fmt, laid_out.schema, partitions
+    if partitions:
+        overwrite(laid_out, path, cfg.fmt, partitions)
+        told = register_external(
+            spark, cfg.table(FACT_TABLE), path, cfg.fmt, laid_out.schema, partitions
+        )
+    else:
+        told = replace_table(laid_out, cfg.table(FACT_TABLE), path, cfg.fmt)
+    replace_table(
+        days.select(F.col("day").alias(ORDER_DATE), F.col("n").alias("n_facts")).coalesce(1),
+        cfg.table(FACT_DAYS_TABLE),
+        cfg.processed(FACT_DAYS_TABLE),
+        cfg.fmt,
     )
+    return told
 
 
-def in_files(facts: DataFrame) -> DataFrame:
+def in_files(facts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``facts`` dealt to files that hold ranges of days, and within a day ranges of a hash of all columns.
 
     Where a row goes follows from its content and from how many rows its own day and the days before have. It depends
@@ -60,6 +74,8 @@ def in_files(facts: DataFrame) -> DataFrame:
     rows to the same files. Rows that are equal in all columns share a hash; where they make up a
     large part of a day, the numbers spread them that they got when the joined rows were
     stored. The join is stored once, before the counts, and not run again.
+
+    The second result has a row for each day: day and n, its number of facts.
     """
     spark = facts.sparkSession
     path = scratch_dir(spark, "facts")
@@ -76,7 +92,7 @@ def in_files(facts: DataFrame) -> DataFrame:
     file = F.least(F.floor(place * F.lit(files / max(total, 1))).cast("int"), F.lit(files - 1))
     dealt = rows.join(F.broadcast(days), day_of(PURCHASED_AT).eqNullSafe(days["day"]))
     dealt = dealt.withColumn(FILE, file).select(*rows.columns, FILE)
-    return dealt.repartitionById(files, FILE).sortWithinPartitions(PURCHASED_AT, HASH, COPY)
+    return dealt.repartitionById(files, FILE).sortWithinPartitions(PURCHASED_AT, HASH, COPY), days
 
 
 def counted_days(rows: DataFrame, per_file: float) -> DataFrame:

@@ -8,8 +8,9 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from shoplake.config import LakeConfig
-from shoplake.sinks.catalog import create_database, register_external
+from shoplake.sinks.catalog import create_database
 from shoplake.sinks.files import overwrite
+from shoplake.sinks.snapshots import replace_table
 from shoplake.sources.csv_files import (
     CSV_SUFFIX,
     count_lost,
@@ -34,20 +35,20 @@ def ingest_csv(
     their texts are kept in ``<table>_rejects``, which takes a second reading of the file.
     """
     table = file_name.removesuffix(CSV_SUFFIX)
+    create_database(spark, cfg.database, cfg.database_folder())
     path, source, types = cfg.processed(table), cfg.raw(file_name), cfg.column_types
     many = table in cfg.multi_line_tables
     rejects = cfg.processed(f"{table}{REJECTS}")
     if types:
         texts = scan_texts(spark, source, types, many)
         seen = Observation()
-        overwrite(texts.observe(seen, count_lost(texts, types)).select(*typed(texts, types)), path, cfg.fmt)
+        rows = texts.observe(seen, count_lost(texts, types)).select(*typed(texts, types))
+        loaded = replace_table(rows, cfg.table(table), path, cfg.fmt)
         overwrite(lost_values(texts if seen.get["lost"] else texts.limit(0), types), rejects, cfg.fmt)
         if seen.get["lost"]:
             log.warning("%s values of %s did not fit: see %s", seen.get["lost"], file_name, rejects)
     else:
-        overwrite(scan_csv(spark, source, multi_line=many), path, cfg.fmt)
-    create_database(spark, cfg.database, cfg.database_folder())
-    loaded = register_external(spark, cfg.table(table), path, cfg.fmt)
+        loaded = replace_table(scan_csv(spark, source, multi_line=many), cfg.table(table), path, cfg.fmt)
     log.info("loaded %s into %s", file_name, cfg.table(table))
     if show:
         loaded.printSchema()

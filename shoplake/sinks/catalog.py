@@ -32,7 +32,8 @@ def register_external(
 ) -> DataFrame:
     """Make ``table`` an external table over ``path`` that shows what lies there now.
 
-    An external entry with another schema or place is replaced (its files are not touched); an
+    An external entry with another schema or place is changed in place, so that the table is always found;
+    one of another format or with other partition columns is replaced. Files are not touched. An
     entry that still fits is refreshed. A managed table or a view of that name is an error:
     dropping a managed table would delete its files. With ``schema`` the folder may
     still be empty.
@@ -43,7 +44,10 @@ def register_external(
         if detail.get("Type") != "EXTERNAL":
             raise ValueError(f"{table} exists and is no external table: {detail.get('Type')}")
         if not _fits(spark, table, detail, wanted, path):
-            spark.sql(f"DROP TABLE {table}")
+            if partition_by or _partitioned(spark, table) or detail.get("Provider", "").lower() != fmt.lower():
+                spark.sql(f"DROP TABLE {table}")
+            else:
+                _change(spark, table, detail, wanted, path)
     columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in wanted)
     partitions = f"PARTITIONED BY ({', '.join(map(quoted, partition_by))})" if partition_by else ""
     settings = ", ".join(f"{_text(k)} {_text(str(v))}" for k, v in options.items())
@@ -109,6 +113,22 @@ def _fits(
     )
 
 
+def _partitioned(spark: SparkSession, table: str) -> bool:
+    return any(c.isPartition for c in spark.catalog.listColumns(table))
+
+
+def _change(
+    spark: SparkSession, table: str, detail: dict[str, str], wanted: T.StructType, path: str
+) -> None:
+    """Give an entry another place and other columns. SQL can only add columns, so the catalog is asked."""
+    if not _same_place(detail.get("Location", ""), path):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION {_text(path)}")
+    if spark.table(table).dtypes != [(f.name, f.dataType.simpleString()) for f in wanted]:
+        columns = spark._jvm.org.apache.spark.sql.types.DataType.fromJson(wanted.json())
+        catalog = spark._jsparkSession.sharedState().externalCatalog()
+        catalog.alterTableDataSchema(detail["Database"], detail["Table"], columns)
+
+
 def _same_place(one: str, other: str) -> bool:
     """The same folder, where one of the two may leave out the file system."""
     a, b = urlparse(one), urlparse(other)

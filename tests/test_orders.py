@@ -22,6 +22,9 @@ from shoplake.plans.daily_metrics import (
     APPEND,
     daily_metrics,
     metrics_table,
+    latest_daily_metrics,
+    newest_day,
+    publish_all_days,
     publish_daily_metrics,
 )
 from shoplake.plans.fact_orders import build_fact_orders
@@ -167,7 +170,7 @@ def test_bad_arguments(spark, cfg):
 
 def test_layout_is_sorted_by_time(spark, cfg):
     build_shop(spark, cfg)
-    files = spark.read.parquet(cfg.processed("fact_orders"))
+    files = spark.table(cfg.table("fact_orders"))
     times = [r[0] for r in files.select("order_purchase_timestamp").collect() if r[0]]
     assert times == sorted(times)
 
@@ -217,3 +220,28 @@ def test_metrics_against_brute_force(spark, items):
         newest = max(dated, key=lambda w: w[0])
         assert rows(daily_metrics(facts)) == [newest]
         assert rows(metrics_per_day(facts_on_date(facts, newest[0]))) == [newest]
+
+
+def test_all_days_are_one_file(spark, shop):
+    cfg, facts = shop
+    told = publish_all_days(spark, cfg)
+    assert rows(told.where("order_date IS NOT NULL")) == [JAN_1, JAN_2]
+    assert told.count() == rows(facts.selectExpr("count(DISTINCT to_date(order_purchase_timestamp)) + 1"))[0][0]
+    assert told.select(F.input_file_name()).distinct().count() == 1
+    assert rows(publish_daily_metrics(spark, cfg, "2018-01-01")) == [JAN_1]
+    assert metrics_table(spark, cfg).count() == told.count()
+
+
+def test_newest_day_needs_no_pass_over_the_facts(spark, shop):
+    cfg, facts = shop
+    assert newest_day(spark, cfg) == dt.date(2018, 1, 2)
+    latest = latest_daily_metrics(spark, cfg)
+    assert rows(latest) == [JAN_2]
+    shown = latest._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(order_purchase_timestamp,2018-01-02T00:0" in shown
+    assert "Subquery" not in shown
+
+
+def test_newest_day_of_no_facts(spark, cfg):
+    build_shop(spark, cfg, items=ITEMS.splitlines()[0] + "\n")
+    assert newest_day(spark, cfg) is None and rows(latest_daily_metrics(spark, cfg)) == []

@@ -16,6 +16,8 @@ from shoplake.plans.daily_metrics import (
     APPEND,
     all_daily_metrics,
     daily_metrics,
+    latest_daily_metrics,
+    publish_all_days,
     publish_daily_metrics,
 )
 from shoplake.plans.fact_orders import build_fact_orders
@@ -23,6 +25,7 @@ from shoplake.plans.ingest import ingest_all, ingest_csv
 from shoplake.plans.profile import count_tables, profile_database
 from shoplake.sinks import files as sink
 from shoplake.sinks.catalog import create_database, describe_tables, list_tables, register_external
+from shoplake.sinks.snapshots import replace_table
 from shoplake.sources.csv_files import discover_csv, scan_csv
 from shoplake.sources.files import landing_head, landing_summary
 from shoplake.sources.tables import scan_table
@@ -145,10 +148,15 @@ def peek_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sink_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder is overwritten, then a table twice by snapshots, the second time from its own rows."""
     path = scratch_dir(spark, "overwrite") + "/customer"
     for _ in range(2):
         sink.overwrite(given(spark, sf_dir, "customer"), path)
-    return spark.read.parquet(path)
+    cfg = fresh_config(spark, "overwrite")
+    create_database(spark, cfg.database, cfg.database_folder())
+    name, place = cfg.table("customer"), cfg.processed("customer")
+    replace_table(spark.read.parquet(path), name, place)
+    return replace_table(spark.table(name), name, place)
 
 
 def sink_append(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -288,7 +296,7 @@ def sales_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_order_metrics_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return daily_metrics(fact_table(spark, stored_facts(spark, sf_dir)))
+    return latest_daily_metrics(spark, stored_facts(spark, sf_dir))
 
 
 def daily_order_metrics_date(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -299,6 +307,10 @@ def daily_order_metrics_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return all_daily_metrics(spark, stored_facts(spark, sf_dir))
 
 
+def daily_order_metrics_publish_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return publish_all_days(spark, stored_facts(spark, sf_dir, "publish_all"))
+
+
 def daily_order_metrics_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg = stored_facts(spark, sf_dir, "rerun")
     for _ in range(2):
@@ -411,6 +423,7 @@ BATCH_QUERIES = {
     "daily_order_metrics_date": daily_order_metrics_date,
     "daily_order_metrics_all": daily_order_metrics_all,
     "daily_order_metrics_rerun": daily_order_metrics_rerun,
+    "daily_order_metrics_publish_all": daily_order_metrics_publish_all,
     "daily_order_metrics_append": daily_order_metrics_append,
     "daily_order_metrics_by_month": daily_order_metrics_by_month,
     "scalar_date": scalar_date,

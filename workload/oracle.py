@@ -148,6 +148,7 @@ ORACLE = {
     "daily_order_metrics_latest": with_fact(METRICS.format(where=LATEST)),
     "daily_order_metrics_date": with_fact(METRICS.format(where=ON_DATE)),
     "daily_order_metrics_all": with_fact(METRICS.format(where="")),
+    "daily_order_metrics_publish_all": with_fact(METRICS.format(where="")),
     "daily_order_metrics_rerun": with_fact(METRICS.format(where=LATEST)),
     "daily_order_metrics_append": with_fact(
         f"""SELECT * FROM ({METRICS.format(where=LATEST)}) UNION ALL
