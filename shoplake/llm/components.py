@@ -1,4 +1,9 @@
-"""Connected components of a stored edge table, by alternating star operations."""
+"""Connected components of a stored edge table, by alternating star operations.
+
+A large component has a node with very many edges. The least neighbours of nodes are therefore stored before they are joined
+with the edges: both sides of the join are then shuffles, of which adaptive execution can split the
+large partitions. It could not split the output of an aggregate in the same stage.
+"""
 
 from __future__ import annotations
 
@@ -12,8 +17,7 @@ def _reach(edges: DataFrame) -> DataFrame:
     """(u, v, m): both directions of every edge, with the least of u and all its neighbours."""
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m"))
-    least = least.select("u", F.least("u", "m").alias("m"))
-    return both.join(least, "u")
+    return both.join(stored(least.select("u", F.least("u", "m").alias("m")), "least"), "u")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -24,7 +28,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its lesser neighbours are tied to the least of them; edges go from great to small."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    least = stored(down.groupBy("u").agg(F.min("v").alias("m")), "least")
     others = down.join(least, "u").where(F.col("v") != F.col("m"))
     moved = others.select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(least.select("u", F.col("m").alias("v")))

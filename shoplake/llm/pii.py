@@ -9,9 +9,9 @@ row and the key: nothing is joined or shuffled.
 
 A Feistel network over two numbers (a modulo A, b modulo B) adds a keyed hash of one to the other,
 in turn; each step can be undone, so the whole is a permutation of the A x B values. Domains that are
-no product are walked until a value falls inside. A value that the permutation leaves in place
-is permuted under the next key, which keeps it reversible only for the others; with card numbers
-that is one in 10^15.
+no product are walked until a value falls inside, which is a permutation too. So no two values of a domain ever
+meet. One value of a domain may be its own pseudonym, on average, as in any random permutation:
+moving it would give it another value's pseudonym.
 
 Defined results: NULL text stays NULL; empty text stays empty; text without valid personal data
 is returned byte for byte; repeated rows get equal results. Columns are kept unless a result
@@ -83,18 +83,13 @@ class Feistel:
         return x * b + y
 
     def permute(self, tag: str, value: int, size: int) -> int:
-        """A permutation of range(size) that moves this value."""
+        """A permutation of range(size): as with any other, a value may stay in place."""
         a = math.isqrt(size - 1) + 1
         b = -(-size // a)
-        for again in range(64):
-            moved = value
-            while True:
-                moved = self.pair(f"{tag}/{size}/{again}", moved, a, b)
-                if moved < size:
-                    break
-            if moved != value or size == 1:
-                return moved
-        return value
+        while True:
+            value = self.pair(f"{tag}/{size}", value, a, b)
+            if value < size:
+                return value
 
 
 def digits(text: str) -> str:
@@ -179,11 +174,20 @@ def new_ssn(f: Feistel, text: str) -> str | None:
     return f"{area + 1 + (area >= 665):03d}-{group + 1:02d}-{serial + 1:04d}"
 
 
+# How many area numbers there are, from 001, and exchange numbers, from 200.
+AREAS, FIRST_EXCHANGE, EXCHANGES, LINES = 999, 200, 800, 10_000
+
+
 def new_phone(f: Feistel, text: str) -> str | None:
-    """The last ten digits are permuted, a country code stays."""
+    """The last ten digits are permuted among those with a valid area and exchange number; a country code stays."""
     number = digits(text)
-    moved = f.permute("phone", int(number[-10:]), 10**10)
-    return fill(text, number[:-10] + str(moved).zfill(10))
+    area, exchange, line = int(number[-10:-7]), int(number[-7:-4]), int(number[-4:])
+    if area == 0 or exchange < FIRST_EXCHANGE:
+        return None
+    place = ((area - 1) * EXCHANGES + exchange - FIRST_EXCHANGE) * LINES + line
+    rest, line = divmod(f.permute("phone", place, AREAS * EXCHANGES * LINES), LINES)
+    area, exchange = divmod(rest, EXCHANGES)
+    return fill(text, f"{number[:-10]}{area + 1:03d}{exchange + FIRST_EXCHANGE:03d}{line:04d}")
 
 
 def new_date(f: Feistel, text: str) -> str | None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import secrets
 import zlib
 from collections.abc import Callable
 
@@ -28,8 +29,10 @@ from shoplake.llm.common import doc_crc, stored, table
 
 #: Shards of the sharding query, all of the same weight.
 SHARDS = 24
-#: Where the key of the pseudonyms is taken from; the other one serves tests and trials.
-PII_KEY_SETTING, TRIAL_KEY = "spark.shoplake.pii.key", "a key for trials only"
+#: Where the key of the pseudonyms is taken from. Without it each application draws one that nobody keeps, so its
+#: pseudonyms are linked with one another only.
+PII_KEY_SETTING = "spark.shoplake.pii.key"
+DRAWN_KEYS: dict[str, str] = {}
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,7 +120,9 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    key = spark.conf.get(PII_KEY_SETTING, TRIAL_KEY)
+    key = spark.conf.get(PII_KEY_SETTING, None)
+    if not key:
+        key = DRAWN_KEYS.setdefault(spark.sparkContext.applicationId, secrets.token_hex(32))
     return pii.pseudonyms(docs, key.encode())
 
 

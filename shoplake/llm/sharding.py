@@ -4,13 +4,13 @@ Every shard draws a number from a hash of (key, shard) and the record goes to th
 ``-weight / ln(draw)``. A new shard only wins records for itself, so nothing else moves.
 All of it is one expression per row.
 
-Places are numbered without collecting a shard: each shard is cut into small hash ranges
-(buckets), buckets are counted, their running totals are the offsets, and rows are numbered within
-their bucket. The only window over a whole shard runs over its bucket counts.
+Places are numbered without collecting a shard: rows lie in ranges of (shard, hash of content, number in a stored copy), each
+range counts its own, and the counts of ranges are the offsets (``common.running``). Rows that are
+equal in all columns share a hash, but not the number, so they are split over ranges like any others.
 
 Defined results: NULL keys draw like the empty text; equal keys always share a shard, and a hot
 key therefore makes its shard large, as the law demands, while its rows still spread over
-buckets by content. NULL text has 8 bytes and CRC 0. Columns are kept unless a result has
+ranges. NULL text has 8 bytes and CRC 0. Columns are kept unless a result has
 the same name.
 """
 
@@ -19,13 +19,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from shoplake.llm.common import bins_for
+from shoplake.llm.common import named, running, unused
 
-#: Rows numbered together.
-BUCKET_ROWS = 4096
 RESULTS = {"size", "text_crc32", "shard", "slot", "grown_shard"}
 
 
@@ -64,7 +61,7 @@ def assign(
 ) -> DataFrame:
     """Adds size, text_crc32, shard and, if one shard more were added, grown_shard."""
     content = F.coalesce(F.col(text), F.lit(""))
-    kept = [f"`{c}`" for c in docs.columns if c.lower() not in RESULTS]
+    kept = [named(c) for c in docs.columns if c.lower() not in RESULTS]
     return docs.select(
         *kept,
         (F.octet_length(content) + 8).cast("long").alias("size"),
@@ -74,28 +71,11 @@ def assign(
     )
 
 
-def number(
-    rows: DataFrame, shard: str = "shard", by: Sequence[str] = ("doc_id",), bucket_rows: int = BUCKET_ROWS
-) -> DataFrame:
+def number(rows: DataFrame, shard: str = "shard", by: Sequence[str] = ("doc_id",)) -> DataFrame:
     """Adds slot: 0 to n-1 within each shard, in the order of a hash of ``by``."""
-    n = bins_for(rows.count(), bucket_rows)
-    place = F.xxhash64(*by)
-    # hash ranges in order, so that places follow one order over the whole shard
-    bucket = F.floor(F.shiftrightunsigned(place, 33) * F.lit(n) / F.lit(float(1 << 31))).cast("int")
-    keyed = rows.withColumns({"_place": place, "_bucket": bucket})
-    counts = keyed.groupBy(shard, "_bucket").agg(F.count("*").alias("_n"))
-    before = W.partitionBy(shard).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    offsets = counts.select(
-        F.col(shard).alias("_shard"),
-        F.col("_bucket").alias("_at"),
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
-    )
-    inside = W.partitionBy(shard, "_bucket").orderBy("_place", *by)
-    numbered = keyed.withColumn("_row", F.row_number().over(inside).cast("long") - 1)
-    joined = numbered.join(
-        offsets, (F.col(shard) == F.col("_shard")) & (F.col("_bucket") == F.col("_at"))
-    )
-    return joined.select(
-        *[f"`{c}`" for c in rows.columns if c.lower() != "slot"],
-        (F.col("_offset") + F.col("_row")).alias("slot"),
-    )
+    rows = rows.drop(*[c for c in rows.columns if c.lower() == "slot"])
+    one, total, group = (unused(rows.columns, n) for n in ("one_", "total_", "group_"))
+    counted = rows.withColumns({one: F.lit(1).cast("long"), group: F.col(named(shard)).cast("long")})
+    columns = [F.col(named(c)) for c in by]
+    told = running(counted, group, [F.xxhash64(*columns), *columns], one, "slot", total)
+    return told.drop(one, total, group)

@@ -1,9 +1,12 @@
 from __future__ import annotations
 
+import math
+import struct
 import zlib
 from collections import Counter
 
 import pytest
+import xxhash
 from llm_cases import ODD, clashing, empty_documents, given, odd_documents
 from pyspark.sql import functions as F
 
@@ -11,7 +14,7 @@ from shoplake.llm import sharding as S
 
 
 def placed(docs, n=24):
-    return S.number(S.assign(docs, [1.0] * n), by=("doc_id", "text_crc32", "size"), bucket_rows=16)
+    return S.number(S.assign(docs, [1.0] * n), by=("doc_id", "text_crc32", "size"))
 
 
 def test_given_documents(spark):
@@ -49,7 +52,7 @@ def test_weights_are_shares(spark):
 
 
 def test_odd_rows(spark):
-    docs = clashing(odd_documents(spark), "Slot", "shard", "size")
+    docs = clashing(odd_documents(spark), "Slot", "shard", "size", "_at", "_offset", "_shard", "a.b", "one_", "part_")
     rows = placed(docs, 3).collect()
     assert len(rows) == len(ODD)
     by_id = {}
@@ -65,8 +68,29 @@ def test_odd_rows(spark):
 
 
 def test_one_hot_key(spark):
-    """All rows share a key: one shard, by the law, but many buckets."""
+    """All rows share a key: one shard, by the law, but many places."""
     docs = spark.range(500).select(F.lit(1).alias("doc_id"), F.col("id").cast("string").alias("text"))
     rows = placed(docs).collect()
     assert len({r["shard"] for r in rows}) == 1
     assert sorted(r["slot"] for r in rows) == list(range(500))
+
+
+def test_the_choice_of_a_shard(spark):
+    """Each record recomputed in plain Python: the highest -weight / ln(draw) wins."""
+    weights = [1.0, 2.5, 0.5, 1.0]
+    docs = given(spark, "documents").select("doc_id", "text")
+    rows = S.assign(docs, weights, grown_weight=1.5).collect()
+    for r in rows:
+        scores = []
+        for s, w in enumerate([*weights, 1.5]):
+            first = xxhash.xxh64_intdigest(str(r["doc_id"]).encode(), seed=42)
+            bits = xxhash.xxh64_intdigest(struct.pack("<i", s), seed=first) >> 11
+            scores.append(-w / math.log((bits + 0.5) / (1 << 53)))
+        assert r["shard"] == max(range(4), key=lambda s: scores[s])
+        assert r["grown_shard"] == max(range(5), key=lambda s: scores[s])
+
+
+def test_repeated_rows_are_numbered_in_many_ranges(spark):
+    docs = spark.range(5000).select(F.lit(1).alias("doc_id"), F.lit("same").alias("text"))
+    rows = S.number(S.assign(docs, [1.0] * 3), by=("doc_id", "text_crc32", "size")).collect()
+    assert sorted(r["slot"] for r in rows) == list(range(5000))
