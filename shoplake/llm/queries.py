@@ -35,6 +35,11 @@ PII_KEY_SETTING = "spark.shoplake.pii.key"
 DRAWN_KEYS: dict[str, str] = {}
 
 
+def ledger_of(spark: SparkSession) -> secret_scan.Ledger:
+    """The ledger in the folder of the setting; without it, one that ends with the application."""
+    return secret_scan.Ledger(spark, spark.conf.get(secret_scan.LEDGER_SETTING, None))
+
+
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -79,7 +84,7 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = secret_scan.scan_documents(docs, secret_scan.Ledger(spark))
+    found = secret_scan.scan_documents(docs, ledger_of(spark))
     base = secret_scan.written(secret_scan.base_only())
     return found.select(
         "doc_id",

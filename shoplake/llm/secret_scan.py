@@ -1,10 +1,10 @@
 """Secret scans over an incremental blob ledger, with SQL functions only.
 
-Every version of a text is a blob, named by the SHA-256 of its content. The ledger is a table of
-which blobs were scanned with which rules, and a table of what was found. A scan first
-compares hashes with the ledger, so unchanged content is never scanned again and
-copies are scanned once; new rules scan old blobs again under their own version. Findings are joined
-back to every path (row) that has the blob.
+Every version of a text is a blob, named by the SHA-256 of its content; every rule has a version, which changes with
+its pattern. The ledger has the pairs of blob and rule version that were scanned, and what was found. A scan
+first compares hashes with the ledger, and scans each blob with the rules that it was not scanned with yet:
+unchanged content is never scanned again, copies are scanned once, and a new rule is looked for in old blobs
+alone, without the others. Findings are joined back to every path (row) that has the blob.
 
 Places come without a UDF: a match and the gap before it are as long as the pieces that
 ``regexp_extract_all`` and ``split`` return, so running sums of their lengths are the offsets.
@@ -19,6 +19,7 @@ has the same name.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -28,11 +29,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplake.config import scratch_dir
+from shoplake.llm.common import join_small, named, stored
 
 #: Findings of up to so many blobs and spans, some 30 MB, are broadcast; more are joined by shuffle.
 SMALL_BLOBS, SMALL_SPANS = 50_000, 200_000
 
+#: Where the ledger of the query and of the pipeline is kept from one application to the next.
+LEDGER_SETTING = "spark.shoplake.ledger"
 SPAN = "array<struct<start:int,place:int,end:int,kind:string>>"
+STORED_SPAN = "array<struct<start:int,end:int,rule:string>>"
+#: Runs of a ledger that are put together to one.
+MOST_RUNS = 64
 BLOB = "blob"
 
 
@@ -67,11 +74,13 @@ MORE_RULES = (
 RULES = BASE_RULES + MORE_RULES
 
 
-def rules_version(rules: Sequence[Rule]) -> str:
-    """Changes whenever a rule does."""
-    import hashlib
+def rule_version(rule: Rule) -> str:
+    """Changes whenever the rule does."""
+    return hashlib.sha256(repr(rule).encode()).hexdigest()[:16]
 
-    return hashlib.sha256(repr(tuple(rules)).encode()).hexdigest()[:16]
+
+def versions_of(rules: Sequence[Rule]) -> Column:
+    return F.array(*[F.lit(rule_version(r)) for r in rules])
 
 
 def let(value: Column, use: object) -> Column:
@@ -122,47 +131,101 @@ def matches(text: Column, rule: Rule, place: int) -> Column:
     return F.when(text.rlike(rule.pattern), found).otherwise(F.array().cast(SPAN))
 
 
-def scan(blobs: DataFrame, text: str, rules: Sequence[Rule]) -> DataFrame:
-    """Adds ``spans``, sorted by start and order of rules."""
-    every = F.concat(*[matches(F.col(text), rule, i) for i, rule in enumerate(rules)])
+def scan(blobs: DataFrame, text: str, rules: Sequence[Rule], asked: Column | None = None) -> DataFrame:
+    """Adds ``spans``, sorted by start and order of rules. ``asked`` has the versions of the rules to scan a row with."""
+    none = F.array().cast(SPAN)
+
+    def found(i: int, rule: Rule) -> Column:
+        spans = matches(F.col(text), rule, i)
+        return spans if asked is None else F.when(F.array_contains(asked, rule_version(rule)), spans).otherwise(none)
+
+    every = F.concat(*[found(i, rule) for i, rule in enumerate(rules)])
     return blobs.withColumn("spans", F.sort_array(every))
 
 
 class Ledger:
-    """Two tables in a folder that all executors share: scanned blobs, and findings."""
+    """Runs in a folder that all executors share; each has the blobs it scanned, with which rules, and its findings.
+
+    A run counts once its marker is there, which is written last. After ``MOST_RUNS`` runs they are put together
+    to one, whose marker names those that it stands for.
+    """
 
     def __init__(self, spark: SparkSession, path: str | None = None) -> None:
         self.spark = spark
         self.path = path or scratch_dir(spark, "ledger")
 
-    def seen(self, version: str) -> DataFrame | None:
-        """Blobs scanned under a rule version; None before the first scan."""
-        return self._read("scanned", version, "blob binary")
-
-    def findings(self, version: str) -> DataFrame | None:
-        return self._read("findings", version, f"blob binary, spans {SPAN}")
-
-    def _read(self, name: str, version: str, schema: str) -> DataFrame | None:
-        folder = f"{self.path}/{version}"
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
-        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        runs = [s.getPath().toString() for s in fs.listStatus(path)] if fs.exists(path) else []
-        whole = [r for r in runs if fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(r + "/done"))]
-        if not whole:
+    def runs(self) -> list[str]:
+        """The folders that count."""
+        to_path = self.spark._jvm.org.apache.hadoop.fs.Path
+        fs = to_path(self.path).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        marks = fs.globStatus(to_path(f"{self.path}/*/done")) or []
+        whole = {m.getPath().getParent().toString(): m for m in marks}
+        replaced = set()
+        for mark in whole.values():
+            if mark.getLen():
+                file = fs.open(mark.getPath())
+                replaced |= set(str(file.readUTF()).split())
+                file.close()
+        return sorted(r for r in whole if r.rsplit("/", 1)[-1] not in replaced)
+
+    def _mark(self, run: str, stands_for: list[str]) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{run}/done")
+        file = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).create(path)
+        if stands_for:
+            file.writeUTF(" ".join(r.rsplit("/", 1)[-1] for r in stands_for))
+        file.close()
+
+    def _read(self, name: str, schema: str) -> DataFrame | None:
+        runs = self.runs()
+        return self.spark.read.schema(schema).parquet(*[f"{r}/{name}" for r in runs]) if runs else None
+
+    def seen(self) -> DataFrame | None:
+        """(blob, rules): the versions of the rules that each blob was scanned with. None before the first scan."""
+        rows = self._read("scanned", "blob binary, rules array<string>")
+        return rows and rows.groupBy(BLOB).agg(F.array_distinct(F.flatten(F.collect_list("rules"))).alias("rules"))
+
+    def findings(self, rules: Sequence[Rule]) -> DataFrame | None:
+        """(blob, spans) of what these rules have found, sorted."""
+        rows = self._read("findings", f"blob binary, spans {STORED_SPAN}")
+        if rows is None:
             return None
-        return self.spark.read.schema(schema).parquet(*[f"{r}/{name}" for r in whole])
+        kinds = F.create_map(
+            *[x for i, r in enumerate(rules) for x in (F.lit(rule_version(r)), F.struct(F.lit(i), F.lit(r.kind)))]
+        )
+        asked = F.filter("spans", lambda x: F.array_contains(versions_of(rules), x["rule"]))
+        told = F.transform(
+            asked, lambda x: F.struct(x["start"], kinds[x["rule"]]["col1"], x["end"], kinds[x["rule"]]["col2"])
+        )
+        rows = rows.select(BLOB, told.cast(SPAN).alias("spans")).where(F.size("spans") > 0)
+        return rows.groupBy(BLOB).agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"))
 
     def add(self, fresh: DataFrame, rules: Sequence[Rule], text: str) -> None:
-        """Scan blobs that are not in the ledger yet; a run counts once all of it is written."""
-        run = f"{self.path}/{rules_version(rules)}/{uuid.uuid4().hex}"
-        scan(fresh, text, rules).select(BLOB, "spans").write.option("compression", "zstd").parquet(
-            f"{run}/all"
+        """Scan blobs with the rules they are ``asked`` for; a run counts once all of it is written."""
+        run = f"{self.path}/run-{uuid.uuid4().hex}"
+        kept = f"blob binary, asked array<string>, spans {SPAN}"
+        told = scan(fresh, text, rules, F.col("asked")).select(BLOB, "asked", "spans")
+        told.write.option("compression", "zstd").parquet(f"{run}/all")
+        found = self.spark.read.schema(kept).parquet(f"{run}/all")
+        rule = F.transform(
+            "spans", lambda x: F.struct(x["start"], x["end"], F.element_at(versions_of(rules), x["place"] + 1))
+        )
+        found.where(F.size("spans") > 0).select(BLOB, rule.cast(STORED_SPAN).alias("spans")).write.parquet(
+            f"{run}/findings"
+        )
+        found.select(BLOB, F.col("asked").alias("rules")).write.parquet(f"{run}/scanned")
+        self._mark(run, [])
+        if len(self.runs()) >= MOST_RUNS:
+            self.put_together()
+
+    def put_together(self) -> None:
+        """All runs as one. The old ones stay for readers that have begun, but count no longer."""
+        old, run = self.runs(), f"{self.path}/base-{uuid.uuid4().hex}"
+        self.seen().write.parquet(f"{run}/scanned")
+        rows = self._read("findings", f"blob binary, spans {STORED_SPAN}")
+        rows.groupBy(BLOB).agg(F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans")).write.parquet(
+            f"{run}/findings"
         )
-        found = self.spark.read.schema(f"blob binary, spans {SPAN}").parquet(f"{run}/all")
-        found.where(F.size("spans") > 0).write.parquet(f"{run}/findings")
-        found.select(BLOB).write.parquet(f"{run}/scanned")
-        fs_path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{run}/done")
-        fs_path.getFileSystem(self.spark._jsc.hadoopConfiguration()).create(fs_path).close()
+        self._mark(run, old)
 
 
 def content(text: str) -> Column:
@@ -176,15 +239,21 @@ def blob_of(text: str) -> Column:
 def scan_new(docs: DataFrame, ledger: Ledger, rules: Sequence[Rule] = RULES, text: str = "text") -> None:
     """Scan what the ledger lacks and enter it.
 
-    The distinct of (blob, text) is done within the tasks first. Known blobs are
-    taken out by hash before their text would be shuffled.
+    The distinct of (blob, text) is done within the tasks first. What is missing is found by hashes, before
+    any text is shuffled.
     """
     blobs = docs.select(blob_of(text).alias(BLOB), content(text).alias("content"))
-    seen = ledger.seen(rules_version(rules))
-    if seen is not None:
-        known = blobs.select(BLOB).distinct().join(seen, BLOB, "left_semi")
-        blobs = blobs.join(known, BLOB, "left_anti")
-    ledger.add(blobs.distinct(), rules, "content")
+    every, seen = versions_of(rules), ledger.seen()
+    if seen is None:
+        ledger.add(blobs.distinct().withColumn("asked", every), rules, "content")
+        return
+    told = blobs.select(BLOB).distinct().join(seen, BLOB, "left")
+    missing = F.coalesce(F.array_except(every, F.col("rules")), every)
+    missing = stored(told.select(BLOB, missing.alias("asked")).where(F.size("asked") > 0), "missing")
+    if missing.isEmpty():
+        return
+    fresh = join_small(blobs, missing.select(BLOB), [BLOB], "left_semi").distinct()
+    ledger.add(fresh.join(missing, BLOB), rules, "content")
 
 
 def scan_documents(
@@ -192,14 +261,14 @@ def scan_documents(
 ) -> DataFrame:
     """Adds ``blob`` and ``spans`` to every document, after scanning what is new."""
     scan_new(docs, ledger, rules, text)
-    found = ledger.findings(rules_version(rules))
-    kept = [c for c in docs.columns if c.lower() not in (BLOB, "spans")]
-    named = docs.select(*[f"`{c}`" for c in kept], blob_of(text).alias(BLOB))
+    found = stored(ledger.findings(rules), "findings")
+    kept = [named(c) for c in docs.columns if c.lower() not in (BLOB, "spans")]
+    blobs = docs.select(*kept, blob_of(text).alias(BLOB))
     size = found.agg(F.count("*").alias("blobs"), F.sum(F.size("spans")).alias("spans")).first()
     small = size["blobs"] <= SMALL_BLOBS and (size["spans"] or 0) <= SMALL_SPANS
-    joined = named.join(F.broadcast(found) if small else found, BLOB, "left")
+    joined = blobs.join(F.broadcast(found) if small else found, BLOB, "left")
     return joined.select(
-        *[f"`{c}`" for c in kept],
+        *kept,
         BLOB,
         F.coalesce("spans", F.array().cast(SPAN)).alias("spans"),
     )
