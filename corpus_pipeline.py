@@ -39,7 +39,8 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document stays; its secrets are replaced by a mark."""
-    found = secret_scan.scan_documents(docs, secret_scan.Ledger(spark))
+    ledger = secret_scan.Ledger(spark, spark.conf.get(secret_scan.LEDGER_SETTING, None))
+    found = secret_scan.scan_documents(docs, ledger)
     return as_documents(found.withColumn("text", secret_scan.redacted()))
 
 
