@@ -1,28 +1,26 @@
-"""Language-model scores from a weighted backoff automaton, learned and applied as joins.
+"""Language-model scores from a weighted backoff automaton, learned and applied as sums and joins.
 
-The model: words by add-one counts; above them, every training word is a state, however rare (unless
-``STATE_SHARE`` is raised). A state has an arc for each word that followed it,
-with the discounted relative frequency, and a failure arc to the root, whose weight is what the arcs
-leave over. A text is read once from left to right: the state's arc (if any) and the failure arc
-times the root's probability are added, and the next state is that of the word just read. Since the
-state after a word depends on this word only, all words of many texts step at once in arrays.
-Probabilities of all words after any state add up to one, with one share kept for unknown words.
+The model has a root with add-one counts of words, a state for every training word, however rare, and a state for every
+pair of words that training has twice or more. A one-word state has an arc for each word that followed it, with the
+discounted relative frequency; its failure arc leads to the root and has what the arcs leave over. A two-word state
+has arcs for the words that followed the pair; its failure arc leads to the state of its last word, and weighs as much as
+``PRIOR`` occurrences. A text is read once from left to right, and carries the longest history that is a state: what its
+arc gives (if any) and the failure arc times the next shorter history are added. Since the state after a word
+depends on the last two words only, all words of many texts step at once in arrays. Probabilities of all words
+after any state add up to one, with one share kept for unknown words.
 
 The counts belong to all training documents and grow with them, so no task ever holds the model:
 
-1. Documents are coded in blocks of some two million words where they lie: the sorted 64-bit hashes of the
+1. Documents are coded in blocks of some million words where they lie: the sorted 64-bit hashes of the
    block's words, and the texts as places in that list.
-2. A request row has all the keys a block wants of a bucket, so there are never more rows than keys.
-   Requests are ranges of sorted hashes, a bucket each; a bucket adds up the counts of all blocks and
-   answers each block with totals in the order it asked in.
-3. Blocks ask for their pairs (history, word) by a hash of both, so the pairs of a frequent history are
-   spread over all buckets. With each pair goes its history: the bucket adds up what the arcs of
-   each history have there.
-4. Blocks ask for their words in the same way. These buckets also get the sums of the arcs, by the hash of
-   the history, and answer with both: a block learns the failure weights of its own histories only.
-5. Each block meets its answers and scores its texts.
-
-Words and pairs are compared by 64-bit hashes.
+2. Blocks ask for the totals of their words and of their pairs (``totals``: each block sends a bounded number of
+   rows, so the requests grow with the blocks).
+3. With the totals of its pairs, each block asks for the words that follow its two-word states, and counts the distinct
+   followers of its words, over the pairs that it owns: these counts are added up in the same exchange.
+4. Each block meets its answers and scores its texts.
+
+Words are compared by 64-bit hashes; longer n-grams by as many bits as make it unlikely, one in 16 million, that an n-gram
+shares them with any other (``bits_for``).
 
 Defined results: NULL and empty texts consist of the end token alone; a document with a NULL id counts
 as the empty id; repeated rows count and are scored each time; without training documents
@@ -32,6 +30,7 @@ every word is unknown (N = V = 0) and the scores are 0. Extra columns are not us
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 from typing import Any
 
 import numpy as np
@@ -44,18 +43,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from shoplake.llm.common import bins_for, slices, small_batches, stored
+from shoplake.llm.common import slices, small_batches, stored
 from shoplake.llm.jaccard import FACTOR, mixed
-from shoplake.llm.totals import pack, pack_sorted, unpack, unpack_sorted
+from shoplake.llm.totals import joined, owned, pack, pack_sorted, totals, unpack, unpack_sorted
 
-#: A word with at least this share of the training tokens is a state: with 0 every training word is.
-STATE_SHARE = 0.0
-#: Followers seen less often are left to the failure arc: with 1 every one that was seen has an arc.
-LEAST_FOLLOWS = 1
+#: Taken from the count of each follower of a word, for the failure arc.
 DISCOUNT = 0.75
-BLOCK_WORDS = 2_000_000
-#: Requests that one bucket adds up, about.
-BUCKET_KEYS = 2_000_000
+#: A pair is a state if it is seen so often; the followers of others are all but certain to be unseen.
+LEAST_PAIR = 2
+#: Occurrences that the failure arc of a two-word state weighs as much as.
+PRIOR = 8
+BLOCK_WORDS = 1_000_000
+#: Bits of a hash beyond those that number all n-grams.
+SPARE_BITS = 24
 
 LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 #: No word has white space in it, so this is no word.
@@ -96,7 +96,7 @@ class Coder:
             "lengths": np.array(self.lengths, np.uint32).tobytes(),
             "codes": pack(codes),
             "words": pack_sorted(words),
-            "counts": pack(counts),
+            "counts": pack(counts.astype(np.uint64)),
             "n_tokens": len(codes),
             "train_tokens": int(train.sum()),
         }
@@ -134,210 +134,165 @@ def coded_blocks(docs: DataFrame, doc_id: str, text: str, train: Column) -> Data
     return rows.mapInArrow(run, schema)
 
 
-#: ``histories``: of the pairs asked for, each once; ``places``: where in them each pair's is.
-REQUEST = T.StructType(
-    [
-        T.StructField("bucket", T.IntegerType()),
-        T.StructField("block", T.StringType()),
-        T.StructField("keys", T.BinaryType()),
-        T.StructField("counts", T.BinaryType()),
-    ]
-)
-PAIR_REQUEST = T.StructType(
-    [*REQUEST.fields, *[T.StructField(c, T.BinaryType()) for c in ("histories", "places")]]
-)
-PAIR_ANSWER = "bucket int, block string, totals binary, keys binary, arcs binary"
-WORD_ANSWER = "bucket int, block string, totals binary, arcs binary, distinct bigint"
+FOLLOWERS = np.uint64(0xD6E8FEB86659FD93)
 
 
-def bucket_ends(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """Where each bucket, an equal range of the numbers, ends in sorted keys."""
-    tops = [(b << 64) // buckets for b in range(1, buckets)]
-    return np.append(np.searchsorted(keys, np.array(tops, np.uint64)), len(keys))
+def bits_for(n: int) -> int:
+    return min(64, max(1, n).bit_length() + SPARE_BITS)
 
 
-def requests(block: str, keys: np.ndarray, counts: np.ndarray, buckets: int) -> list[dict[str, Any]]:
-    ends = bucket_ends(keys, buckets).tolist()
-    cuts = zip([0, *ends], ends, strict=False)
-    return [
-        {"bucket": b, "block": block, "keys": pack_sorted(keys[s:e]), "counts": pack(counts[s:e])}
-        for b, (s, e) in enumerate(cuts)
-        if e > s
-    ]
+class Block:
+    """The texts of a block, with their pairs of words."""
 
+    def __init__(self, row: dict[str, Any], bits: int) -> None:
+        self.codes = unpack(row["codes"], "u4").astype(np.int64)
+        self.lengths = np.frombuffer(row["lengths"], np.uint32).astype(np.int64)
+        self.train = np.frombuffer(row["train"], np.uint8).astype(bool)
+        self.words = unpack_sorted(row["words"])
+        self.mask = np.uint64((1 << 64) - (1 << (64 - bits)))
+        self.taught = np.repeat(self.train, self.lengths)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.place = np.arange(len(self.codes)) - np.repeat(self.starts, self.lengths)
+        self.second = np.flatnonzero(self.place >= 1)
+        first, self.pair_keys, self.pair_counts, self.pair_of = self.grams(
+            self.second, self.codes[self.second - 1], self.words
+        )
+        self.pair_first = first
 
-def word_requests(blocks: DataFrame, buckets: int) -> DataFrame:
-    arrow = to_arrow_schema(REQUEST)
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                words, counts = unpack_sorted(row["words"]), unpack(row["counts"], "u4")
-                yield pa.RecordBatch.from_pylist(requests(row["block"], words, counts, buckets), arrow)
+    def grams(
+        self, places: np.ndarray, histories: np.ndarray, names: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct (history, word at the place), by key: history, key and training count of each, and which each place has.
 
-    return blocks.select("block", "words", "counts").mapInArrow(run, REQUEST)
+        ``names``: hashes of the histories, by number.
+        """
+        both = (histories.astype(np.uint64) << np.uint64(32)) | self.codes[places].astype(np.uint64)
+        distinct, place = np.unique(both, return_inverse=True)
+        history, word = (distinct >> np.uint64(32)).astype(np.int64), (distinct & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        with np.errstate(over="ignore"):
+            keys = mixed(names[history] * FACTOR + self.words[word]) & self.mask
+        order = np.argsort(keys)
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        counts = np.bincount(place[self.taught[places]], minlength=len(distinct)).astype(np.uint64)
+        return history[order], keys[order], counts[order], rank[place]
+
+    def third(self, pair_totals: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places that two words of a state stand before, and the pair of each."""
+        pair_at = np.full(len(self.codes), -1, np.int64)
+        pair_at[self.second] = self.pair_of
+        places = np.flatnonzero(self.place >= 2)
+        pairs = pair_at[places - 1]
+        often = pair_totals[pairs] >= LEAST_PAIR
+        return places[often], pairs[often]
+
+    def more_keys(
+        self, pair_totals: np.ndarray, pair_owned: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """What the second exchange is asked: sorted keys, their counts, the place of each word and of each triple
+        in them, and which triple each place of ``third`` has."""
+        followers = np.bincount(
+            self.pair_first[pair_owned & (pair_totals > 0)], minlength=len(self.words)
+        ).astype(np.uint64)
+        with np.errstate(over="ignore"):
+            word_keys = mixed(self.words ^ FOLLOWERS) & self.mask
+        _, keys, counts, of = self.grams(*self.third(pair_totals), self.pair_keys)
+        every, place = np.unique(np.concatenate([word_keys, keys]), return_inverse=True)
+        sums = np.zeros(len(every), np.uint64)
+        np.add.at(sums, place, np.concatenate([followers, counts]))
+        return every, sums, place[: len(word_keys)], place[len(word_keys) :], of
 
 
-def state_bits(states: np.ndarray) -> int:
-    return max(20, len(states).bit_length())
+class Automaton:
+    """Root, words and pairs as states, as much of them as a block needs: counts and distinct followers."""
 
+    def __init__(self, tokens: int, kinds: int) -> None:
+        self.tokens, self.kinds = tokens, kinds
 
-def pairs_of(
-    codes: np.ndarray, lengths: np.ndarray, words: np.ndarray, states: np.ndarray
-) -> tuple[np.ndarray, np.ndarray]:
-    """(places of words that follow a state, their pairs): the word's code above, the state's place below."""
-    at = np.minimum(np.searchsorted(states, words), max(len(states) - 1, 0))
-    is_state = states[at] == words if len(states) else np.zeros(len(words), bool)
-    first = np.zeros(len(codes), bool)
-    first[np.cumsum(lengths)[:-1]] = True
-    follows = np.flatnonzero(is_state[codes[:-1]] & ~first[1:]) + 1
-    pairs = (codes[follows].astype(np.uint64) << state_bits(states)) | at[codes[follows - 1]].astype(np.uint64)
-    return follows, pairs
+    def root(self, counts: np.ndarray) -> np.ndarray:
+        """Probability of a word at the root."""
+        return (counts + 1) / (self.tokens + self.kinds + 1)
 
+    def after_word(self, seen: np.ndarray, state: np.ndarray, followers: np.ndarray, shorter: np.ndarray) -> np.ndarray:
+        """``seen``: how often the word followed the state; ``state``: how often the state was left."""
+        arc = np.maximum(seen - DISCOUNT, 0)
+        return np.where(state > 0, (arc + DISCOUNT * followers * shorter) / np.maximum(state, 1), shorter)
 
-def state_of(pairs: np.ndarray, states: np.ndarray) -> np.ndarray:
-    """The place of each pair's state."""
-    return (pairs & np.uint64((1 << state_bits(states)) - 1)).astype(np.int64)
+    def after_pair(self, seen: np.ndarray, state: np.ndarray, shorter: np.ndarray) -> np.ndarray:
+        return (seen + PRIOR * shorter) / (state + PRIOR)
 
+    def read(
+        self, block: Block, counts: np.ndarray, pairs: np.ndarray, followers: np.ndarray, triples: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """log10 probability of each token: at the root alone, and on the way through the states.
 
-def pair_hashes(pairs: np.ndarray, words: np.ndarray, states: np.ndarray) -> np.ndarray:
-    """What a pair is called in all blocks: a hash of its history and its word."""
-    with np.errstate(over="ignore"):
-        return mixed(states[state_of(pairs, states)] * FACTOR + words[pairs >> state_bits(states)])
+        ``counts``, ``followers``: of the block's words; ``pairs``: of its pairs; ``triples``: at each place of ``third``.
+        """
+        alone = self.root(counts.astype(float))[block.codes]
+        there = alone.copy()
+        second, history = block.second, block.codes[block.second - 1]
+        there[second] = self.after_word(
+            pairs[block.pair_of].astype(float),
+            counts[history].astype(float),
+            followers[history].astype(float),
+            alone[second],
+        )
+        third, state = block.third(pairs)
+        there[third] = self.after_pair(triples.astype(float), pairs[state].astype(float), there[third])
+        return np.log10(alone), np.log10(there)
 
 
-def opened(row: dict[str, Any]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """codes, lengths, train (per document) and words of a block."""
-    return (
-        unpack(row["codes"], "u4"),
-        np.frombuffer(row["lengths"], np.uint32).astype(np.int64),
-        np.frombuffer(row["train"], np.uint8).astype(bool),
-        unpack_sorted(row["words"]),
-    )
+ASKED = T.StructType(
+    [T.StructField("sender", T.StringType()), *[T.StructField(c, T.BinaryType()) for c in ("keys", "counts")]]
+)
+CONTENT = ("codes", "lengths", "train", "words")
 
 
-def pair_requests(blocks: DataFrame, buckets: int) -> DataFrame:
-    arrow = to_arrow_schema(PAIR_REQUEST)
+def pair_requests(blocks: DataFrame, bits: int) -> DataFrame:
+    arrow = to_arrow_schema(ASKED)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                codes, lengths, train, words = opened(row)
-                follows, pairs = pairs_of(codes, lengths, words, words)
-                taught = np.repeat(train, lengths)[follows]
-                distinct, place = np.unique(pairs, return_inverse=True)
-                counts = np.bincount(place[taught], minlength=len(distinct)).astype(np.uint32)
-                hashes = pair_hashes(distinct, words, words)
-                order = np.argsort(hashes, kind="stable")
-                history = state_of(distinct, words)[order]
-                out = requests(row["block"], hashes[order], counts[order], buckets)
-                start = 0
-                for r, end in zip(out, sorted(set(bucket_ends(hashes[order], buckets)) - {0}), strict=True):
-                    wanted, places = np.unique(history[start:end], return_inverse=True)
-                    r |= {"histories": pack_sorted(words[wanted]), "places": pack(places.astype(np.uint32))}
-                    start = end
-                yield pa.RecordBatch.from_pylist(out, arrow)
-
-    return blocks.select("block", "codes", "lengths", "train", "words").mapInArrow(run, PAIR_REQUEST)
-
-
-def added(frame: pd.DataFrame) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
-    """For the requests of a bucket: their keys, the distinct ones, these in order, and their sums."""
-    keys = [unpack_sorted(k) for k in frame["keys"]]
-    counts = np.concatenate([unpack(c, "u4") for c in frame["counts"]])
-    distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
-    return keys, distinct, place, np.bincount(place, counts, minlength=len(distinct)).astype(np.uint64)
-
-
-def pair_totals(asked: DataFrame, buckets: int) -> DataFrame:
-    """Answers to every block, and rows without a block: sums of arcs for each bucket of words."""
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("block", ignore_index=True)
-        keys, distinct, place, sums = added(frame)
-        ends = np.cumsum([len(k) for k in keys])
-        bucket = int(frame["bucket"].iloc[0])
-        out: list[tuple[object, ...]] = [
-            (bucket, block, pack(sums[place[e - len(k) : e]]), None, None)
-            for block, k, e in zip(frame["block"], keys, ends, strict=True)
-        ]
-        sides = zip(frame["histories"], frame["places"], strict=True)
-        history = np.empty(len(distinct), np.uint64)
-        history[place] = np.concatenate([unpack_sorted(h)[unpack(p, "u4")] for h, p in sides])
-        kept = sums >= max(1, LEAST_FOLLOWS)
-        states, at = np.unique(history[kept], return_inverse=True)
-        arcs = np.bincount(at, sums[kept].astype(float) - DISCOUNT, minlength=len(states))
-        told = requests("", states, arcs, buckets)
-        out += [(r["bucket"], None, None, r["keys"], r["counts"]) for r in told]
-        return pd.DataFrame(out, columns=["bucket", "block", "totals", "keys", "arcs"])
-
-    return asked.groupBy("bucket").applyInPandas(run, PAIR_ANSWER)
-
-
-def word_totals(asked: DataFrame, arcs: DataFrame) -> DataFrame:
-    """Answers to every block with totals and sums of arcs, and a row with the number of training words."""
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        asks = frame["block"].notna()
-        rows = frame[asks].sort_values("block", ignore_index=True)
-        keys, distinct, place, sums = added(rows)
-        arcs = np.zeros(len(distinct))
-        for k, a in zip(frame.loc[~asks, "keys"], frame.loc[~asks, "arcs"], strict=True):
-            arcs[np.searchsorted(distinct, unpack_sorted(k))] += unpack(a, "f8")  # blocks ask for all their words
-        ends = np.cumsum([len(k) for k in keys])
-        bucket = int(frame["bucket"].iloc[0])
-        out: list[tuple[object, ...]] = []
-        for block, k, e in zip(rows["block"], keys, ends, strict=True):
-            mine = place[e - len(k) : e]
-            out.append((bucket, block, pack(sums[mine]), pack(arcs[mine]), None))
-        out.append((bucket, None, None, None, int((sums > 0).sum())))
-        return pd.DataFrame(out, columns=["bucket", "block", "totals", "arcs", "distinct"])
-
-    none = F.lit(None).cast("binary")
-    both = asked.withColumn("arcs", none).unionByName(arcs.withColumn("counts", none))
-    return both.groupBy("bucket").applyInPandas(run, WORD_ANSWER)
+            for i in range(batch.num_rows):
+                (row,) = batch.slice(i, 1).to_pylist()
+                block = Block(row, bits)
+                told = {
+                    "sender": row["block"],
+                    "keys": pack_sorted(block.pair_keys),
+                    "counts": pack(block.pair_counts),
+                }
+                yield pa.RecordBatch.from_pylist([told], arrow)
 
+    return blocks.select("block", *CONTENT).mapInArrow(run, ASKED)
 
-class Automaton:
-    """Root and states, with the weights of their failure arcs: as much of it as a block needs."""
 
-    def __init__(self, states: np.ndarray, seen: np.ndarray, arcs: np.ndarray, tokens: int, kinds: int):
-        self.states, self.seen = states, seen
-        self.fail = 1 - arcs / np.maximum(seen, 1)
-        self.tokens, self.kinds = tokens, kinds
+def more_requests(blocks: DataFrame, pairs: DataFrame, bits: int) -> DataFrame:
+    """Followers of words, and words after pairs."""
 
-    def root(self, counts: np.ndarray) -> np.ndarray:
-        """Probability of a word at the root."""
-        return (counts + 1) / (self.tokens + self.kinds + 1)
+    def run(key: tuple[str], rows: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+        block = Block(rows.iloc[0].to_dict(), bits)
+        keys, counts, *_ = block.more_keys(joined(told), owned(told))
+        return pd.DataFrame([(key[0], pack_sorted(keys), pack(counts))], columns=ASKED.names)
 
-    def read(
-        self,
-        codes: np.ndarray,
-        lengths: np.ndarray,
-        words: np.ndarray,
-        counts: np.ndarray,
-        followed: np.ndarray,
-    ) -> tuple[np.ndarray, np.ndarray]:
-        """log10 probability of each token: at the root alone, and on the way through the states.
+    given = pairs.select(F.col("sender").alias("to"), "range", "totals")
+    return blocks.select("block", *CONTENT).groupBy("block").cogroup(given.groupBy("to")).applyInPandas(run, ASKED)
 
-        ``followed``: for the distinct pairs of the block, in order, how often they were seen.
-        """
-        alone = self.root(counts.astype(float))[codes]
-        there = alone.copy()
-        follows, pairs = pairs_of(codes, lengths, words, self.states)
-        if len(follows):
-            state = state_of(pairs, self.states)
-            _, place = np.unique(pairs, return_inverse=True)
-            seen = followed[place].astype(float)
-            arc = np.where(seen >= LEAST_FOLLOWS, (seen - DISCOUNT) / self.seen[state], 0.0)
-            there[follows] = arc + self.fail[state] * alone[follows]
-        return np.log10(alone), np.log10(there)
+
+def distinct_words(told: DataFrame) -> int:
+    """How many words were seen in training: each is counted where it is owned."""
+
+    def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            values = [unpack(t, "u8") for t in frame["totals"]]
+            yield pd.DataFrame({"n": [int(((v & np.uint64(1)) == 1)[v > 1].sum()) for v in values]})
+
+    return told.mapInPandas(run, "n long").agg(F.sum("n")).first()[0] or 0
 
 
 def scored(
-    blocks: DataFrame, answers: DataFrame, tokens: int, kinds: int, least: float, id_type: T.DataType
+    blocks: DataFrame, answers: DataFrame, tokens: int, kinds: int, bits: int, id_type: T.DataType
 ) -> DataFrame:
-    """``least``: how often a word must have been seen to be a state."""
+    """``answers``: of all three exchanges, told apart by ``of``."""
     schema = T.StructType(
         [
             T.StructField("id", id_type),
@@ -349,37 +304,29 @@ def scored(
         ]
     )
 
-    def run(block: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
-        row = block.iloc[0].to_dict()
-        codes, lengths, train, words = opened(row)
-        told = told.sort_values(["pairs", "bucket"])
-
-        def answer(pairs: bool, column: str, kind: str) -> np.ndarray:
-            found = [unpack(t, kind) for t in told.loc[told["pairs"] == pairs, column]]
-            return np.concatenate(found) if found else np.zeros(0, kind)
-
-        counts, arcs = answer(False, "totals", "u8"), answer(False, "arcs", "f8")
-        distinct = np.unique(pairs_of(codes, lengths, words, words)[1])
-        followed = np.zeros(len(distinct), np.uint64)
-        followed[np.argsort(pair_hashes(distinct, words, words), kind="stable")] = answer(True, "totals", "u8")
-        is_state = counts >= least
-        followed[~is_state[state_of(distinct, words)]] = 0
-        automaton = Automaton(words, counts, np.where(is_state, arcs, 0), tokens, kinds)
-        alone, there = automaton.read(codes, lengths, words, counts, followed)
-        starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+    def run(rows: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+        row = rows.iloc[0].to_dict()
+        block = Block(row, bits)
+        words, pairs, more = (told[told["of"] == k] for k in ("words", "pairs", "more"))
+        counts, seen, totals_ = joined(words), joined(pairs), joined(more)
+        _, _, word_at, triple_at, of = block.more_keys(seen, owned(pairs))
+        alone, there = Automaton(tokens, kinds).read(
+            block, counts, seen, totals_[word_at], totals_[triple_at][of]
+        )
         return pd.DataFrame(
             {
                 "id": pd.Series(list(row["ids"]), dtype=object),
-                "train": train,
-                "n_tokens": lengths,
-                "n_known": np.add.reduceat((counts > 0)[codes].astype(np.int64), starts),
-                "base_score": np.add.reduceat(alone, starts),
-                "score": np.add.reduceat(there, starts),
+                "train": block.train,
+                "n_tokens": block.lengths,
+                "n_known": np.add.reduceat((counts > 0)[block.codes].astype(np.int64), block.starts),
+                "base_score": np.add.reduceat(alone, block.starts),
+                "score": np.add.reduceat(there, block.starts),
             }
         )
 
-    both = blocks.select("block", "ids", "codes", "lengths", "train", "words").groupBy("block")
-    return both.cogroup(answers.groupBy("block")).applyInPandas(run, schema)
+    both = blocks.select("block", "ids", *CONTENT).groupBy("block")
+    given = answers.select(F.col("sender").alias("to"), "range", "totals", "of")
+    return both.cogroup(given.groupBy("to")).applyInPandas(run, schema)
 
 
 def score(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -389,18 +336,23 @@ def score(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "t
     """
     id_type = docs.schema[doc_id].dataType
     blocks = stored(coded_blocks(docs, doc_id, text, train), "blocks")
-    size = blocks.agg(F.sum("train_tokens").alias("taught"), F.sum("n_tokens").alias("all")).first()
-    tokens = size["taught"] or 0
-    buckets = bins_for(size["all"] or 0, BUCKET_KEYS)
-    pairs = stored(pair_totals(pair_requests(blocks, buckets), buckets), "pairs")
-    arcs = pairs.where(F.col("block").isNull()).select("bucket", "block", "keys", "arcs")
-    words = stored(word_totals(word_requests(blocks, buckets), arcs), "words")
-    kinds = words.agg(F.sum("distinct")).first()[0] or 0
-    answers = words.select("block", "bucket", "totals", "arcs", F.lit(False).alias("pairs")).unionByName(
-        pairs.select(
-            "block", "bucket", "totals", F.lit(None).cast("binary").alias("arcs"), F.lit(True).alias("pairs")
-        )
+    size = blocks.agg(
+        F.count(F.lit(1)).alias("blocks"), F.sum("train_tokens").alias("taught"), F.sum("n_tokens").alias("all")
+    ).first()
+    tokens, every = size["taught"] or 0, size["all"] or 0
+    bits = bits_for(every)
+    words = totals(
+        blocks.select(F.col("block").alias("sender"), F.col("words").alias("keys"), "counts"),
+        size["blocks"],
+        every // 4,
+        "words",
+    )
+    kinds = distinct_words(words)
+    pairs = totals(pair_requests(blocks, bits), size["blocks"], every, "pairs")
+    more = totals(more_requests(blocks, pairs, bits), size["blocks"], every, "more")
+    answers = reduce(
+        DataFrame.unionByName,
+        [t.withColumn("of", F.lit(k)) for k, t in (("words", words), ("pairs", pairs), ("more", more))],
     )
-    answers = answers.where(F.col("block").isNotNull())
-    out = scored(blocks, answers, tokens, kinds, max(1.0, STATE_SHARE * tokens), id_type)
+    out = scored(blocks, answers, tokens, kinds, bits, id_type)
     return out.withColumnRenamed("id", doc_id).withColumn("train_tokens", F.lit(tokens).cast("long"))

@@ -1,4 +1,4 @@
-"""Sums of counts over many senders, told to each sender for its own keys.
+"""Sums of counts over many senders, told to each sender for its own keys, and for each key which sender owns it.
 
 A sender has sorted 64-bit keys with counts and wants, for each of its keys, the sum over all senders. Keys
 are spread evenly over the numbers (hashes, or numbers that were mixed), and go to equal ranges of them. A group adds
@@ -6,7 +6,8 @@ up what at most ``FAN`` senders have in a range. With more senders this takes ro
 is sent on like that of a sender, to groups of ``FAN`` groups and to finer ranges; the answers come back the same way. So each
 sender and each group sends at most ``FAN`` rows, and the rows grow with the senders, not with their square.
 A group is never larger than what ``FAN`` senders have in one range, and a key that all senders have is
-one number of each.
+one number of each. Each key has one owner among the senders that have it, so that a sum over all senders can
+count a key once.
 """
 
 from __future__ import annotations
@@ -79,37 +80,43 @@ def first_rows(asked: DataFrame, batches: int, ranges: int) -> DataFrame:
     return asked.select("sender", "keys", "counts").mapInPandas(run, ROW)
 
 
-def added(frame: pd.DataFrame) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
-    """The keys of each row, the distinct ones, the places of all in these, and their sums."""
+def added(frame: pd.DataFrame) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The keys of each row, the distinct ones, where each first is, the places of all in them, and their sums."""
     keys = [unpack_sorted(k) for k in frame["keys"]]
     counts = np.concatenate([unpack(c, "u8") for c in frame["counts"]])
-    distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
+    distinct, first, place = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
     sums = np.zeros(len(distinct), np.uint64)
     np.add.at(sums, place, counts)
-    return keys, distinct, place, sums
+    return keys, distinct, first, place, sums
 
 
 def sent_on(rows: DataFrame, ranges: int, level: int) -> DataFrame:
     """What each group has added up, to the groups of the next round."""
 
     def run(key: tuple[str], frame: pd.DataFrame) -> pd.DataFrame:
-        _, distinct, _, sums = added(frame)
+        _, distinct, _, _, sums = added(frame)
         out = cut(key[0], distinct, sums, ranges, int(frame["batch"].iloc[0]) // FAN, level)
         return pd.DataFrame(out, columns=["sender", "address", "batch", "range", "keys", "counts"])
 
     return rows.groupBy("address").applyInPandas(run, ROW)
 
 
-def told(frame: pd.DataFrame, keys: list[np.ndarray], place: np.ndarray, totals: np.ndarray) -> pd.DataFrame:
+def told(
+    frame: pd.DataFrame, keys: list[np.ndarray], first: np.ndarray, place: np.ndarray, values: np.ndarray
+) -> pd.DataFrame:
+    """An answer for each row. ``values``: twice the sum of each distinct key, and one more if it is owned here."""
+    mine = values[place] & ~np.uint64(1)
+    mine[first] = values
     ends = np.cumsum([len(k) for k in keys])
-    found = [pack(totals[place[e - len(k) : e]]) for k, e in zip(keys, ends, strict=True)]
+    found = [pack(mine[e - len(k) : e]) for k, e in zip(keys, ends, strict=True)]
     return pd.DataFrame({"sender": frame["sender"], "range": frame["range"], "totals": found})
 
 
 def first_answers(rows: DataFrame) -> DataFrame:
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        keys, _, place, sums = added(frame)
-        return told(frame, keys, place, sums)
+        frame = frame.sort_values("sender", ignore_index=True)
+        keys, _, first, place, sums = added(frame)
+        return told(frame, keys, first, place, 2 * sums + np.uint64(1))
 
     return rows.groupBy("address").applyInPandas(run, ANSWER)
 
@@ -118,20 +125,31 @@ def told_back(rows: DataFrame, answers: DataFrame) -> DataFrame:
     """Answers to the groups, handed to those that sent to them."""
 
     def run(frame: pd.DataFrame, above: pd.DataFrame) -> pd.DataFrame:
-        keys, _, place, _ = added(frame)
-        return told(frame, keys, place, joined(above))
+        frame = frame.sort_values("sender", ignore_index=True)
+        keys, _, first, place, _ = added(frame)
+        return told(frame, keys, first, place, answered(above))
 
     given = answers.select(F.col("sender").alias("group"), F.col("range").alias("part"), "totals")
     return rows.groupBy("address").cogroup(given.groupBy("group")).applyInPandas(run, ANSWER)
 
 
-def joined(answers: pd.DataFrame) -> np.ndarray:
-    """The totals of one sender, in the order of its keys."""
+def answered(answers: pd.DataFrame) -> np.ndarray:
+    """What one sender was told, in the order of its keys: twice the totals, and one more for keys it owns."""
     by = "range" if "range" in answers else "part"
     parts = [unpack(t, "u8") for t in answers.sort_values(by)["totals"]]
     return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
 
 
+def joined(answers: pd.DataFrame) -> np.ndarray:
+    """The totals of one sender, in the order of its keys."""
+    return answered(answers) >> np.uint64(1)
+
+
+def owned(answers: pd.DataFrame) -> np.ndarray:
+    """Which of its keys one sender owns."""
+    return (answered(answers) & np.uint64(1)).astype(bool)
+
+
 def totals(asked: DataFrame, n_senders: int, n_keys: int, label: str) -> DataFrame:
     """(sender, range, totals), stored: ``joined`` makes one list of a sender's rows.
 
@@ -139,7 +157,8 @@ def totals(asked: DataFrame, n_senders: int, n_keys: int, label: str) -> DataFra
     """
     ranges, batches, level = bins_for(n_keys, RANGE_KEYS), bins_for(n_senders, FAN), 0
     wide = FAN
-    rounds = [stored(first_rows(asked, batches, min(wide, ranges)), label)]
+    sent = first_rows(asked, batches, min(wide, ranges))
+    rounds = [stored(sent, label) if batches > 1 else sent]
     while batches > 1:
         wide, level, batches = wide * FAN, level + 1, bins_for(batches, FAN)
         rounds.append(stored(sent_on(rounds[-1], min(wide, ranges), level), label))
