@@ -66,9 +66,9 @@ def test_given_documents(spark, monkeypatch, block, keys, fan):
 
 
 def test_requests_grow_with_the_blocks(spark, monkeypatch):
-    """Four times the blocks make four times the rows, not sixteen times: a block sends a bounded number."""
+    """Four times the blocks make about four times the rows (and a round more), not sixteen times."""
     monkeypatch.setattr(totals, "FAN", 4)
-    monkeypatch.setattr(totals, "RANGE_KEYS", 500)
+    monkeypatch.setattr(totals, "RANGE_KEYS", 50)
     sent = []
     rows_of = totals.stored
 
@@ -88,7 +88,7 @@ def test_requests_grow_with_the_blocks(spark, monkeypatch):
         keys = blocks.selectExpr("block AS sender", "words AS keys", "counts")
         totals.totals(keys, n, n * 30, "test").count()
         found[n] = sum(sent)
-    assert 20 < found[20] and found[80] <= 6 * found[20]
+    assert 4 * 20 <= found[20] and found[80] <= 8 * found[20]
 
 
 def test_odd_rows(spark):
@@ -170,12 +170,12 @@ def test_a_pair_seen_once_scores_better_than_one_never_seen(spark):
 
 
 def test_a_text_that_occurs_twice_stands_apart(spark):
-    """Its words follow pairs that were seen twice, which is hardly ever so elsewhere."""
-    docs = given(spark, "documents", "/root/testdata/sf0.01").where("n_chars between 800 and 3000").limit(150)
-    docs = docs.select("doc_id", "text").dropDuplicates(["text"])
-    twice = docs.where("doc_id % 10 = 3")
-    told = M.score(docs.unionByName(twice.selectExpr("doc_id + 100000 AS doc_id", "text")), F.lit(True)).collect()
+    """Its words follow pairs that were seen twice, which is rare elsewhere."""
+    dice = np.random.default_rng(6)
+    texts = [" ".join(f"w{int(k)}" for k in dice.zipf(1.3, 150) % 3000) for _ in range(300)]
+    rows = list(enumerate(texts + texts[:30]))
+    told = M.score(spark.createDataFrame(rows, "doc_id long, text string"), F.lit(True)).collect()
     per = {r["doc_id"]: r["score"] / r["n_tokens"] for r in told}
-    again = [v for k, v in per.items() if k % 10 == 3]
-    once = sorted(v for k, v in per.items() if k % 10 != 3)
-    assert len(again) > 10 and sum(v > once[int(0.95 * len(once))] for v in again) > 0.8 * len(again)
+    again = [v for k, v in per.items() if k < 30 or k >= 300]
+    once = sorted(v for k, v in per.items() if 30 <= k < 300)
+    assert len(again) == 60 and sum(v > once[int(0.95 * len(once))] for v in again) > 0.9 * len(again)
