@@ -30,8 +30,11 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from shoplake.llm.common import cached, slices, small_batches
 
-#: Words kept with their ids by one worker; beyond it the worker starts afresh.
-CACHED_WORDS = 200_000
+#: Bytes of words kept with their ids by one worker, about; beyond it the worker starts afresh. Texts without blanks are
+#: single words of any length, so bytes are counted, not words.
+CACHED_BYTES = 48 * 1024 * 1024
+#: What a word takes beside its letters, and what each letter takes with its share of the ids.
+WORD_BYTES, LETTER_BYTES = 150, 6
 #: A tokenizer file is a few MB; anything beyond this isn't one and is not broadcast.
 MAX_FILE_BYTES = 64 * 1024 * 1024
 
@@ -129,6 +132,7 @@ class Codec:
             t: np.array([i], "<u4").tobytes() for t, i in self.special.items()
         }
         self.fixed = dict(self.known)
+        self.held = 0
         self.merged_words = 0
 
     def merged(self, word: bytes) -> list[int]:
@@ -268,12 +272,13 @@ class Codec:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         cut = [self.words(t) for t in texts]
         used = set().union(*cut)
-        if len(self.known) + len(used) > CACHED_WORDS:
-            self.known = dict(self.fixed)
         new = list(used - self.known.keys())
         if new:
             self.learn(new)
+            self.held += WORD_BYTES * len(new) + LETTER_BYTES * sum(map(len, new))
         known = self.known
+        if self.held > CACHED_BYTES:
+            self.known, self.held = dict(self.fixed), 0
         return [b"".join([known[w] for w in ws]) for ws in cut]
 
     def decode(self, packed: bytes) -> str:

@@ -124,6 +124,16 @@ def bins_for(amount: float, per_bin: float) -> int:
     return max(1, math.ceil(amount / per_bin))
 
 
+def under_private_names(
+    docs: DataFrame, columns: Sequence[str], run: Callable[..., DataFrame]
+) -> DataFrame:
+    """``run(docs, *columns)`` where all columns have names that clash with none; its rows come back under the given ones."""
+    names = docs.columns
+    private = [f"given{k}" for k in range(len(names))]
+    made = run(docs.toDF(*private), *[private[names.index(c)] for c in columns])
+    return made.select(*private).toDF(*names)
+
+
 def map_batches(
     df: DataFrame, run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType
 ) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from shoplake.llm.common import bins_for, cached, slices, small_batches, stored
+from shoplake.llm.common import bins_for, cached, slices, small_batches, stored, under_private_names
 
 #: Text bytes of the items in one automaton: some 50 MB of it are broadcast.
 BLOCK_BYTES = 4 * 1024 * 1024
@@ -310,9 +310,11 @@ def decontaminate(
 ) -> DataFrame:
     """Documents without those over the coverage limit; in the others, hit spans are cut out.
 
-    A clean document stays as it is, byte for byte.
+    A clean document stays as it is, byte for byte, and all given columns do, whatever their names are.
     """
-    matched = match_items(docs, items, window, text, clean=True, **names)
-    taken = {f.name.lower() for f in RESULTS.fields}
-    kept = judged(matched, coverage_percent).where(~F.col("contaminated"))
-    return kept.select(*[f"`{c}`" for c in docs.columns if c.lower() not in taken])
+
+    def judge(rows: DataFrame, content: str) -> DataFrame:
+        matched = match_items(rows, items, window, content, clean=True, **names)
+        return judged(matched, coverage_percent).where(~F.col("contaminated"))
+
+    return under_private_names(docs, [text], judge)

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from shoplake.llm.common import bins_for, join_small, slices, small_batches, stored
+from shoplake.llm.common import bins_for, join_small, slices, small_batches, stored, under_private_names
 from shoplake.llm.components import components
 from shoplake.llm.decontaminate import words_of
 
@@ -406,8 +406,12 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **s
     """The documents without those that are in the class of a document with a lesser id.
 
     If the least id of a class has several rows, the one with the least text stays, then the
-    least of the other columns. Documents without words stay.
+    least of the other columns. Documents without words stay. The given columns may have any names.
     """
+    return under_private_names(docs, [doc_id, text], lambda rows, i, t: _one_of_each(rows, i, t, **settings))
+
+
+def _one_of_each(docs: DataFrame, doc_id: str, text: str, **settings: float) -> DataFrame:
     told = classes(docs, doc_id, text, **settings)
     wordy = told.where(F.col("set_key").isNotNull())
     extra = wordy.where(~F.col(doc_id).eqNullSafe(F.col("class_id"))).select(doc_id, "class_id")

@@ -70,7 +70,7 @@ def test_compatible_pairs_are_those_that_stay_apart(codec):
 
 
 def test_a_full_cache_changes_nothing(spark, monkeypatch, library):
-    monkeypatch.setattr(bpe, "CACHED_WORDS", 50)
+    monkeypatch.setattr(bpe, "CACHED_BYTES", 50 * 200)
     small = bpe.Codec(bpe.read_tokenizer(PATH))
     for row in given(spark, "documents").limit(20).collect():
         assert unpacked(small.encode([row["text"]])[0]) == library.encode(row["text"]).ids
@@ -87,3 +87,14 @@ def test_odd_rows(spark):
         assert r["ids_sha256"] == hashlib.sha256(packed).hexdigest()
         assert r["decoded_sha256"] == hashlib.sha256(r["decoded"].encode()).hexdigest()
     assert bpe.encode_decode(empty_documents(spark), PATH).collect() == []
+
+
+def test_the_cache_is_bounded_in_bytes(monkeypatch):
+    """Texts without blanks are words of any length; results do not depend on what is kept."""
+    content = bpe.read_tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["x" + f"{k:04d}" * 500 for k in range(60)]
+    free = bpe.Codec(content).encode(texts)
+    monkeypatch.setattr(B, "CACHED_BYTES", 50_000)
+    codec = bpe.Codec(content)
+    assert [codec.encode([t])[0] for t in texts] == free
+    assert sum(len(w) for w in codec.known.keys() - codec.fixed.keys()) * bpe.LETTER_BYTES <= 50_000

@@ -110,3 +110,17 @@ def test_spans_are_cut_and_clean_texts_stay(spark):
     docs = spark.createDataFrame(rows, odd_documents(spark).schema)
     kept = {r["doc_id"]: r["text"] for r in D.decontaminate(docs, items).collect()}
     assert kept == {2: f"{filler}. ! End.", 3: rows[2][1], 4: None}
+
+
+def test_given_columns_stay_whatever_their_names(spark):
+    rows = spark.createDataFrame(
+        [(1, "clean words only", 7, True, "s", "x"), (2, ITEM_OF_CLASHES, 8, False, "s", "y")],
+        "doc_id long, text string, n_items int, contaminated boolean, spans string, `a.b` string",
+    )
+    items = spark.createDataFrame([(5, ITEM_OF_CLASHES)], "item_id long, text string")
+    kept = D.decontaminate(rows, items)
+    assert kept.columns == rows.columns
+    assert [tuple(r) for r in kept.collect()] == [(1, "clean words only", 7, True, "s", "x")]
+
+
+ITEM_OF_CLASHES = " ".join(f"item{k}" for k in range(20))

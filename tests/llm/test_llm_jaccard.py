@@ -5,7 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from llm_cases import ODD, clashing, empty_documents, given, odd_documents
+from llm_cases import ODD, PROSE, clashing, empty_documents, given, odd_documents
 
 from shoplake.llm import jaccard as J
 from shoplake.llm.components import components
@@ -161,3 +161,15 @@ def test_wordless_rows_of_a_dropped_id_stay(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     kept = [tuple(r) for r in J.one_of_each(docs).collect()]
     assert sorted(kept, key=repr) == sorted([(1, copy), (2, "..."), (3, "other words"), (None, "!!")], key=repr)
+
+
+def test_one_of_each_with_clashing_names(spark):
+    """Repeated ids, and columns called like those that tell them apart."""
+    names = "doc_id long, text string, _again string, _set string, _id string, class_key string, `a.b` string"
+    rows = [(1, PROSE, *"abcde"), (1, PROSE, *"abcdf"), (2, PROSE, *"abcde"), (3, None, *"abcde"), (1, "", *"zzzzz")]
+    docs = spark.createDataFrame(rows, names)
+    kept = J.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r["doc_id"], r["text"] or "", r["a.b"]) for r in kept.collect()) == [
+        (1, "", "z"), (1, PROSE, "e"), (3, "", "e"),
+    ]
