@@ -94,7 +94,7 @@ def test_the_cache_is_bounded_in_bytes(monkeypatch):
     content = bpe.read_tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
     texts = ["x" + f"{k:04d}" * 500 for k in range(60)]
     free = bpe.Codec(content).encode(texts)
-    monkeypatch.setattr(B, "CACHED_BYTES", 50_000)
+    monkeypatch.setattr(bpe, "CACHED_BYTES", 50_000)
     codec = bpe.Codec(content)
     assert [codec.encode([t])[0] for t in texts] == free
     assert sum(len(w) for w in codec.known.keys() - codec.fixed.keys()) * bpe.LETTER_BYTES <= 50_000
