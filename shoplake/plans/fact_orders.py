@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -80,11 +80,14 @@ def in_files(facts: DataFrame) -> tuple[DataFrame, DataFrame]:
     spark = facts.sparkSession
     path = scratch_dir(spark, "facts")
     numbered = facts.withColumns({HASH: F.xxhash64(*facts.columns), COPY: F.monotonically_increasing_id()})
-    numbered.write.parquet(path)
+    seen = Observation()
+    numbered.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
     rows = spark.read.schema(numbered.schema).parquet(path)
-    total = rows.count()
+    total = seen.get["rows"]
     files = n_files(spark, total)
-    days = counted_days(rows, total / files)
+    counted, place_of_days = counted_days(rows, total / files), scratch_dir(spark, "days")
+    counted.coalesce(1).write.parquet(place_of_days)
+    days = spark.read.schema(counted.schema).parquet(place_of_days)
     part = F.shiftrightunsigned(HASH, 58)
     repeated = F.array_contains("often", part)
     bits = F.shiftrightunsigned(F.when(repeated, F.xxhash64(HASH, COPY)).otherwise(F.col(HASH)), 11)
@@ -92,7 +95,7 @@ def in_files(facts: DataFrame) -> tuple[DataFrame, DataFrame]:
     file = F.least(F.floor(place * F.lit(files / max(total, 1))).cast("int"), F.lit(files - 1))
     dealt = rows.join(F.broadcast(days), day_of(PURCHASED_AT).eqNullSafe(days["day"]))
     dealt = dealt.withColumn(FILE, file).select(*rows.columns, FILE)
-    return dealt.repartitionById(files, FILE).sortWithinPartitions(PURCHASED_AT, HASH, COPY), days
+    return dealt.repartitionById(files, FILE).sortWithinPartitions(PURCHASED_AT), days
 
 
 def counted_days(rows: DataFrame, per_file: float) -> DataFrame:
