@@ -70,7 +70,7 @@ def run_bounded(
             for query in queries:
                 log.take(query)
         ended = not active
-        log.caught_up = not any(q.status["isDataAvailable"] or q.status["isTriggerActive"] for q in active)
+        log.caught_up = not any(q.status["isDataAvailable"] for q in active)
         for query in queries:
             if not query.isActive:
                 query.awaitTermination(1)  # raises if the query failed
