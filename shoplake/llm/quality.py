@@ -6,12 +6,13 @@ documents are grown one condition at a time on two thirds of the rows, pruned on
 and their documents are removed before the next rule is sought. What comes out is an ordered
 list that reads like ``n_symbols / n_words >= 0.41 -> drop`` and runs as one conditional expression.
 
-The learner takes at most about ``LEARN_ROWS`` labelled rows, picked by a hash of their id; that
-bound is a parameter. Everything else covers all rows.
+The learner takes at most ``LEARN_ROWS`` different labelled rows, picked by hashes of their ids and statistics;
+that bound is a parameter. Everything else covers all rows.
 
 Defined results: NULL and empty texts have no words and fail the base rule; ratios of texts without
 words are 0; without labels of both kinds no rule is learned and only the base rule drops;
-repeated rows are judged alike. Windows are compared by a 64-bit hash of their eight words.
+repeated rows are judged alike and teach once; an id whose labels disagree teaches nothing. Other columns are
+kept unless a result has the same name. Windows are compared by a 64-bit hash of their eight words.
 """
 
 from __future__ import annotations
@@ -25,9 +26,10 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shoplake.llm.common import join_small, named, stored
 from shoplake.llm.secret_scan import let
 
-#: Labelled rows the driver learns from, about; see ``labelled_sample``.
+#: Most labelled rows the driver learns from; see ``labelled_sample``.
 LEARN_ROWS = 20_000
 #: Thresholds tried for a statistic.
 CUTS = 40
@@ -230,22 +232,36 @@ def learn(values: np.ndarray, bad: np.ndarray) -> list[Rule]:
     return rules
 
 
+def hashed_share(share: float, *columns: str) -> Column:
+    """Whether a hash of the columns falls into this share of all hashes."""
+    return F.pmod(F.xxhash64(*columns), F.lit(1 << 30)) < int(share * (1 << 30))
+
+
 def labelled_sample(
     counted: DataFrame, labels: DataFrame, doc_id: str, label: str, rows: int
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Statistics and badness (label 0) of about ``rows`` labelled rows, in the order of a hash."""
-    marked = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).select(
-        F.col(doc_id).alias("labelled_id"), (F.col(label) == 0).alias("bad")
+    """Statistics and badness (label 0) of at most ``rows`` labelled rows, in the order of a hash.
+
+    Ids are picked first, so that only their rows are joined. Equal rows count as one. An id that very many different rows
+    share brings a share of them, and no id brings more than ``rows`` to the driver.
+    """
+    bad = F.col(named(label)) == 0
+    known = labels.where(bad.isNotNull() & F.col(named(doc_id)).isNotNull())
+    marked = known.groupBy(F.col(named(doc_id)).alias("labelled_id")).agg(
+        F.min(bad).alias("bad"), F.max(bad).alias("also")
     )
+    marked = stored(marked.where(F.col("bad") == F.col("also")).drop("also"), "labels")
     share = min(1.0, rows / max(1, marked.count()))
-    picked = marked.where(
-        F.pmod(F.xxhash64("labelled_id"), F.lit(1 << 30)) < int(share * (1 << 30))
+    picked = stored(marked.where(hashed_share(share, "labelled_id")), "picked")
+    asked = counted.select(
+        F.col(named(doc_id)).alias("labelled_id"), *[statistic(s).alias(s) for s in STATISTICS]
     )
-    joined = counted.join(picked, F.col(doc_id) == F.col("labelled_id"))
-    found = joined.select(
-        F.xxhash64("labelled_id").alias("h"), "bad", *[statistic(s).alias(s) for s in STATISTICS]
-    ).collect()
-    found.sort(key=tuple)
+    key = ["labelled_id", *STATISTICS]
+    taught = stored(join_small(asked, picked, ["labelled_id"], "inner").select(*key, "bad").distinct(), "taught")
+    # somewhat more than are asked for, so that few rows are sorted
+    share = min(1.0, 1.2 * rows / max(1, taught.count()))
+    least = taught.where(hashed_share(share, *key)).select(F.xxhash64(*key).alias("h"), "bad", *STATISTICS)
+    found = least.orderBy("h", "bad", *STATISTICS).limit(rows).collect()
     values = np.array([r[2:] for r in found], float).reshape(len(found), len(STATISTICS))
     return values, np.array([r["bad"] for r in found], bool)
 

@@ -66,8 +66,7 @@ def test_learns_a_planted_rule():
 @pytest.mark.parametrize("bad", [np.zeros(50, bool), np.ones(50, bool)])
 def test_labels_of_one_kind(bad):
     values = np.random.Generator(np.random.Philox(1)).random((50, len(Q.STATISTICS)))
-    if not bad.any():
-        assert Q.learn(values, bad) == []
+    assert Q.learn(values, bad) == []
 
 
 def test_conditions_are_the_rules(spark):
@@ -103,5 +102,34 @@ def test_odd_rows(spark):
         assert r["base_failed"] == (n[0] < 20 or 100 * n[4] > 30 * n[0])
         assert r["kept"] != r["base_failed"]
     repeated = spark.createDataFrame([(7, 0, 0), (7, 0, 0), (None, 1, 0), (5, None, 0)], no_labels.schema)
-    assert Q.learn_rules(counted, repeated) in ([], Q.learn_rules(counted, repeated))
+    values, bad = Q.labelled_sample(counted, repeated, "doc_id", "quality", 100)
+    assert values.shape == (1, len(Q.STATISTICS)) and bad.tolist() == [True]
+    assert Q.learn_rules(counted, repeated) == []
+    disagreeing = spark.createDataFrame([(7, 0, 0), (7, 1, 0), (5, 1, 0)], no_labels.schema)
+    assert Q.labelled_sample(counted, disagreeing, "doc_id", "quality", 100)[1].tolist() == [False]
     assert Q.judged(Q.with_counts(empty_documents(spark)), rules).collect() == []
+
+
+def test_columns_called_like_those_of_the_sample(spark):
+    folder = "/root/testdata/sf0.01"
+    docs, labels = given(spark, "documents", folder), given(spark, "labels", folder)
+    rules = Q.learn_rules(Q.with_counts(docs), labels)
+    clash = Q.with_counts(clashing(docs, "bad", "labelled_id", "h", "symbols_per_word", "a.b"))
+    assert rules and Q.learn_rules(clash, clashing(labels, "bad", "labelled_id", "also", "a.b")) == rules
+    assert "a.b" in Q.judged(clash, rules).columns
+
+
+@pytest.mark.parametrize("n_ids", [1, 3000])
+def test_a_bounded_sample(spark, n_ids):
+    """Whether one id has all the rows and labels, or each row an id of its own."""
+    rows = [(k % n_ids, "word " * (k + 20)) for k in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame([(k % n_ids, 0) for k in range(3000)], "doc_id long, quality int")
+    counted = stored(Q.with_counts(docs), "test")
+    for asked in (500, 2900, 5000):
+        values, bad = Q.labelled_sample(counted, marks, "doc_id", "quality", asked)
+        assert len(values) == len(bad) <= asked and bad.all()
+        assert len(values) >= 0.85 * min(asked, 3000)
+        assert len(np.unique(values, axis=0)) == len(values)
+        again = Q.labelled_sample(counted.repartition(7), marks, "doc_id", "quality", asked)[0]
+        assert (values == again).all()
