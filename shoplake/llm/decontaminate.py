@@ -7,7 +7,11 @@ only place where a window can lie, so everything else is skipped with array oper
 
 The items are the small side: they are read in blocks of bounded size, an automaton is built for
 each block and broadcast, and each block passes over the documents where they lie, without a
-shuffle. Hot sources, copies and long documents only matter to the task that reads them.
+shuffle. Hot sources, copies and long documents only matter to the task that reads them. An item that is
+longer than a block is cut into pieces that share ``window`` - 1 words, so that each window lies in one.
+
+One block is a map of the documents. With more of them, documents are stored once with numbers; a pass then
+reads their texts and writes only what it hit, and the hits of all passes are joined back at the end.
 
 Defined results: NULL and empty texts have no words, so they are never hit; items without words
 are ignored; items that share an id count as one item, and so do all items whose id is NULL
@@ -19,7 +23,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
 import numpy as np
@@ -29,10 +33,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from shoplake.llm.common import bins_for, cached, slices, small_batches, stored, under_private_names
+from shoplake.config import scratch_dir
+from shoplake.llm.common import (
+    bins_for,
+    cached,
+    join_small,
+    map_batches,
+    named,
+    slices,
+    small_batches,
+    stored,
+    under_private_names,
+    unused,
+)
 
 #: Text bytes of the items in one automaton: some 50 MB of it are broadcast.
 BLOCK_BYTES = 4 * 1024 * 1024
+#: An item is cut into pieces of about this share of a block.
+PIECES_PER_BLOCK = 32
 
 #: Lower-cases A-Z and blanks everything that is no word character; bytes beyond ASCII are.
 WORD_BYTES = bytes(
@@ -196,20 +214,59 @@ RESULTS = T.StructType(
 )
 
 
-def item_blocks(
-    items: DataFrame, item_id: str, text: str, block_bytes: int
-) -> Iterator[tuple[bool, list[tuple[str, list[bytes]]]]]:
-    """(whether it is the last, the items as words) in blocks of about ``block_bytes`` of text."""
-    named = items.select(
-        F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("name"),
-        F.coalesce(F.col(text), F.lit("")).alias("words"),
+Found = tuple[int, list[tuple[int, int]], list[str]]
+
+
+def cut_item(words: list[bytes], window: int, piece_bytes: int) -> Iterator[list[bytes]]:
+    """Pieces of about this size, or of ``window`` words if these are longer, that have all windows of an item."""
+    start = 0
+    while words:
+        end, held = start, 0
+        while end < len(words) and (held < piece_bytes or end - start < window):
+            held += len(words[end]) + 1
+            end += 1
+        yield words[start:end]
+        if end == len(words):
+            return
+        start = end - window + 1
+
+
+def item_pieces(items: DataFrame, item_id: str, text: str, window: int, piece_bytes: int) -> DataFrame:
+    """(name, words) of all items with words, cut to pieces; equal ones are one row."""
+    schema = T.StructType.fromDDL("name string, words string")
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "words"):
+            names, pieces = [], []
+            for name, t in zip(part.column("name").to_pylist(), part.column("words").to_pylist(), strict=True):
+                for piece in cut_item(words_of(t), window, piece_bytes):
+                    names.append(name)
+                    pieces.append(b" ".join(piece).decode())
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(pieces, pa.string())], schema=arrow)
+
+    told = small_batches(items).select(
+        F.coalesce(F.col(named(item_id)).cast("string"), F.lit("")).alias("name"), F.col(named(text)).alias("words")
     )
-    size = named.agg(F.sum(F.octet_length("words") + 64)).first()[0] or 0
+    return told.mapInArrow(run, schema).distinct()
+
+
+def item_blocks(
+    items: DataFrame, item_id: str, text: str, window: int, block_bytes: int
+) -> tuple[int, Iterator[list[tuple[str, list[bytes]]]]]:
+    """How many blocks there are, and the items of each as words, about ``block_bytes`` of text."""
+    piece_bytes = max(1, block_bytes // PIECES_PER_BLOCK)
+    pieces = stored(item_pieces(items, item_id, text, window, piece_bytes), "items")
+    size = pieces.agg(F.sum(F.octet_length("words") + 64)).first()[0] or 0
     n = bins_for(2 * size if size > block_bytes else size, block_bytes)
-    for k in range(n):
-        block = F.pmod(F.xxhash64("name", "words"), F.lit(n)) == k
-        rows = named.where(block).distinct().orderBy("name", "words").collect()
-        yield k == n - 1, [(r["name"], words_of(r["words"])) for r in rows]
+
+    def blocks() -> Iterator[list[tuple[str, list[bytes]]]]:
+        for k in range(n):
+            block = pieces.where(F.pmod(F.xxhash64("name", "words"), F.lit(n)) == k)
+            rows = block.orderBy("name", "words").collect()
+            yield [(r["name"], words_of(r["words"])) for r in rows]
+
+    return n, blocks()
 
 
 def match_items(
@@ -228,65 +285,109 @@ def match_items(
     """
     names = {f.name.lower() for f in RESULTS.fields}
     kept = [f for f in docs.schema.fields if f.name.lower() not in names]
-    schema = T.StructType(kept + RESULTS.fields)
-    arrow = to_arrow_schema(schema)
-    out = small_batches(docs).select(*[f"`{f.name}`" for f in kept])
+    given = small_batches(docs).select(*[named(f.name) for f in kept])
     sc = docs.sparkSession.sparkContext
-    blocks = 0
-    for last, block in item_blocks(items, item_id, item_text, block_bytes):
-        if blocks:
-            out = stored(out, "decontaminate")
-        step = matcher(sc.broadcast(block), window, text, kept, arrow, blocks == 0, clean and last)
-        out = out.mapInArrow(step, schema)
-        blocks += 1
-    return out
+    n, blocks = item_blocks(items, item_id, item_text, window, block_bytes)
+    if n == 1:
+        found = finder(sc.broadcast(next(blocks)), window)
+
+        def at_once(part: pa.RecordBatch, texts: list[str | None]) -> list[Found]:
+            return [found(words_of(t)) for t in texts]
+
+        return with_results(given, kept, text, at_once, clean)
+    row = unused([*given.columns, *names], "row_")
+    numbered = stored(given.withColumn(row, F.monotonically_increasing_id()), "decontaminate")
+    hits = numbered_hits(numbered.select(F.col(row).alias("row"), F.col(named(text)).alias("text")), blocks, window)
+    together = hits.groupBy(F.col("row").alias(row)).agg(
+        F.flatten(F.collect_list("spans")).alias("spans"),
+        F.array_distinct(F.flatten(F.collect_list("item_ids"))).alias("item_ids"),
+    )
+    joined = join_small(numbered, stored(together, "hits"), [row], "left").drop(row)
 
+    def joined_hits(part: pa.RecordBatch, texts: list[str | None]) -> list[Found]:
+        spans, ids = (part.column(c).to_pylist() for c in ("spans", "item_ids"))
+        return [
+            (len(words_of(t)), merge([(p["start"], p["end"]) for p in s or []]), sorted(i or []))
+            for t, s, i in zip(texts, spans, ids, strict=True)
+        ]
 
-def matcher(
-    shared: Any,
-    window: int,
-    text: str,
+    return with_results(joined, kept, text, joined_hits, clean)
+
+
+def finder(shared: Any, window: int) -> Callable[[list[bytes]], Found]:
+    """A function that finds the windows of one broadcast block in the words of a text."""
+    key = ("decontaminate", uuid.uuid4().hex)
+
+    def run(words: list[bytes]) -> Found:
+        automaton = cached(key, lambda: SuffixAutomaton(shared.value, window))
+        spans, items = automaton.hits(words)
+        return len(words), spans, sorted(automaton.names[k] for k in items)
+
+    return run
+
+
+def numbered_hits(
+    texts: DataFrame, blocks: Iterable[list[tuple[str, list[bytes]]]], window: int
+) -> DataFrame:
+    """(row, spans, item_ids) of the texts that a block hits, written block by block."""
+    spark = texts.sparkSession
+    schema = T.StructType([T.StructField("row", T.LongType()), *RESULTS.fields[2:]])
+    arrow = to_arrow_schema(schema)
+    path = scratch_dir(spark, "block-hits")
+
+    def matcher(found: Callable[[list[bytes]], Found]) -> Any:
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part in slices(batches):
+                hit = []
+                for row, t in zip(part.column("row").to_pylist(), part.column("text").to_pylist(), strict=True):
+                    _, spans, ids = found(words_of(t))
+                    if spans:
+                        hit.append({"row": row, "spans": as_structs(spans), "item_ids": ids})
+                yield pa.RecordBatch.from_pylist(hit, schema=arrow)
+
+        return run
+
+    for block in blocks:
+        shared = spark.sparkContext.broadcast(block)
+        texts.mapInArrow(matcher(finder(shared, window)), schema).write.mode("append").parquet(path)
+        shared.destroy()
+    return spark.read.schema(schema).parquet(path)
+
+
+def as_structs(spans: list[tuple[int, int]]) -> list[dict[str, int]]:
+    return [{"start": a, "end": b} for a, b in spans]
+
+
+def with_results(
+    rows: DataFrame,
     kept: list[T.StructField],
-    arrow: pa.Schema,
-    first: bool,
+    text: str,
+    find: Callable[[pa.RecordBatch, list[str | None]], list[Found]],
     clean: bool,
-) -> Any:
-    """One pass over the documents; passes after the first add to what was found."""
-    key = ("decontaminate", uuid.uuid4().hex)
+) -> DataFrame:
+    """The kept columns of all rows with the results that ``find`` has for each."""
+    schema = T.StructType(kept + RESULTS.fields)
+    arrow = to_arrow_schema(schema)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = cached(key, lambda: SuffixAutomaton(shared.value, window))
         for part in slices(batches, text):
-            found: list[dict[str, Any]] = []
-            before = part.select([f.name for f in RESULTS.fields]).to_pylist() if not first else []
             texts = part.column(text).to_pylist()
-            for i, t in enumerate(texts):
-                words = words_of(t)
-                spans, items = automaton.hits(words)
-                ids = {automaton.names[k] for k in items}
-                if before:
-                    spans = merge(spans + [(s["start"], s["end"]) for s in before[i]["spans"]])
-                    ids |= set(before[i]["item_ids"])
-                if clean and spans:
-                    texts[i] = cut(t, spans)
-                found.append(
-                    {
-                        "n_words": len(words),
-                        "n_hit": sum(b - a for a, b in spans),
-                        "spans": [{"start": a, "end": b} for a, b in spans],
-                        "item_ids": sorted(ids),
-                    }
-                )
+            found = find(part, texts)
             columns = {f.name: part.column(f.name) for f in kept}
             if clean:
+                texts = [cut(t, spans) for t, (_, spans, _) in zip(texts, found, strict=True)]
                 columns[text] = pa.array(texts, arrow.field(text).type)
-            for f in RESULTS.fields:
-                columns[f.name] = pa.array(
-                    [row[f.name] for row in found], arrow.field(f.name).type
-                )
+            told = {
+                "n_words": [n for n, _, _ in found],
+                "n_hit": [sum(b - a for a, b in spans) for _, spans, _ in found],
+                "spans": [as_structs(spans) for _, spans, _ in found],
+                "item_ids": [ids for _, _, ids in found],
+            }
+            for name, values in told.items():
+                columns[name] = pa.array(values, arrow.field(name).type)
             yield pa.RecordBatch.from_arrays([columns[f.name] for f in arrow], schema=arrow)
 
-    return run
+    return map_batches(rows, run, schema)
 
 
 def judged(matched: DataFrame, coverage_percent: int = 5) -> DataFrame:

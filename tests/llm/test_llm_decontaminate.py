@@ -124,3 +124,52 @@ def test_given_columns_stay_whatever_their_names(spark):
 
 
 ITEM_OF_CLASHES = " ".join(f"item{k}" for k in range(20))
+
+
+def test_pieces_have_all_windows():
+    dice = random.Random(11)
+    for _ in range(500):
+        item = [bytes([dice.choice(b"abc")]) * dice.choice([1, 1, 2, 90]) for _ in range(dice.randint(0, 60))]
+        window, size = dice.randint(1, 13), dice.choice([1, 10, 40, 1000])
+        pieces = list(D.cut_item(item, window, size))
+
+        def windows(words, window=window):
+            n = min(window, len(words))
+            return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)} if words else set()
+
+        assert set().union(*map(windows, pieces)) == windows(item)
+        assert all(len(p) >= min(window, len(item)) for p in pieces)
+
+
+@pytest.mark.parametrize("block_bytes", [4000, 8000])
+def test_an_item_longer_than_a_block(spark, block_bytes):
+    dice = random.Random(13)
+    long_item = [f"w{dice.randrange(300)}" for _ in range(900)]
+    held = [("1", long_item), ("2", long_item[100:400]), ("3", ["w1", "w2"]), ("4", long_item[5:20])]
+    items = spark.createDataFrame([(n, " ".join(w)) for n, w in held], "item_id string, text string")
+    rows = [(k, [f"w{dice.randrange(300)}" for _ in range(40)] + long_item[k * 20 : k * 20 + k + 5]) for k in range(40)]
+    rows += [(40, long_item), (41, []), (42, ["w1", "w2"])]
+    docs = spark.createDataFrame([(k, " ".join(w), 1) for k, w in rows], "doc_id long, text string, `a.b` int")
+    found = D.match_items(docs, items, block_bytes=block_bytes)
+    assert found.columns == [*docs.columns, "n_words", "n_hit", "spans", "item_ids"]
+    told = {r["doc_id"]: r for r in found.collect()}
+    assert len(told) == len(rows)
+    for k, words_ in rows:
+        n_hit, ids = brute(words_, held, 13)
+        assert (told[k]["n_words"], told[k]["n_hit"], told[k]["item_ids"]) == (len(words_), n_hit, sorted(ids))
+    kept = {r["doc_id"]: r["text"] for r in D.decontaminate(docs, items, block_bytes=block_bytes).collect()}
+    assert kept == {r["doc_id"]: r["text"] for r in D.decontaminate(docs, items).collect()}
+
+
+def test_odd_rows_with_many_blocks(spark):
+    words_ = [f"item {k} of many" for k in range(200)]
+    items = spark.createDataFrame([(k, t) for k, t in enumerate([*words_, "naïve Straße", None])], "item_id long, text string")
+    docs = clashing(odd_documents(spark), "row_", "n_hit")
+    order = ["doc_id", "text", "n_words", "n_hit", "spans", "item_ids"]
+    one, many = (
+        sorted((tuple(r) for r in D.match_items(docs, items, block_bytes=b).select(*order).collect()), key=repr)
+        for b in (D.BLOCK_BYTES, 6000)
+    )
+    assert one == many and len(one) == len(ODD)
+    assert D.match_items(empty_documents(spark), items, block_bytes=6000).collect() == []
+    assert "row_" in D.match_items(docs, items, block_bytes=6000).columns
