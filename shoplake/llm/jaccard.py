@@ -4,17 +4,22 @@
    set, and one 64-bit value per band. Band and row counts follow from the threshold and
    the recall wanted at it (``plan_bands``).
 2. Equal sets collapse to one row with a count, so exact copies are never compared.
-3. Sets are shuffled by band value. Buckets of one are dropped before anything else moves. A
-   bucket larger than ``CHUNK`` is dealt to chunks, and each pair of chunks is a group of its own.
-4. A pair is looked at only in the first band it shares, so it counts once. Only sets with such a
+3. Sets are shuffled by band value. Buckets of one are dropped before anything else moves.
+4. Sets of a bucket larger than ``CHUNK`` are first held against a centre, the n-grams that most of some
+   members have. Those within half of the allowed distance of it are a *core*: the Jaccard
+   distance is a metric, so any two of them are linked, and their links are counted without looking at pairs.
+   Centres only save work; no result depends on which they are.
+5. What is left of a large bucket is dealt to chunks, and each pair of chunks is a group of its own. The chunks of
+   one core do not meet each other.
+6. A pair is looked at only in the first band it shares, so it counts once. Only sets with such a
    partner fetch their n-grams, and each group counts the verified links of its members. What
    leaves a group is one row per member: its number of links, and the least member it
    is tied to. Pairs are never written out.
-5. Components of these ties are classes; class id is the least document id.
+7. Components of these ties are classes; class id is the least document id.
 
-Counting links exactly takes a comparison for each pair of different near copies, so the work for
-a bucket grows with the square of its *different* sets, and each of these is copied once per chunk.
-No task or group grows with the bucket.
+A bucket of near copies of one text therefore moves in proportion to its sets. Counting links exactly takes a
+comparison for each pair of *different* sets that share a bucket but no core, so the work still grows with
+the square of those. No task or group grows with the bucket.
 
 Words are runs of ASCII letters and digits and of any other characters, A-Z lower-cased. A text of fewer
 than five words is one n-gram of all its words. Defined results: NULL, empty and wordless texts
@@ -33,6 +38,7 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -48,6 +54,10 @@ RECALL = 0.9995
 MOST_HASHES = 128
 #: Sets of one bucket that are compared in one group.
 CHUNK = 512
+#: Members that a centre is made of, about.
+PIVOTS = 32
+#: Share of the sets it looks at that a round of cores must place for another one to follow.
+WORTHWHILE = 0.1
 #: Rows of one Python group in the search for partners, and bytes in the verification.
 BIN_ROWS, BIN_BYTES = 5_000, 8 * 1024 * 1024
 #: Bytes of a matrix while links are counted.
@@ -197,10 +207,11 @@ def sides(i: int, j: int, mine: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def partners(frame: pd.DataFrame) -> pd.DataFrame:
-    """The rows that have a partner whose first shared band is this one."""
+    """The rows that have a partner outside their core whose first shared band is this one."""
     frame = frame.sort_values(["band", "i", "j", "set_key"], ignore_index=True)
     keep = np.zeros(len(frame), bool)
     values = np.stack(frame["bands"].to_numpy()) if len(frame) else np.zeros((0, 1))
+    unit = pd.factorize(frame["unit"])[0]
     mine, i, j = (frame[c].to_numpy() for c in ("mine", "i", "j"))
     band_no = frame["band_no"].to_numpy()
     for a, b in groups_in(frame):
@@ -208,8 +219,7 @@ def partners(frame: pd.DataFrame) -> pd.DataFrame:
         for s in range(0, len(left), 256):
             rows = left[s : s + 256]
             fresh = fresh_pairs(values[a + rows], values[a + right], band_no[a])
-            if i[a] == j[a]:
-                fresh[np.arange(len(rows)), rows] = False
+            fresh &= unit[a + rows][:, None] != unit[a + right][None, :]
             keep[a + rows[fresh.any(axis=1)]] = True
             keep[a + right[fresh.any(axis=0)]] = True
     return frame.loc[keep, ["band", "band_no", "i", "j", "mine", "set_key", "n_grams"]]
@@ -256,6 +266,7 @@ def linker(threshold: float) -> object:
         copies = frame["copies"].to_numpy()
         mine, i, j = (frame[c].to_numpy() for c in ("mine", "i", "j"))
         band_no = frame["band_no"].to_numpy()
+        unit = pd.factorize(frame["unit"])[0]
         found: list[tuple[bytes, bytes, int, int]] = []
         for a, b in groups_in(frame):
             left, right = sides(i[a], j[a], mine[a:b])
@@ -268,13 +279,10 @@ def linker(threshold: float) -> object:
                 rows = left[s : s + 256]
                 linked = similar([sets[k] for k in rows], [sets[k] for k in right], threshold)
                 linked &= fresh_pairs(values[rows], values[right], band_no[a])
-                if i[a] == j[a]:
-                    linked[np.arange(len(rows)), rows] = False
-                    docs[rows] += linked @ copies[a:b][right]
-                    others[rows] += linked.sum(axis=1)
-                else:
-                    docs[rows] += linked @ copies[a:b][right]
-                    others[rows] += linked.sum(axis=1)
+                linked &= unit[a + rows][:, None] != unit[a + right][None, :]
+                docs[rows] += linked @ copies[a:b][right]
+                others[rows] += linked.sum(axis=1)
+                if i[a] != j[a]:
                     docs[right] += copies[a:b][rows] @ linked
                     others[right] += linked.sum(axis=0)
                 join_rows(root, rows, right, linked)
@@ -303,13 +311,123 @@ def join_rows(root: np.ndarray, rows: np.ndarray, right: np.ndarray, linked: np.
                 root[t] = least
 
 
+def majority(frame: pd.DataFrame) -> pd.DataFrame:
+    """The n-grams that more than half of the given sets have."""
+    line = np.concatenate([np.frombuffer(g, np.uint64) for g in frame["grams"]])
+    grams, n = np.unique(line, return_counts=True)
+    return pd.DataFrame({"home": frame["home"].iloc[:1], "centre": [grams[2 * n > len(frame)].tobytes()]})
+
+
+def around(rows: DataFrame, threshold: float) -> DataFrame:
+    """(set_key, home) of the rows (set_key, home, grams, centre) within half of the allowed distance of their centre."""
+    schema = T.StructType.fromDDL("set_key binary, home long")
+    arrow = to_arrow_schema(schema)
+    least = (1 + threshold) / 2
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            close = []
+            for mine, centre in zip(batch.column("grams"), batch.column("centre"), strict=True):
+                a, b = (np.frombuffer(x.as_py(), np.uint64) for x in (mine, centre))
+                shared = len(np.intersect1d(a, b, assume_unique=True))
+                close.append(shared > 0 and shared >= least * (len(a) + len(b) - shared))
+            kept = batch.select(["set_key", "home"]).filter(pa.array(close, pa.bool_()))
+            yield pa.RecordBatch.from_arrays(kept.columns, schema=arrow)
+
+    return rows.select("set_key", "home", "grams", "centre").mapInArrow(run, schema)
+
+
+def cores(large: DataFrame, sets: DataFrame, grams: DataFrame, threshold: float) -> DataFrame:
+    """(set_key, unit, docs, others) of the sets in a core of at least two: the least set of the core, and the links inside it.
+
+    ``large`` has the rows (band, set_key) of large buckets. The largest bucket of a set is its home. A set tries the
+    centre of the home that leads each of its buckets, which is the home of most members there, and joins
+    the core that most sets are near to: near copies of one text meet in one core, whichever bands they
+    share. Rounds go on with what is left of the buckets while they find enough.
+    """
+    found = None
+    left = large.select("band", "set_key")
+    while True:
+        crowded = left.groupBy("band").agg(F.count("*").alias("n")).where(F.col("n") > CHUNK)
+        here = stored(join_small(left, stored(crowded, "crowded"), ["band"], "inner"), "here")
+        home = here.groupBy("set_key").agg(F.max(F.struct("n", "band")).alias("best"))
+        home = stored(home.select("set_key", F.col("best.band").alias("home")), "homes")
+        votes = here.join(home, "set_key").groupBy("band", "home").agg(F.count("*").alias("votes"))
+        lead = votes.groupBy("band").agg(F.max(F.struct("votes", "home")).alias("best"))
+        lead = stored(lead.select("band", F.col("best.home").alias("home")), "lead")
+        members = home.groupBy("home").agg(F.count("*").alias("members"))
+        members = stored(members.join(lead.select("home").distinct(), "home", "left_semi"), "members")
+        one_of = F.ceil(F.col("members") / PIVOTS).cast("int")
+        pivots = join_small(home, members, ["home"], "inner")
+        pivots = pivots.where(F.pmod(F.xxhash64(F.lit("pivot"), "set_key"), one_of) == 0).join(grams, "set_key")
+        centres = pivots.select("home", "grams").groupBy("home").applyInPandas(majority, "home long, centre binary")
+        tried = join_small(here, lead, ["band"], "inner").select("set_key", "home").distinct()
+        rows = join_small(tried.join(grams, "set_key"), stored(centres, "centres"), ["home"], "inner")
+        near = stored(around(rows, threshold), "near")
+        sizes = stored(near.groupBy("home").agg(F.count("*").alias("size")), "sizes")
+        chosen = join_small(near, sizes, ["home"], "inner").groupBy("set_key")
+        chosen = chosen.agg(F.max(F.struct("size", "home")).alias("best"))
+        chosen = chosen.select("set_key", F.col("best.home").alias("home"))
+        chosen = stored(chosen.join(sets.select("set_key", "copies"), "set_key"), "chosen")
+        core = chosen.groupBy("home").agg(
+            F.min("set_key").alias("unit"), F.count("*").alias("n_sets"), F.sum("copies").alias("n_docs")
+        )
+        placed = join_small(chosen, stored(core.where(F.col("n_sets") > 1), "cores"), ["home"], "inner").select(
+            "set_key",
+            "unit",
+            (F.col("n_docs") - F.col("copies")).alias("docs"),
+            (F.col("n_sets") - 1).alias("others"),
+        )
+        placed = stored(placed, "placed")
+        found = placed if found is None else found.unionByName(placed)
+        n_placed = placed.count()
+        if not n_placed or n_placed < WORTHWHILE * home.count():
+            return found
+        left = stored(left.join(placed.select("set_key"), "set_key", "left_anti").select("band", "set_key"), "left")
+        if left.groupBy("band").count().where(F.col("count") > CHUNK).isEmpty():
+            return found
+
+
+def laid_out(hits: DataFrame, units: DataFrame | None = None) -> DataFrame:
+    """Adds to (band, band_no, set_key, n) the chunks of each member: the first of its part, how many that part and
+    the bucket have, and whether the part's chunks skip each other, because one core fills it.
+
+    A core with ``CHUNK`` members in a bucket has chunks of its own there; all other members share chunks.
+    """
+    whole = hits.select("*", F.lit(0).alias("first"), F.lit(1).alias("own"), F.lit(1).alias("total"), F.lit(False).alias("alone"))
+    if units is None:
+        return whole
+    small = whole.where(F.col("n") <= CHUNK)
+    known = hits.where(F.col("n") > CHUNK).join(units.select("set_key", "unit"), "set_key")
+    counted = known.groupBy("band", "unit").agg(F.count("*").alias("members"))
+    full = stored(counted.where(F.col("members") >= CHUNK), "full")
+    part = F.coalesce("part", F.lit(b""))
+    dealt = join_small(known, full.select("band", "unit", F.col("unit").alias("part")), ["band", "unit"], "left")
+    dealt = dealt.drop("unit").withColumn("part", part)
+    sizes = stored(dealt.groupBy("band", "part").agg(F.count("*").alias("members")), "parts")
+    chunks = sizes.select("band", "part", F.ceil(F.col("members") / CHUNK).cast("int").alias("own"))
+    bucket = W.partitionBy("band")  # as many rows as the bucket has parts
+    before = bucket.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    layout = chunks.select(
+        "band",
+        "part",
+        F.coalesce(F.sum("own").over(before), F.lit(0)).cast("int").alias("first"),
+        "own",
+        F.sum("own").over(bucket).cast("int").alias("total"),
+        (F.col("part") != F.lit(b"")).alias("alone"),
+    )
+    large = join_small(dealt, stored(layout, "layout"), ["band", "part"], "inner").drop("part")
+    return small.unionByName(large)
+
+
 def spread(hits: DataFrame) -> DataFrame:
-    """Deal the members of large buckets to chunks: a row for each pair of chunks it is in."""
-    chunks = F.ceil(F.col("n") / CHUNK).cast("int")
-    mine = F.pmod(F.xxhash64("set_key"), chunks).cast("int")
-    dealt = hits.withColumn("mine", mine)
-    # a chunk meets itself and every other one
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
+    """Deal the members of buckets to chunks: a row for each pair of chunks that a member is in."""
+    mine = F.col("first") + F.pmod(F.xxhash64("set_key"), F.col("own")).cast("int")
+    chunks = F.sequence(F.lit(0), F.col("total") - 1)
+    foreign = F.filter(chunks, lambda c: (c < F.col("first")) | (c >= F.col("first") + F.col("own")))
+    # a chunk meets itself and every other one, but none of its own core
+    met = F.when(F.col("alone"), foreign).otherwise(chunks)
+    dealt = hits.withColumn("mine", mine).withColumn("other", F.explode(met))
     return dealt.select(
         "band",
         "band_no",
@@ -348,9 +466,19 @@ def links(
     each = sets.select("set_key", F.posexplode("bands").alias("band_no", "band"))
     crowded = each.groupBy("band").agg(F.count("*").alias("n")).where(F.col("n") > 1)
     hits = stored(each.join(crowded, "band"), "hits")
-    # rows after spread()
-    n_dealt = hits.agg(F.sum(F.ceil(F.col("n") / CHUNK))).first()[0] or 0
-    candidates = spread(hits).join(sets.select("set_key", "bands", "n_grams"), "set_key")
+    large = hits.where(F.col("n") > CHUNK)
+    if large.isEmpty():
+        inside, units = None, sets.withColumn("unit", F.col("set_key"))
+        dealt = laid_out(hits)
+    else:
+        asked = sets.join(large.select("set_key").distinct(), "set_key", "left_semi")
+        inside = cores(large, sets, stored(fetched(docs, doc_id, text, n, asked), "grams"), threshold)
+        units = sets.join(inside.select("set_key", "unit"), "set_key", "left")
+        units = stored(units.withColumn("unit", F.coalesce("unit", "set_key")), "units")
+        dealt = stored(laid_out(hits, units), "dealt")
+    met = F.col("total") - F.when(F.col("alone"), F.col("own")).otherwise(0)
+    n_dealt = dealt.agg(F.sum(met)).first()[0] or 0  # rows after spread()
+    candidates = spread(dealt).join(units.select("set_key", "bands", "n_grams", "unit"), "set_key")
     needs = stored(
         binned(candidates, bins_for(n_dealt, BIN_ROWS)).groupBy("bin").applyInPandas(partners, MEMBER),
         "needs",
@@ -360,13 +488,16 @@ def links(
     size = needs.agg(F.sum(8 * F.col("n_grams") + 300)).first()[0] or 0
     members = (
         binned(needs, bins_for(size, BIN_BYTES))
-        .join(sets.select("set_key", "bands", "copies"), "set_key")
+        .join(units.select("set_key", "bands", "copies", "unit"), "set_key")
         .join(grams, "set_key")
     )
     verified = members.groupBy("bin").applyInPandas(
         linker(threshold), "set_key binary, peer binary, docs long, others long"
     )
-    return signed.select("id", "set_key", "n_grams"), sets, stored(verified, "links")
+    verified = stored(verified, "links")
+    if inside is not None:
+        verified = verified.unionByName(inside.select("set_key", F.col("unit").alias("peer"), "docs", "others"))
+    return signed.select("id", "set_key", "n_grams"), sets, verified
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **settings: float) -> DataFrame:

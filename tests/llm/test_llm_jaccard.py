@@ -154,6 +154,47 @@ def test_groups_stay_small_as_a_bucket_grows(spark, monkeypatch):
     assert needs_bins > needs.count() * (8 * 20 + 300) / J.BIN_BYTES  # long texts have more than the mean
 
 
+def close_copies(n):
+    """Different texts with one or two changes each, at places of their own."""
+    words = [f"w{k}" for k in range(400)]
+    out = []
+    for k in range(n):
+        mine = list(words)
+        for place in {7 * k % 400, 31 * k % 400}:
+            mine[place] = f"x{k}"
+        out.append((k, " ".join(mine)))
+    return out
+
+
+def test_a_bucket_of_near_copies_moves_in_proportion(spark, monkeypatch):
+    """Four times the near copies of one text are four times the rows, not sixteen times; links stay exact."""
+    monkeypatch.setattr(J, "CHUNK", 10)
+    asked = []
+    plain = J.binned
+    monkeypatch.setattr(J, "binned", lambda rows, bins: asked.append(rows) or plain(rows, bins))
+    dealt = {}
+    for n in (100, 400):
+        texts = [*close_copies(n), (n, close_copies(1)[0][1]), (n + 1, "a text of its own among all these copies")]
+        asked.clear()
+        found = J.classes(spark.createDataFrame(texts, "doc_id long, text string"))
+        assert told(found) == brute(texts)
+        dealt[n] = asked[0].count()
+    assert dealt[400] <= 6 * max(dealt[100], 100)
+
+
+def test_a_core_and_what_lies_around_it(spark, monkeypatch):
+    """Two texts that share most words, and versions of each near and far: cores, and pairs across them."""
+    monkeypatch.setattr(J, "CHUNK", 6)
+    close = close_copies(40)
+    other = [(k + 100, " ".join([*t.split()[:370], *(f"y{i}" for i in range(30))])) for k, t in close]
+    texts = [*close, *other, *near_copies(30)]
+    large = []
+    plain = J.cores
+    monkeypatch.setattr(J, "cores", lambda *a: large.append(plain(*a)) or large[-1])
+    assert told(J.classes(spark.createDataFrame(texts, "doc_id long, text string"))) == brute(texts)
+    assert large[0].select("unit").distinct().count() > 1
+
+
 def test_wordless_rows_of_a_dropped_id_stay(spark):
     """Their id also has a near copy of a lesser id; rows without id stay beside them."""
     copy = " ".join(f"w{k}" for k in range(50))
