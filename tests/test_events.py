@@ -6,8 +6,10 @@ import datetime as dt
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from shoplake import schemas as S
+from shoplake.functions import payload
 from shoplake.functions.payload import is_reject, parse_payload, peek, to_payload
 from shoplake.functions.values import cents_lost
 from shoplake.operators.events import product_ids, shape_events
@@ -104,3 +106,56 @@ def test_attributes_pass_under_their_own_type(spark, activity, products):
     shaped = shape_events(odd, products)
     assert [f.dataType for f in shaped.schema] == [f.dataType for f in S.EVENT_SCHEMA]
     assert shaped.where("quantity IS NOT NULL OR items_count IS NOT NULL").isEmpty()
+
+
+def per_task(df):
+    """Rows that each task gives."""
+    return [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+
+
+def numbered(spark, n):
+    """Events in four tasks; each number is there twice. Spark does not know beforehand how many there are."""
+    ids = spark.range(0, n // 2, 1, 4).select(F.explode(F.array("id", "id")).alias("event_id"))
+    return ids.select(F.col("event_id").cast("string").alias("event_id"))
+
+
+@pytest.mark.parametrize("n", [8000, 8001])
+def test_a_peek_at_all_events_is_not_one_task(spark, n):
+    events = numbered(spark, 8000)
+    shown = peek(events, n)
+    assert per_task(shown) == [2000] * 4
+    assert rows(parse_payload(shown).select("event_id")) == rows(events)
+
+
+@pytest.mark.parametrize("n", [1001, 5000, 7999])
+def test_a_long_peek_is_cut_in_many_tasks(spark, n):
+    events = numbered(spark, 8000)
+    shown = peek(events, n)
+    back = parse_payload(shown).select("event_id")
+    assert back.count() == n
+    assert back.exceptAll(events).count() == 0
+    assert shown.where(~F.col("value").contains("\n")).count() == 0
+    assert max(per_task(shown)) <= n // 4 + 200
+
+
+def test_peeks_take_equal_events_too(spark, monkeypatch):
+    monkeypatch.setattr(payload, "ONE_TASK_ROWS", 10)
+    monkeypatch.setattr(payload, "COPIES_PER_TASK", 100)
+    events = spark.range(0, 1000, 1, 4).select(F.lit("same").alias("event_id"))
+    for n in (11, 990, 999):
+        shown = peek(events, n)
+        assert rows(parse_payload(shown).select("event_id")) == [("same",)] * n
+    assert max(per_task(shown)) <= 200
+    mixed = events.unionByName(spark.range(30).select(F.col("id").cast("string").alias("event_id")))
+    for n in range(11, 1030, 170):
+        back = parse_payload(peek(mixed, n)).select("event_id")
+        assert back.count() == n
+        assert back.exceptAll(mixed).count() == 0
+
+
+@pytest.mark.parametrize("n", [0, 1, 5, 1000])
+def test_short_peeks(spark, n):
+    events = numbered(spark, 4000)
+    assert peek(events, n).count() == n
+    assert peek(events.limit(0), n).count() == 0
+    assert peek(events.limit(0), n + 1001).count() == 0
